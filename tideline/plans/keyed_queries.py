@@ -1 +1,113 @@
-"""Contract queries over written keyed tables (schema evolution)."""
+"""Contract queries over written keyed tables: schema evolution on orders.
+
+Each writes the orders as a table, changes its schema, merges a derived change
+set and reads the table back.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tideline.plans.keyed_table import KeyedTable
+from tideline.plans.registry import query, table
+from tideline.session import shared_dir
+
+COLUMNS = [
+    ("o_orderkey", "BIGINT"),
+    ("o_custkey", "BIGINT"),
+    ("o_orderstatus", "VARCHAR(1)"),
+    ("o_totalprice", "DOUBLE"),
+]
+CHANGED = "o_orderkey % 7 = 0"
+DELETED = "o_orderkey % 21 = 0"
+
+
+def _orders_table(spark, d):
+    path = f"{shared_dir(spark)}/orders-{uuid.uuid4().hex}"
+    keyed = KeyedTable.create(spark, path, COLUMNS, ["o_orderkey"])
+    orders = table(spark, d, "orders").select(*[name for name, _ in COLUMNS])
+    keyed.load_snapshot(orders)
+    kind = F.when(F.expr(DELETED), "delete").otherwise("update")
+    changes = orders.where(CHANGED).withColumns({"seq": F.col("o_orderkey") + 1, "kind": kind})
+    return keyed, changes
+
+
+@query(
+    "evolve_add",
+    f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CASE WHEN {CHANGED} THEN 'note ' || o_custkey END AS note FROM orders WHERE NOT {DELETED}
+    """,
+)
+def evolve_add(spark, d):
+    keyed, changes = _orders_table(spark, d)
+    keyed.evolve(lambda s: s.add("note", "VARCHAR(100)"))
+    keyed.merge(changes.withColumn("note", F.concat(F.lit("note "), F.col("o_custkey").cast("string"))), 0)
+    return keyed.read()
+
+
+@query(
+    "evolve_drop",
+    f"""
+    SELECT o_orderkey, o_custkey, CASE WHEN {CHANGED} THEN 'again' END AS o_orderstatus
+    FROM orders WHERE NOT {DELETED}
+    """,
+)
+def evolve_drop(spark, d):
+    """Drops two columns and adds one of them again: its old values stay gone."""
+    keyed, changes = _orders_table(spark, d)
+    keyed.evolve(lambda s: (s.drop("o_totalprice"), s.drop("o_orderstatus"), s.add("o_orderstatus", "VARCHAR(9)")))
+    keyed.merge(changes.withColumn("o_orderstatus", F.lit("again")), 0)
+    return keyed.read()
+
+
+@query(
+    "evolve_type",
+    f"""
+    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+           CAST(CASE WHEN {CHANGED} THEN 1 ELSE round(o_totalprice, 2) END AS DECIMAL(18,2)) AS o_totalprice
+    FROM orders WHERE NOT {DELETED}
+    """,
+)
+def evolve_type(spark, d):
+    keyed, changes = _orders_table(spark, d)
+    keyed.evolve(lambda s: (s.retype("o_totalprice", "DECIMAL(18,2)"), s.retype("o_custkey", "VARCHAR(20)")))
+    keyed.merge(changes.withColumn("o_totalprice", F.lit(1)), 0)
+    return keyed.read()
+
+
+@query(
+    "evolve_rename",
+    f"""
+    SELECT o_orderkey, o_custkey AS customer, o_orderstatus,
+           CASE WHEN {CHANGED} THEN 0 ELSE o_totalprice END AS price FROM orders WHERE NOT {DELETED}
+    """,
+)
+def evolve_rename(spark, d):
+    keyed, changes = _orders_table(spark, d)
+    keyed.evolve(lambda s: (s.rename("o_custkey", "customer"), s.rename("o_totalprice", "price")))
+    renamed = changes.withColumnsRenamed({"o_custkey": "customer", "o_totalprice": "price"})
+    keyed.merge(renamed.withColumn("price", F.lit(0.0)), 0)
+    return keyed.read()
+
+
+@query(
+    "keyed_merge",
+    f"""
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderkey % 14 = 0 THEN -1 WHEN {CHANGED} THEN 5 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE NOT {DELETED}
+    """,
+)
+def keyed_merge(spark, d):
+    """Two change sets, one of them replayed, with a compaction in between."""
+    keyed, changes = _orders_table(spark, d)
+    first = changes.withColumn("o_totalprice", F.lit(5.0))
+    keyed.merge(first, 0)
+    keyed.compact()
+    keyed.merge(first.withColumn("o_totalprice", F.lit(99.0)), 0)
+    second = changes.where("o_orderkey % 14 = 0").withColumn("o_totalprice", F.lit(-1.0))
+    keyed.merge(second.withColumn("seq", F.col("seq") + 1_000_000_000), 1)
+    return keyed.read()
