@@ -38,27 +38,41 @@ class Feed:
     def batch(self):
         return _timed(self.spark.read.schema(ROWS).json(str(self.folder / "in")))
 
-    def run(self, df, mode="append"):
-        """Runs to the end of the input; the rows of all micro-batches, in order."""
+    def run(self, df, mode="append", expect=None):
+        """Runs to the end of the input; the rows of all micro-batches, in order.
+
+        A query in processing time never ends by itself: it is stopped once it has
+        given ``expect`` rows.
+        """
         got = []
         query = (
             df.writeStream.outputMode(mode)
             .foreachBatch(lambda b, _: got.extend(b.collect()))
             .option("checkpointLocation", str(self.folder / "checkpoint"))
-            .trigger(availableNow=True)
+            .trigger(**({"availableNow": True} if expect is None else {"processingTime": "0 seconds"}))
             .start()
         )
-        query.awaitTermination()
+        if expect is None:
+            query.awaitTermination(120)
+        else:
+            end = time.time() + 60
+            while len(got) < expect and time.time() < end and query.isActive:
+                time.sleep(0.2)
+        query.stop()
         return got
 
 
 def _timed(df):
-    return df.withColumn("ts", F.timestamp_millis("ms"))
+    # Event time starts above the initial watermark, the epoch.
+    return df.withColumn("ts", F.timestamp_millis(F.col("ms") + 1_700_000_000_000))
 
 
 @pytest.fixture
 def feed(spark, tmp_path):
-    return Feed(spark, tmp_path)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # a Python worker per partition and micro-batch
+    yield Feed(spark, tmp_path)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def _fill(feed, n=60, files=4):
@@ -180,27 +194,26 @@ def test_late_rows_one_row_per_batch(feed):
     times = [1000, 2000, 3000, 8000, 9000, 1500, 26_000, 2500, 500, 19_000, 31_000, 9_999]
     for seq, ms in enumerate(times):
         feed.put(("k", seq, ms, 1.0, None))
-    got = feed.run(streams.mark_late(feed.stream(), "ts", "seq", "value", "10 seconds", "5 seconds", "5 seconds"))
+    marked = streams.mark_late(feed.stream(), "ts", "seq", "value", "10 seconds", "5 seconds", "5 seconds")
+    got = feed.run(marked, expect=len(times))
     want = windows.mark_late(feed.batch(), "ts", "seq", "10 seconds", "5 seconds", "5 seconds")
     assert sorted((r["seq"], r["is_late"]) for r in got) == _set(want.select("seq", "is_late").collect())
     assert [r["seq"] for r in want.where("is_late").orderBy("seq").collect()] == [7, 8, 11]
 
 
-def test_state_expires_and_inactivity_fires(feed):
+def test_state_expires(feed):
     feed.put(("a", 1, 0, 0.0, None), ("a", 2, 0, 0.0, None), ("b", 3, 0, 0.0, None))
     counts = lambda: streams.ttl_session_count(feed.stream(), "key", "seq", "4 seconds")
-    assert sorted((r["key"], r["session_count"]) for r in feed.run(counts())) == [("a", 1), ("a", 2), ("b", 1)]
+    first = feed.run(counts(), expect=3)
+    assert sorted((r["key"], r["session_count"]) for r in first) == [("a", 1), ("a", 2), ("b", 1)]
     time.sleep(5)
     feed.put(("a", 4, 0, 0.0, None))
-    assert [r["session_count"] for r in feed.run(counts())] == [1]
+    assert [r["session_count"] for r in feed.run(counts(), expect=1)] == [1]
 
 
 def test_inactivity_timer(feed):
     feed.put(("a", 1, 0, 0.0, None))
-    assert feed.run(streams.inactivity(feed.stream(), "key", "1 second")) == []
-    time.sleep(2)
-    feed.put(("b", 2, 0, 0.0, None))
-    assert [r["key"] for r in feed.run(streams.inactivity(feed.stream(), "key", "1 second"))] == ["a"]
+    assert [r["key"] for r in feed.run(streams.inactivity(feed.stream(), "key", "1 second"), expect=1)] == ["a"]
 
 
 def test_restart_writes_each_row_once(spark, feed, tmp_path):
@@ -210,5 +223,5 @@ def test_restart_writes_each_row_once(spark, feed, tmp_path):
             feed.put(*extra)
         streams.exactly_once_files(
             feed.stream(), str(tmp_path / "out"), str(tmp_path / "once")
-        ).awaitTermination()
+        ).awaitTermination(60)
     assert sorted(r["seq"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [*range(20), 99]

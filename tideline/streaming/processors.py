@@ -23,6 +23,12 @@ def _ordered(batches: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return rows.sort_values(by, kind="stable", ignore_index=True)
 
 
+def _frame(rows: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """One output batch, or none when there are no rows."""
+    if rows:
+        yield pd.DataFrame(rows, columns=columns, dtype=object)
+
+
 def _load(state, default):
     found = state.get() if state.exists() else None
     return found[0] if found is not None else default
@@ -88,7 +94,7 @@ class ThresholdAlerts(StatefulProcessor):
                 found.append((row.key, row.seq, row.value, threshold, "alert"))
         if threshold is not None and threshold != before:
             self.state.update((float(threshold),))
-        yield pd.DataFrame(found, columns=["key", "seq", "value", "threshold", "kind"])
+        yield from _frame(found, ["key", "seq", "value", "threshold", "kind"])
 
     def close(self) -> None:
         pass
@@ -117,7 +123,7 @@ class RepeatedEvents(StatefulProcessor):
                     found.append((row.key, seq, us, row.us))
             starts = starts[-(self.times - 1) :] if self.times > 1 else []
         self.state.put([(int(us), int(seq)) for us, seq in starts])
-        yield pd.DataFrame(found, columns=["key", "seq", "start_us", "end_us"])
+        yield from _frame(found, ["key", "seq", "start_us", "end_us"])
 
     def close(self) -> None:
         pass
@@ -142,12 +148,12 @@ class Inactivity(StatefulProcessor):
         deadline = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
         self.handle.registerTimer(deadline)
         self.state.update((deadline,))
-        yield pd.DataFrame({"key": [], "timeout_at_ms": []})
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if _load(self.state, None) == expiredTimerInfo.getExpiryTimeInMs():
             self.state.clear()
-            yield pd.DataFrame({"key": [key[0]], "timeout_at_ms": [expiredTimerInfo.getExpiryTimeInMs()]})
+            yield from _frame([(key[0], expiredTimerInfo.getExpiryTimeInMs())], ["key", "timeout_at_ms"])
 
     def close(self) -> None:
         pass
@@ -193,7 +199,7 @@ class OrderTimeouts(StatefulProcessor):
                 paid = True if row.action == "pay" else paid
                 found.append((row.key, row.seq, row.us, "paid" if row.action == "pay" else "cancelled"))
         self._save(armed, paid, latest)
-        yield pd.DataFrame(found, columns=["key", "seq", "us", "status"])
+        yield from _frame(found, ["key", "seq", "us", "status"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         paid = _load(self.paid, None)
@@ -201,7 +207,7 @@ class OrderTimeouts(StatefulProcessor):
         until = expiredTimerInfo.getExpiryTimeInMs() * 1000 + 1
         armed, fired = self._settle(armed, paid, key[0], until)
         self._save(armed, paid, _load(self.latest, None))
-        yield pd.DataFrame(fired, columns=["key", "seq", "us", "status"])
+        yield from _frame(fired, ["key", "seq", "us", "status"])
 
     def _save(self, armed, paid, latest) -> None:
         if armed:
