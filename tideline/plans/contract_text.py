@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tideline.functions import documents, text, types
 from tideline.operators import joins, routing, running
 from tideline.plans.registry import query, table
+from tideline.sources import app_logs
 
 
 @query("map_increment", "SELECT event_id, user_id, user_id + 1 AS next_id FROM events")
@@ -320,3 +321,21 @@ def doc_changes(spark, d):
         F.when(op != "d", document).alias("after"),
     )
     return documents.decode_document_changes(changes)
+
+
+@query("gen_app_logs")
+def gen_app_logs(spark, d):
+    """One generated session per event."""
+    logs = app_logs.generate_app_logs(table(spark, d, "events").select("event_id"), "event_id")
+    return logs.select(
+        "session_id",
+        "step",
+        "ts",
+        F.col("common.mid").alias("mid"),
+        F.col("page.pageId").alias("page_id"),
+        F.col("page.lastPageId").alias("last_page_id"),
+        F.col("page.item").alias("item"),
+        F.col("err.errorCode").alias("error_code"),
+        F.coalesce(F.size("displays"), F.lit(0)).alias("n_displays"),
+        F.coalesce(F.size("actions"), F.lit(0)).alias("n_actions"),
+    )

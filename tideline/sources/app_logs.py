@@ -1,0 +1,261 @@
+"""Generated application logs with known skew, one session per input id.
+
+All draws are hashes of the session id, the step and a name, so every task can
+produce its rows alone and a repeated run gives the same logs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Page paths and their weights.
+PATHS = [
+    (["home", "good_list", "good_detail", "cart", "trade", "payment"], 20),
+    (["home", "search", "good_list", "good_detail", "login", "good_detail", "cart", "trade", "payment"], 50),
+    (["home", "mine", "orders_unpaid", "trade", "payment"], 10),
+    (["home", "mine", "orders_unpaid", "good_detail", "good_spec", "comment", "trade", "payment"], 5),
+    (["home", "mine", "orders_unpaid", "good_detail", "good_spec", "comment", "home"], 5),
+    (["home", "good_detail"], 70),
+    (["home"], 10),
+]
+
+# Weighted choices.
+AREAS = [(a, 10) for a in ("110000", "310000", "230000", "370000", "420000", "440000", "500000", "530000")]
+MODELS = [
+    ("Xiaomi 9", 30),
+    ("Xiaomi 10 Pro ", 30),
+    ("Xiaomi Mix2 ", 30),
+    ("iPhone X", 20),
+    ("iPhone 8", 20),
+    ("iPhone Xs", 20),
+    ("iPhone Xs Max", 20),
+    ("Huawei P30", 10),
+    ("Huawei Mate 30", 10),
+    ("Redmi k30", 10),
+    ("Honor 20s", 5),
+    ("vivo iqoo3", 20),
+    ("Oneplus 7", 5),
+    ("Sumsung Galaxy S20", 3),
+]
+IOS = [("13.3.1", 30), ("13.2.9", 10), ("13.2.3", 10), ("12.4.1", 5)]
+ANDROID = [("11.0", 70), ("10.0", 20), ("9.0", 5), ("8.1", 5)]
+CHANNELS = [("xiaomi", 30), ("wandoujia", 10), ("web", 10), ("huawei", 5), ("oppo", 20), ("vivo", 5), ("360", 5)]
+VERSIONS = [("2.1.134", 70), ("2.1.132", 20), ("2.1.111", 5), ("2.0.1", 5)]
+ENTRIES = [("install", 5), ("icon", 75), ("notice", 20)]
+SOURCES = [("query", 40), ("promotion", 25), ("recommend", 15), ("activity", 20)]
+DISPLAYS = [("promotion", 30), ("query", 60), ("recommend", 10)]
+KEYWORDS = [(k, 1) for k in ("图书", "小米", "iphone11", "电视", "口红", "ps5", "苹果手机", "小米盒子")]
+
+# Ranges and rates in percent.
+MAX_DEVICE, MAX_USER, MAX_SKU, MAX_COUPON = 1_000_000, 20_000_000, 100_000, 30
+MAX_PAGE_MS, MAX_ACTIVITY, MAX_POSITION = 20_000, 2, 5
+MIN_DISPLAYS, MAX_DISPLAYS = 4, 10
+ERROR_RATE, FAVOR_RATE, CART_RATE, COUPON_RATE, CART_EDIT_RATE, ADDRESS_RATE = 3, 30, 10, 25, 10, 15
+START_OF_DAY_MS = 1_636_588_800_000  # 2021-11-11 in UTC
+
+SKU_PAGES = ["good_detail", "good_spec", "comment", "comment_list"]
+SKU_LIST_PAGES = ["trade", "payment", "payment_done"]
+ACTIVITY_PAGES = ["home", "discovery", "category"]
+DISPLAY_PAGES = ["good_detail", "home", "category", "activity", "good_spec", "good_list", "discovery"]
+
+
+class _Draw:
+    """Named pseudo-random draws over the columns that identify a row."""
+
+    def __init__(self, seed: int, *columns: str):
+        self.seed, self.columns = seed, columns
+
+    def number(self, name: str, low: int | Column, high: int | Column, *more: Column) -> Column:
+        """An integer in ``[low, high]``."""
+        low = F.lit(low) if isinstance(low, int) else low
+        high = F.lit(high) if isinstance(high, int) else high
+        drawn = F.xxhash64(*[F.col(c) for c in self.columns], *more, F.lit(f"{self.seed}:{name}"))
+        return (low + F.pmod(drawn, (high - low + 1).cast("long"))).cast("int")
+
+    def happens(self, name: str, percent: int, *more: Column) -> Column:
+        return self.number(name, 1, 100, *more) <= percent
+
+    def choice(self, name: str, options: list[tuple], *more: Column) -> Column:
+        """One of the options, in proportion to its weight."""
+        drawn = self.number(name, 1, sum(w for _, w in options), *more)
+        reached, out = 0, None
+        for value, weight in options[:-1]:
+            reached += weight
+            out = F.when(drawn <= reached, F.lit(value)) if out is None else out.when(drawn <= reached, F.lit(value))
+        last = F.lit(options[-1][0])
+        return last if out is None else out.otherwise(last)
+
+
+def _common(d: _Draw, skew: int) -> Column:
+    model = d.choice("md", MODELS)
+    brand = F.split(model, " ")[0]
+    apple = brand == "iPhone"
+    device = F.when(d.happens("skew", skew), F.lit(MAX_DEVICE // 2)).otherwise(d.number("mid", 1, MAX_DEVICE))
+    return F.struct(
+        F.concat(F.lit("mid_"), device.cast("string")).alias("mid"),
+        d.number("uid", 1, MAX_USER).cast("string").alias("uid"),
+        F.concat(F.lit("v"), d.choice("vc", VERSIONS)).alias("vc"),
+        F.when(apple, F.lit("Appstore")).otherwise(d.choice("ch", CHANNELS)).alias("ch"),
+        F.when(apple, F.concat(F.lit("iOS "), d.choice("os", IOS)))
+        .otherwise(F.concat(F.lit("Android "), d.choice("os", ANDROID)))
+        .alias("os"),
+        d.choice("ar", AREAS).alias("ar"),
+        model.alias("md"),
+        brand.alias("ba"),
+    )
+
+
+def _start(d: _Draw) -> Column:
+    shown = d.number("ad_ms", 1000, 10_000)
+    return F.struct(
+        d.choice("entry", ENTRIES).alias("entry"),
+        d.number("ad", 1, 20).cast("long").alias("openAdId"),
+        shown.alias("openAdMs"),
+        F.when(d.happens("skip", 50), F.lit(0)).otherwise(d.number("skip_ms", 1000, shown)).alias("openAdSkipMs"),
+        d.number("loading", 1000, 20_000).alias("loadingTime"),
+    )
+
+
+def _page(d: _Draw) -> Column:
+    page = F.col("page_id")
+    first = d.number("skus", 0, MAX_SKU - 1)
+    # The stride keeps up to three skus different.
+    skus = F.transform(
+        F.sequence(F.lit(1), d.number("n_skus", 1, 3)), lambda i: (F.pmod(first + i * 33_331, F.lit(MAX_SKU)) + 1)
+    )
+    item_type = (
+        F.when(page.isin(SKU_PAGES), "sku_id")
+        .when(page == "good_list", "keyword")
+        .when(page.isin(SKU_LIST_PAGES), "sku_ids")
+    )
+    item = (
+        F.when(page.isin(SKU_PAGES), d.number("sku", 1, MAX_SKU).cast("string"))
+        .when(page == "good_list", d.choice("keyword", KEYWORDS))
+        .when(page.isin(SKU_LIST_PAGES), F.array_join(skus.cast("array<string>"), ","))
+    )
+    return F.struct(
+        F.col("last_page_id").alias("lastPageId"),
+        page.alias("pageId"),
+        item_type.alias("itemType"),
+        item.alias("item"),
+        F.col("during").alias("duringTime"),
+        F.lit(None).cast("string").alias("extend1"),
+        F.lit(None).cast("string").alias("extend2"),
+        F.when(page.isin(SKU_PAGES), d.choice("source", SOURCES)).alias("sourceType"),
+    )
+
+
+def _actions(d: _Draw) -> Column:
+    page = F.col("page_id")
+
+    def action(name: str, on: str, rate: int, kind: str | None = None, top: int = 0) -> Column:
+        item = d.number(f"{name}.item", 1, top).cast("string") if kind else F.lit(None).cast("string")
+        made = F.struct(F.lit(name).alias("actionId"), F.lit(kind).cast("string").alias("itemType"), item.alias("item"))
+        return F.when((page == on) & d.happens(name, rate), made)
+
+    taken = F.array_compact(
+        F.array(
+            action("favor_add", "good_detail", FAVOR_RATE),
+            action("cart_add", "good_detail", CART_RATE),
+            action("get_coupon", "good_detail", COUPON_RATE, "coupon_id", MAX_COUPON),
+            action("cart_add_num", "cart", CART_EDIT_RATE, "sku_id", MAX_SKU),
+            action("cart_minus_num", "cart", CART_EDIT_RATE, "sku_id", MAX_SKU),
+            action("cart_remove", "cart", CART_EDIT_RATE, "sku_id", MAX_SKU),
+            action("trade_add_address", "trade", ADDRESS_RATE),
+        )
+    )
+    # Actions are spread evenly over the stay on the page.
+    pace = F.floor(F.col("during") / (F.size(taken) + 1))
+    return F.transform(
+        taken,
+        lambda a, i: F.struct(
+            a["actionId"].alias("actionId"),
+            a["itemType"].alias("itemType"),
+            a["item"].alias("item"),
+            F.lit(None).cast("string").alias("extend1"),
+            F.lit(None).cast("string").alias("extend2"),
+            (F.col("ts") + (i + 1) * pace).alias("ts"),
+        ),
+    )
+
+
+def _displays(d: _Draw, skew: int) -> Column:
+    page = F.col("page_id")
+
+    def display(kind: str, item: Column, shown: Column, order: Column, position: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("itemType"),
+            item.cast("string").alias("item"),
+            shown.alias("displayType"),
+            order.cast("int").alias("order"),
+            position.alias("posId"),
+        )
+
+    n_activities = F.when(page.isin(ACTIVITY_PAGES), d.number("n_act", 1, MAX_ACTIVITY)).otherwise(0)
+    activities = F.transform(
+        F.sequence(F.lit(1), n_activities.cast("int")),
+        lambda i: display(
+            "activity_id", d.number("act", 1, MAX_ACTIVITY, i), F.lit("activity"), i, d.number("act_pos", 1, MAX_POSITION)
+        ),
+    )
+    hot = page == "good_detail"
+    skus = F.transform(
+        F.sequence(F.lit(1), d.number("n_sku", MIN_DISPLAYS, MAX_DISPLAYS)),
+        lambda i: display(
+            "sku_id",
+            F.when(hot & d.happens("sku_skew", skew, i), F.lit(MAX_SKU // 2)).otherwise(d.number("d_sku", 1, MAX_SKU, i)),
+            d.choice("d_type", DISPLAYS, i),
+            i + n_activities,
+            d.number("d_pos", 1, MAX_POSITION, i),
+        ),
+    )
+    none = F.slice(skus, 1, 0)
+    return F.concat(
+        F.when(n_activities > 0, activities).otherwise(none), F.when(page.isin(DISPLAY_PAGES), skus).otherwise(none)
+    )
+
+
+def generate_app_logs(sessions: DataFrame, session_id: str, seed: int = 1, skew_pct: int = 80) -> DataFrame:
+    """The logs of each session: a start log, then one log per page of a weighted path.
+
+    A hot device and a hot article take ``skew_pct`` percent of their draws. About
+    3 % of the logs carry an error.
+    """
+    s = _Draw(seed, "session_id")
+    paths = [F.array(*[F.lit(p) for p in path]) for path, _ in PATHS]
+    picked = s.choice("path", [(i, w) for i, (_, w) in enumerate(PATHS)])
+    base = sessions.select(F.col(session_id).alias("session_id")).select(
+        "session_id",
+        (F.lit(START_OF_DAY_MS).cast("long") + s.number("clock", 0, 86_399_999)).alias("ts"),
+        _common(s, skew_pct).alias("common"),
+        F.get(F.array(*paths), picked).alias("path"),
+    )
+    steps = base.select(
+        "*", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), "path")).alias("step", "page_id")
+    ).withColumn("last_page_id", F.when(F.col("step") > 1, F.get("path", F.col("step") - 2)))
+    d = _Draw(seed, "session_id", "step")
+    timed = steps.withColumn("during", F.when(F.col("step") > 0, d.number("during", 1000, MAX_PAGE_MS)))
+    error = F.struct(
+        d.number("code", 1001, 4001).alias("errorCode"), F.lit("java.net.SocketTimeoutException").alias("msg")
+    )
+    is_page = F.col("step") > 0
+    actions, displays = _actions(d), _displays(d, skew_pct)
+    return timed.select(
+        "session_id",
+        "step",
+        "ts",
+        "common",
+        F.when(is_page, _page(d)).alias("page"),
+        F.when(d.happens("error", ERROR_RATE), error).alias("err"),
+        F.lit(None).cast("string").alias("notice"),
+        F.when(~is_page, _start(s)).alias("start"),
+        F.when(is_page & (F.size(displays) > 0), displays).alias("displays"),
+        F.when(is_page & (F.size(actions) > 0), actions).alias("actions"),
+    )
+
+
+def as_json(logs: DataFrame) -> DataFrame:
+    """Each log as one JSON text, absent parts left out."""
+    parts = ["ts", "common", "page", "err", "notice", "start", "displays", "actions"]
+    return logs.select("session_id", "step", F.to_json(F.struct(*parts)).alias("value"))
