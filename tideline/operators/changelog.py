@@ -39,28 +39,31 @@ def decode_changes(raw: DataFrame, value: str = "value", carried: tuple[str, ...
 
     Schema records (no ``op``) get the kind ``schema`` and keep their text in ``ddl``.
     """
-    parsed = raw.select(*carried, F.col(value).alias("_raw"), F.from_json(value, ENVELOPE).alias("_e"))
+    # As a generator the parse happens once; a plain expression would be repeated for
+    # every field and again in each filter that Spark pushes below it.
+    envelope = F.inline(F.array(F.from_json("_raw", ENVELOPE)))
+    parsed = raw.select(*carried, F.col(value).alias("_raw")).select(*carried, "_raw", envelope)
     ddl = F.coalesce(
-        F.col("_e.historyRecord"),
+        F.col("historyRecord"),
         F.when(
-            F.col("_e.op").isNull(),
-            F.to_json(F.struct(F.coalesce(_nested_changes(), F.col("_e.tableChanges")).alias("tableChanges"))),
+            F.col("op").isNull(),
+            F.to_json(F.struct(F.coalesce(_nested_changes(), F.col("tableChanges")).alias("tableChanges"))),
         ),
     )
-    is_schema = F.col("_e.op").isNull() & (
-        F.col("_e.historyRecord").isNotNull()
-        | F.col("_e.schemaChanges").isNotNull()
-        | F.col("_e.tableChanges").isNotNull()
+    is_schema = F.col("op").isNull() & (
+        F.col("historyRecord").isNotNull()
+        | F.col("schemaChanges").isNotNull()
+        | F.col("tableChanges").isNotNull()
     )
     rows = parsed.select(
         *carried,
-        F.col("_e.source.db").alias("db"),
-        F.col("_e.source.table").alias("table"),
-        F.col("_e.op").alias("op"),
-        F.when(is_schema, F.lit("schema")).otherwise(kind_of(F.col("_e.op"))).alias("kind"),
-        F.col("_e.ts_ms").alias("ts_ms"),
-        F.col("_e.before").alias("before"),
-        F.col("_e.after").alias("after"),
+        F.col("source.db").alias("db"),
+        F.col("source.table").alias("table"),
+        "op",
+        F.when(is_schema, F.lit("schema")).otherwise(kind_of(F.col("op"))).alias("kind"),
+        "ts_ms",
+        "before",
+        "after",
         F.when(is_schema, ddl).alias("ddl"),
         "_raw",
     )
@@ -69,7 +72,7 @@ def decode_changes(raw: DataFrame, value: str = "value", carried: tuple[str, ...
 
 def _nested_changes() -> Column:
     return F.transform(
-        "_e.schemaChanges",
+        "schemaChanges",
         lambda c: F.struct(c["type"].alias("type"), F.struct(c["columns"].alias("columns")).alias("table")),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tideline.functions import documents, text, types
 from tideline.operators import joins, routing, running
 from tideline.plans.registry import query, table
+from tideline.session import spread_small_scan
 from tideline.sources import app_logs
 
 
@@ -20,17 +21,21 @@ def map_prefix(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.prefix_values("o_orderpriority").alias("message"))
 
 
+def _documents(spark, d):
+    return spread_small_scan(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+
+
 _WORDS = "SELECT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM documents"
 
 
 @query("tokenize", f"SELECT doc_id, word FROM ({_WORDS}) WHERE word <> ''")
 def tokenize(spark, d):
-    return text.tokenize(table(spark, d, "documents").select("doc_id", "text"), "text", " ")
+    return text.tokenize(_documents(spark, d), "text", " ")
 
 
 @query("word_count", f"SELECT word, count(*) AS n FROM ({_WORDS}) WHERE word <> '' GROUP BY word")
 def word_count(spark, d):
-    words = text.tokenize(table(spark, d, "documents").select("text"), "text", " ")
+    words = text.tokenize(_documents(spark, d), "text", " ")
     return running.count_by(words, ["word"])
 
 
@@ -197,7 +202,7 @@ _RULE_UPDATES = [
 )
 def rule_match(spark, d):
     updates = spark.createDataFrame(_RULE_UPDATES, "seq int, rule_id string, pattern string")
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = _documents(spark, d)
     return joins.match_rules(docs, joins.latest_rules(updates), "text", "doc_id").drop("text")
 
 
@@ -212,7 +217,7 @@ def rule_match_large(spark, d):
     rules = table(spark, d, "benchmark").select(
         F.col("item_id").alias("rule_id"), F.lower(F.substring("text", 1, 40)).alias("pattern")
     )
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = _documents(spark, d)
     return joins.match_rules(docs, rules, "text", "doc_id", max_inline=0).drop("text")
 
 

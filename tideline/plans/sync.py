@@ -206,7 +206,7 @@ class DatabaseSync:
             "seq long, kind string, image string, db string, table string"
         ).parquet(folder)
         rows = staged.where((F.col("db") == plan.db) & (F.col("table") == plan.name))
-        typed = rows.select("seq", "kind", *parse_image(F.col("image"), plan.schema))
+        typed = parse_images(rows, plan.schema)
         table.merge(typed, batch_id, self.source, schema=plan.schema, truncate=plan.truncate)
         if table.needs_compaction() and table.key:
             table.compact()
@@ -216,24 +216,28 @@ def _field(name: Column) -> Column:
     return F.call_function("get_json_object", F.col("image"), F.concat(F.lit("$."), name))
 
 
-def parse_image(image: Column, schema: Schema) -> list[Column]:
-    """The columns of a JSON row image in the types of ``schema``.
+def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
+    """Rows with ``seq``, ``kind`` and a JSON ``image`` in the columns of ``schema``.
 
     Fields are read by name. Rows older than a column's start give null, rows
     older than a rename are read under the former name.
     """
-    names = {n for c in schema.columns for n in (c["name"], *[a["name"] for a in c["aliases"]])}
-    text = T.StructType([T.StructField(n, T.StringType()) for n in sorted(names)])
-    fields = F.from_json(image, text)
+    names = sorted({n for c in schema.columns for n in (c["name"], *[a["name"] for a in c["aliases"]])})
+    text = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(names))])
+    field_of = {n: F.col(f"f{i}") for i, n in enumerate(names)}
+    wanted = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    # The generator keeps Spark from parsing the image once per column.
+    image = F.inline(F.array(F.from_json("image", wanted).cast(text)))
+    fields = rows.select("seq", "kind", image)
     out = []
     for c in schema.columns:
-        value = fields[c["name"]]
+        value = field_of[c["name"]]
         for alias in reversed(c["aliases"]):
-            value = F.when(F.col("seq") < alias["until_seq"], fields[alias["name"]]).otherwise(value)
+            value = F.when(F.col("seq") < alias["until_seq"], field_of[alias["name"]]).otherwise(value)
         if c["from_seq"]:
             value = F.when(F.col("seq") >= c["from_seq"], value)
         out.append(_typed(value, spark_type(c["type"])).alias(c["name"]))
-    return out
+    return fields.select("seq", "kind", *out)
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:

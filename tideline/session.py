@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -47,3 +47,13 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", folder)
         return folder
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+def spread_small_scan(scan: DataFrame, key: str) -> DataFrame:
+    """Spreads rows over all cores when a scan has fewer partitions than cores.
+
+    For work that costs much more per row than a shuffle does. A large scan has
+    many splits already and is returned as it is. ``key`` should be unique.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.session import spread_small_scan
+
 # Page paths and their weights.
 PATHS = [
     (["home", "good_list", "good_detail", "cart", "trade", "payment"], 20),
@@ -220,12 +222,13 @@ def generate_app_logs(sessions: DataFrame, session_id: str, seed: int = 1, skew_
     """The logs of each session: a start log, then one log per page of a weighted path.
 
     A hot device and a hot article take ``skew_pct`` percent of their draws. About
-    3 % of the logs carry an error.
+    3 % of the logs carry an error. A session costs far more than its id, so ids
+    that come in few partitions are spread first.
     """
     s = _Draw(seed, "session_id")
     paths = [F.array(*[F.lit(p) for p in path]) for path, _ in PATHS]
     picked = s.choice("path", [(i, w) for i, (_, w) in enumerate(PATHS)])
-    base = sessions.select(F.col(session_id).alias("session_id")).select(
+    base = spread_small_scan(sessions.select(F.col(session_id).alias("session_id")), "session_id").select(
         "session_id",
         (F.lit(START_OF_DAY_MS).cast("long") + s.number("clock", 0, 86_399_999)).alias("ts"),
         _common(s, skew_pct).alias("common"),
@@ -240,8 +243,9 @@ def generate_app_logs(sessions: DataFrame, session_id: str, seed: int = 1, skew_
         d.number("code", 1001, 4001).alias("errorCode"), F.lit("java.net.SocketTimeoutException").alias("msg")
     )
     is_page = F.col("step") > 0
-    actions, displays = _actions(d), _displays(d, skew_pct)
-    return timed.select(
+    actions, displays = F.col("_actions"), F.col("_displays")
+    drawn = timed.withColumns({"_actions": _actions(d), "_displays": _displays(d, skew_pct)})
+    return drawn.select(
         "session_id",
         "step",
         "ts",
