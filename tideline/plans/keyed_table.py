@@ -232,10 +232,11 @@ class KeyedTable:
             return False
         schema = schema or self.schema
         rows = net.withColumns({SEQ: F.col("seq").cast("long"), DELETED: F.col("kind") == "delete"})
-        if not schema.key:
-            rows = rows.where(~F.col(DELETED))
-        layer = self._write_layer(rows, schema, base=False)
         layers = [] if truncate else self.manifest["layers"]
+        first = not layers  # nothing to put the rows over: they are the base
+        if first or not schema.key:
+            rows = rows.where(~F.col(DELETED))
+        layer = self._write_layer(rows, schema, base=first)
         if layer["rows"]:
             layers = [*layers, layer]
         applied = dict(self.manifest["applied"])

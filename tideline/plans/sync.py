@@ -175,13 +175,11 @@ class DatabaseSync:
         data = good.where(F.col("kind").isin("insert", "update", "delete"))
         joined = data.join(F.broadcast(info), ["db", "table"]).where(F.col("seq") > F.col("floor_seq"))
         image = F.coalesce(F.when(F.col("kind") == "delete", F.col("before")), F.col("after"))
+        fields = F.from_json("image", "map<string,string>")
         key_text = F.to_json(
-            F.transform(
-                "key_names",
-                lambda names: F.get(F.array_compact(F.transform(names, _field)), F.lit(0)),
-            )
+            F.transform("key_names", lambda names: F.get(F.array_compact(F.transform(names, _field)), F.lit(0)))
         )
-        keyed = joined.withColumn("image", image).withColumn(
+        keyed = joined.withColumn("image", image).withColumn("fields", fields).withColumn(
             "key_text", F.when(F.size("key_names") > 0, key_text).otherwise(F.col("seq").cast("string"))
         )
         net = changelog.compact_changes(
@@ -213,7 +211,7 @@ class DatabaseSync:
 
 
 def _field(name: Column) -> Column:
-    return F.call_function("get_json_object", F.col("image"), F.concat(F.lit("$."), name))
+    return F.element_at("fields", name)
 
 
 def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
