@@ -108,7 +108,13 @@ def order_timeouts(
         ),
     )
     paid = F.when(F.col("_action") == "create", False).when(F.col("_action") == "pay", True)
-    state = OrderedScan(stacked.withColumn("_set", paid), keys, ["_at", "_side", "_tie"]).add(_paid=Last("_set"))
+    # The events alone tell where the keys are hot; counting the stack would scan them all again.
+    state = OrderedScan(
+        stacked.withColumn("_set", paid),
+        keys,
+        ["_at", "_side", "_tie"],
+        measure=known.withColumn("_at", F.col("_us")),
+    ).add(_paid=Last("_set"))
     status = (
         F.when(F.col("_action") == "create", "created")
         .when(F.col("_action") == "pay", "paid")

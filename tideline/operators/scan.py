@@ -184,7 +184,10 @@ class OrderedScan:
 
     ``order`` must be total within a key (end it with a unique column) and start
     with a number or timestamp. ``descending`` scans from the last row back,
-    which turns :class:`Lag` into a lead.
+    which turns :class:`Lag` into a lead. Where ``df`` is costly to compute twice,
+    ``measure`` names a cheaper relation with the keys and the first order column
+    whose key counts and positions are about the same; it decides where to cut,
+    never what the result is.
     """
 
     def __init__(
@@ -194,6 +197,7 @@ class OrderedScan:
         order: list[str],
         *,
         descending: bool = False,
+        measure: DataFrame | None = None,
         hot_rows: int | None = None,
         max_hot: int = MAX_HOT,
         max_slices: int = MAX_SLICES,
@@ -202,8 +206,9 @@ class OrderedScan:
         limit = hot_rows or int(spark.conf.get(CONF_HOT_ROWS, str(HOT_ROWS)))
         self.keys = list(keys)
         self.order = _Order(tuple(order), descending)
-        self.sliced, df = _cut_hot_keys(df, self.keys, order[0], limit, max_hot, max_slices)
-        self.df = df
+        self.sliced, self.df = _cut_hot_keys(
+            df, df if measure is None else measure, self.keys, order[0], limit, max_hot, max_slices
+        )
 
     def add(self, **specs) -> "OrderedScan":
         """Adds one column per spec; later calls may use earlier columns."""
@@ -288,18 +293,18 @@ class OrderedScan:
         return parts[0] if len(parts) == 1 else parts[0].join(parts[1], group)
 
 
-def _cut_hot_keys(df, keys, position, limit, max_hot, max_slices):
-    """Adds ``_slice`` and ``_hot`` when some key has more than ``limit`` rows."""
+def _cut_hot_keys(df, measure, keys, position, limit, max_hot, max_slices):
+    """Adds ``_slice`` and ``_hot`` when some key of ``measure`` has more than ``limit`` rows."""
     counted = F.count(F.lit(1)).alias("_n")
     if keys:
         present = [F.col(k).isNotNull() for k in keys]
-        counts = df.groupBy(*keys).agg(counted).where(F.col("_n") > limit)
+        counts = measure.groupBy(*keys).agg(counted).where(F.col("_n") > limit)
         for condition in present:
             counts = counts.where(condition)
         # At most max_hot rows reach the driver, however many keys there are.
         top = counts.orderBy(F.desc("_n")).limit(max_hot).collect()
     else:
-        top = [row for row in df.agg(counted).collect() if row["_n"] > limit]
+        top = [row for row in measure.agg(counted).collect() if row["_n"] > limit]
     if not top:
         return False, df
 
@@ -314,7 +319,7 @@ def _cut_hot_keys(df, keys, position, limit, max_hot, max_slices):
         [tuple(r[k] for k in keys) + (max(1, round(fine * r["_n"] / most)),) for r in top],
         T.StructType([*key_fields, T.StructField("_parts", T.IntegerType())]),
     )
-    ranked = df.select(*keys, pos.alias("_pos"))
+    ranked = measure.select(*keys, pos.alias("_pos"))
     if keys:
         ranked = ranked.join(F.broadcast(hot), keys)  # bounded by max_hot rows
     else:

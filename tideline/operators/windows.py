@@ -53,9 +53,9 @@ def session_agg(
     """
     keys = keys or []
     width = interval_micros(gap)
+    celled = df.withColumn("_us", F.unix_micros(ts)).withColumn("_cell", F.floor(F.col("_us") / F.lit(width)))
     cells = (
-        df.withColumn("_us", F.unix_micros(ts))
-        .groupBy(*keys, F.floor(F.col("_us") / F.lit(width)).alias("_cell"))
+        celled.groupBy(*keys, "_cell")
         .agg(
             F.min("_us").alias("_first"),
             F.max("_us").alias("_last"),
@@ -63,7 +63,7 @@ def session_agg(
             F.sum(value).alias("total"),
         )
     )
-    scan = OrderedScan(cells, keys, ["_cell"]).add(_before=Lag("_last"))
+    scan = OrderedScan(cells, keys, ["_cell"], measure=celled).add(_before=Lag("_last"))
     fresh = F.col("_before").isNull() | (F.col("_first") - F.col("_before") > width)
     numbered = scan.derive(_fresh=fresh.cast("int")).add(_session=Sum("_fresh")).result()
     return (

@@ -18,9 +18,9 @@ TABLE = "CASE user_id % 3 WHEN 0 THEN 'accounts' WHEN 1 THEN 'carts' ELSE 'visit
 _CL = f"(SELECT *, {OP} AS op, {TABLE} AS tbl FROM events)"
 
 
-def change_log(spark, d):
+def change_log(spark, d, where=None):
     """Typed changes with their row images as columns."""
-    return table(spark, d, "events").select(
+    return table(spark, d, "events", where).select(
         F.col("event_id").alias("seq"),
         F.lit("shop").alias("db"),
         F.expr(TABLE).alias("table"),
@@ -81,12 +81,11 @@ def cdc_compact(spark, d):
 )
 def cdc_apply(spark, d):
     """The first half of the month builds the table, the second half is applied to it."""
-    log = change_log(spark, d)
-    cut = F.col("changed_at") < F.lit(1705276800000)
-    wanted = ["user_id", "event_type", "value", "seq"]
-    first = changelog.compact_changes(log.where(cut).select(*wanted, "kind"), ["user_id"])
-    target = first.where(F.col("kind") != "delete").select(*wanted)
-    net = changelog.compact_changes(log.where(~cut).select(*wanted, "kind"), ["user_id"])
+    wanted = ["user_id", "event_type", "value", "seq", "kind"]
+    middle = "TIMESTAMP_NTZ'2024-01-15 00:00:00'"
+    before, since = (change_log(spark, d, f"ts {op} {middle}").select(*wanted) for op in ("<", ">="))
+    target = changelog.compact_changes(before, ["user_id"]).where(F.col("kind") != "delete").drop("kind")
+    net = changelog.compact_changes(since, ["user_id"])
     return changelog.apply_changes(target, net, ["user_id"])
 
 
