@@ -250,3 +250,18 @@ def test_group_counts_follow_retractions(spark):
     df = spark.createDataFrame(rows, "seq int, kind string, id int, name string")
     images = changelog.with_before_images(df, ["id"], ["name"])
     assert values(changelog.group_count(images, ["name"])) == [("b", 2)]
+
+
+@pytest.mark.parametrize("max_inline", [500, 0])
+def test_rules_as_of_arrival(spark, max_inline):
+    updates = spark.createDataFrame([(1, "rule_1", "error"), (2, "rule_2", "warning"), (5, "rule_1", "critical")],
+                                    "seq int, rule_id string, pattern string")
+    messages = spark.createDataFrame(
+        [(0, "u0", "error: too early"), (3, "u1", "error: failed"), (4, "u1", "critical: crash"),
+         (6, "u1", "critical: crash"), (7, "u3", "Warning: error")], "seq int, user string, m string")
+    out = joins.match_rules_as_of(messages, updates, "m", "seq", max_inline=max_inline)
+    assert sorted(values(out, "seq", "rule_id")) == [(3, "rule_1"), (6, "rule_1"), (7, "rule_2")]
+    assert values(out.where("seq = 3").select(joins.rule_message("user", "m"))) == [
+        ("User u1 matched rule rule_1 (error): error: failed",)]
+    assert values(joins.update_messages(updates.limit(1), "rule", "rule_id", "pattern"), "message") == [
+        ("Rule updated: rule_1 -> error",)]

@@ -225,3 +225,24 @@ def test_restart_writes_each_row_once(spark, feed, tmp_path):
             feed.stream(), str(tmp_path / "out"), str(tmp_path / "once")
         ).awaitTermination(60)
     assert sorted(r["seq"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [*range(20), 99]
+
+
+def test_rules_are_read_again_per_batch(spark, feed, tmp_path):
+    rules = tmp_path / "rules"
+    rules.mkdir()
+    got = []
+
+    def run():
+        schema = "seq int, rule_id string, pattern string"
+        streams.match_rules(
+            feed.stream().select("seq", "action"), lambda: spark.read.schema(schema).json(str(rules)), "action", "seq",
+            lambda b, _: got.extend(b.collect()), str(tmp_path / "rule-checkpoint"),
+        ).awaitTermination(60)
+
+    (rules / "1.json").write_text('{"seq": 1, "rule_id": "r", "pattern": "pay"}')
+    feed.put(("a", 1, 0, 0.0, "PAYMENT"), ("a", 2, 0, 0.0, "cancel"))
+    run()
+    (rules / "2.json").write_text('{"seq": 2, "rule_id": "r", "pattern": "cancel"}')
+    feed.put(("a", 3, 0, 0.0, "pay"), ("a", 4, 0, 0.0, "cancelled"))
+    run()
+    assert sorted((r["seq"], r["pattern"]) for r in got) == [(1, "pay"), (4, "cancel")]

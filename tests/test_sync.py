@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from tideline.plans.document_sync import Collection, DocumentSync
 from tideline.plans.keyed_table import KeyedTable, Schema
 from tideline.plans.sync import DatabaseSync
 
@@ -211,3 +212,22 @@ def test_schema_rules():
         schema.drop("id")
     schema.rename("id", "key")
     assert schema.key == ["key"]
+
+
+@pytest.mark.parametrize("apply_deletes", [False, True])
+def test_documents_become_a_flat_table(spark, tmp_path, apply_deletes):
+    fields = (("_id", "STRING"), ("name", "STRING"), ("address.city", "STRING"), ("age", "BIGINT"), ("tags", "STRING"))
+    sync = DocumentSync(spark, str(tmp_path), [Collection("users", fields)], apply_deletes)
+    records = [
+        (1, "s.app.users", "c", None, '{"_id":"a","name":"Ann","address":{"city":"Rome"},"age":3,"tags":["x","y"]}'),
+        (2, "s.app.users", "c", None, '{"_id":"b","name":"Bob"}'),
+        (3, "s.app.users", "u", None, '{"_id":"b","name":"Bobby","age":4}'),
+        (4, "s.app.other", "c", None, '{"_id":"z"}'),
+        (5, "s.app.users", "d", '{"_id":"a"}', None),
+    ]
+    batch_ = spark.createDataFrame(records, "seq long, topic string, op string, before string, after string")
+    for _ in range(2):
+        sync.apply_batch(batch_, 0)
+    ann = [("a", "Ann", "Rome", 3, '["x","y"]')]
+    assert rows_of(KeyedTable.load(spark, sync.path("users"))) == ([] if apply_deletes else ann) + [
+        ("b", "Bobby", None, 4, None)]

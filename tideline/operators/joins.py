@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.scan import Last, OrderedScan
+from tideline.operators.scan import Lag, Last, OrderedScan
 
 MAX_INLINE_RULES = 500  # beyond this many rules the gram index is used
 GRAM = 8
@@ -101,6 +101,53 @@ def latest_rules(rules: DataFrame, rule_id: str = "rule_id", seq: str = "seq") -
     return rules.groupBy(rule_id).agg(F.max_by("pattern", seq).alias("pattern"))
 
 
+def match_rules_as_of(
+    messages: DataFrame,
+    updates: DataFrame,
+    text: str,
+    message_id: str,
+    seq: str = "seq",
+    max_inline: int = MAX_INLINE_RULES,
+) -> DataFrame:
+    """Like :func:`match_rules`, each message against the rules that were current when it arrived.
+
+    ``updates`` has ``rule_id``, ``pattern`` and ``seq``, in one sequence with the
+    messages. Every update is matched as a rule of its own and holds until the next
+    one of the same rule arrives.
+    """
+    versions = (
+        OrderedScan(updates.select("rule_id", "pattern", F.col(seq).alias("_from")), ["rule_id"], ["_from"], descending=True)
+        .add(_until=Lag("_from"))
+        .result()
+    )
+    tagged = versions.select(F.struct("rule_id", "_from", "_until").alias("rule_id"), "pattern")
+    if tagged.limit(max_inline + 1).count() <= max_inline:
+        # As JSON the validity travels inside the literal rule list.
+        tagged = tagged.withColumn("rule_id", F.to_json("rule_id"))
+        spec = updates.select("rule_id", F.col(seq).alias("_from"), F.col(seq).alias("_until")).schema.simpleString()
+        hits = match_rules(messages, tagged, text, message_id, max_inline)
+        hits = hits.withColumn("_rule", F.from_json("rule_id", spec))
+    else:
+        hits = match_rules(messages, tagged, text, message_id, 0).withColumn("_rule", F.col("rule_id"))
+    live = (F.col(seq) > F.col("_rule._from")) & (F.col("_rule._until").isNull() | (F.col(seq) < F.col("_rule._until")))
+    return hits.where(live).select(*messages.columns, F.col("_rule.rule_id").alias("rule_id"), "pattern")
+
+
+def rule_message(user: str, text: str) -> Column:
+    """``User u matched rule r (p): text``, for a row of :func:`match_rules`."""
+    return F.format_string(
+        "User %s matched rule %s (%s): %s", F.col(user).cast("string"), F.col("rule_id").cast("string"), "pattern", text
+    )
+
+
+def update_messages(updates: DataFrame, kind: str, key: str, value: str) -> DataFrame:
+    """What a rule or configuration stream reports of its own updates; ``kind`` is ``rule`` or ``config``."""
+    form = {"rule": "Rule updated: %s -> %s", "config": "Config updated: %s threshold=%s"}[kind]
+    return updates.select(
+        "*", F.format_string(form, F.col(key).cast("string"), F.col(value).cast("string")).alias("message")
+    )
+
+
 def match_rules(
     messages: DataFrame,
     rules: DataFrame,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Defaults; a session may override them with the configuration keys below.
-HOT_ROWS = 1_000_000  # a key with more rows than this is cut into slices
+HOT_ROWS = 4_000_000  # a key with more rows than this is cut into slices of about that size
 MAX_HOT = 10_000  # keys that may be cut; all others hold at most 1/MAX_HOT of the rows
 MAX_SLICES = 4096  # slices of one key
 CONF_HOT_ROWS = "tideline.scan.hotRows"

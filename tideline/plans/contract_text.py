@@ -221,6 +221,36 @@ def rule_match_large(spark, d):
     return joins.match_rules(docs, rules, "text", "doc_id", max_inline=0).drop("text")
 
 
+@query(
+    "rule_match_as_of",
+    """
+    WITH updates AS (SELECT item_id * 25 AS seq, 'rule_' || item_id % 7 AS rule_id, lower(substr(text, 3, 3)) AS pattern
+                     FROM benchmark),
+         versions AS (SELECT *, lead(seq) OVER (PARTITION BY rule_id ORDER BY seq) AS until FROM updates)
+    SELECT doc_id, rule_id, pattern FROM documents
+    JOIN versions ON contains(lower(text), pattern) AND doc_id > seq AND (until IS NULL OR doc_id < until)
+    """,
+)
+def rule_match_as_of(spark, d):
+    """Rules from the benchmark texts, updated while the documents arrive."""
+    updates = table(spark, d, "benchmark").select(
+        (F.col("item_id") * 25).alias("seq"),
+        F.concat(F.lit("rule_"), (F.col("item_id") % 7).cast("string")).alias("rule_id"),
+        F.lower(F.substring("text", 3, 3)).alias("pattern"),
+    )
+    docs = _documents(spark, d).withColumn("seq", F.col("doc_id"))
+    return joins.match_rules_as_of(docs, updates, "text", "doc_id").select("doc_id", "rule_id", "pattern")
+
+
+@query(
+    "rule_updates",
+    """SELECT item_id, 'Rule updated: ' || item_id || ' -> ' || lower(substr(text, 1, 10)) AS message FROM benchmark""",
+)
+def rule_updates(spark, d):
+    rules = table(spark, d, "benchmark").select("item_id", F.lower(F.substring("text", 1, 10)).alias("pattern"))
+    return joins.update_messages(rules, "rule", "item_id", "pattern").select("item_id", "message")
+
+
 @query(
     "normalize_time",
     """

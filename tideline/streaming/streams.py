@@ -7,6 +7,8 @@ one output per input, timers or expiring state use a keyed state machine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +74,24 @@ def lookup_join(stream: DataFrame, dimension: DataFrame, stream_key: str, dim_ke
     return joins.lookup_join(stream, dimension, stream_key, dim_key)
 
 
+def match_rules(
+    stream: DataFrame,
+    read_rules: Callable[[], DataFrame],
+    text: str,
+    message_id: str,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: dict | None = None,
+):
+    """Matches a stream against rule updates that are read again for every micro-batch."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(joins.match_rules(batch, joins.latest_rules(read_rules()), text, message_id), batch_id)
+
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def running_stats(stream: DataFrame, key: str, seq: str, value: str) -> DataFrame:
     """Count, sum and average so far, one row per input."""
     rows = stream.select(F.col(key).alias("key"), F.col(seq).alias("seq"), F.col(value).cast("double").alias("value"))
