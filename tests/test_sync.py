@@ -198,6 +198,24 @@ def test_empty_change_set_and_lost_race(spark, tmp_path):
         other.truncate()
 
 
+@pytest.mark.parametrize("key", [["id"], []])
+def test_small_deltas_are_folded(spark, tmp_path, key):
+    table = KeyedTable.create(spark, f"{tmp_path}/t", [("id", "INT"), ("v", "INT")], key)
+    table.load_snapshot(spark.range(1000).selectExpr("cast(id as int) AS id", "0 AS v"))
+    for n in range(7):
+        rows = [(n, n, n, "update"), (50, n, n, "update"), (90 + n, 0, n, "delete")]
+        table.merge(spark.createDataFrame(rows, "id int, v int, seq long, kind string").coalesce(1), n)
+        before = rows_of(table) if n == 6 else None
+        table.fold_deltas(fanout=2)
+    deltas = [x for x in table.manifest["layers"] if not x["base"]]
+    assert [x["level"] for x in deltas] == [2, 1, 0]
+    assert rows_of(table) == before
+    if key:
+        assert len(before) == 993 and (50, 6) in before and (6, 6) in before
+    else:
+        assert len(before) == 1014
+
+
 def test_schema_rules():
     schema = Schema.of([("id", "INT"), ("a", "INT")], ["id"])
     before = schema.copy().as_dict()

@@ -211,15 +211,15 @@ def infer_table_schemas(changes: DataFrame, key: str | None = None, seq: str = "
             ).alias("f")
         )
     )
-    first.createOrReplaceTempView("_tideline_first_changes")
     fields = first.sparkSession.sql(
         """
         SELECT f.db, f.table, e.key AS column, schema_of_variant(e.value) AS found,
                coalesce(array_contains(f.f.key, e.key), false) AS is_key,
                array_position(json_object_keys(f.f.image), e.key) AS ordinal,
                f.f.seq AS valid_from_seq
-        FROM _tideline_first_changes f, LATERAL variant_explode(parse_json(f.f.image)) e
-        """
+        FROM {first} f, LATERAL variant_explode(parse_json(f.f.image)) e
+        """,
+        first=first,
     )
     # Nested values, nulls and unknown types are kept as text.
     known = F.col("found").rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|BOOLEAN|BINARY)$")

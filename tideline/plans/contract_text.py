@@ -46,8 +46,8 @@ def word_count(spark, d):
 )
 def lateral_split(spark, d):
     text.register_split_table(spark)
-    table(spark, d, "part").createOrReplaceTempView("_tideline_part")
-    return spark.sql("SELECT p_partkey, p_name, word FROM _tideline_part, LATERAL split_table(p_name, ' ')")
+    part = table(spark, d, "part")
+    return spark.sql("SELECT p_partkey, p_name, word FROM {part}, LATERAL split_table(p_name, ' ')", part=part)
 
 
 @query(
@@ -132,8 +132,7 @@ _LINES = """
 
 
 def _validated(spark, d):
-    table(spark, d, "customer").createOrReplaceTempView("_tideline_customer")
-    return routing.validate_csv(spark.sql(_LINES.format(customer="_tideline_customer")), "line")
+    return routing.validate_csv(spark.sql(_LINES, customer=table(spark, d, "customer")), "line")
 
 
 @query(
@@ -297,8 +296,7 @@ _TYPE_NAMES = """
     """,
 )
 def type_map(spark, d):
-    table(spark, d, "part").createOrReplaceTempView("_tideline_types")
-    return types.map_types(spark.sql(_TYPE_NAMES.format(part="_tideline_types")))
+    return types.map_types(spark.sql(_TYPE_NAMES, part=table(spark, d, "part")))
 
 
 @query(

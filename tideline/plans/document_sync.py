@@ -61,8 +61,7 @@ class DocumentSync:
                 "seq", "kind", *[F.col(n).try_cast(spark_type(kind)).alias(n) for n, kind in c.columns]
             )
             table.merge(compact_changes(typed, [c.key]), batch_id, self.source)
-            if table.needs_compaction():
-                table.compact()
+            table.maintain()
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None):
         writer = stream.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint)

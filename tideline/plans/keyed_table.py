@@ -29,6 +29,7 @@ from tideline.plans import storage
 
 SEQ = "_seq"
 DELETED = "_deleted"
+FANOUT = 16  # deltas of a level before they are merged into one
 COMPACT_SHARE = 0.25  # deltas larger than this share of the base are folded in
 IDENTIFIER = re.compile(r"[a-zA-Z0-9_]+")
 
@@ -197,7 +198,7 @@ class KeyedTable:
 
     # Writing
 
-    def _write_layer(self, rows: DataFrame, schema: Schema, base: bool) -> dict:
+    def _write_layer(self, rows: DataFrame, schema: Schema, base: bool, level: int = 0) -> dict:
         folder = f"data/{uuid.uuid4().hex}"
         seen = Observation()
         stored = rows.select(
@@ -205,7 +206,7 @@ class KeyedTable:
         ).observe(seen, F.count(F.lit(1)).alias("rows"))
         # Rebalancing lets adaptive execution even out the files.
         stored.hint("rebalance").write.parquet(f"{self.path}/{folder}")
-        return {"dir": folder, "base": base, "rows": seen.get["rows"]}
+        return {"dir": folder, "base": base, "rows": seen.get["rows"], "level": level}
 
     def load_snapshot(self, rows: DataFrame, seq: int = 0) -> None:
         """Replaces the content with an initial load."""
@@ -260,6 +261,32 @@ class KeyedTable:
 
     # Maintenance
 
+    def maintain(self) -> None:
+        """Keeps reads cheap after a merge: folds many small deltas, or all of them when they are large."""
+        if self.key and self.needs_compaction():
+            self.compact()
+        else:
+            self.fold_deltas()
+
+    def fold_deltas(self, fanout: int = FANOUT) -> None:
+        """Merges deltas of one level into one of the next once there are ``fanout`` of them.
+
+        A changed row is rewritten once per level, so its cost grows with the
+        logarithm of the number of change sets.
+        """
+        level = 0
+        while True:
+            small = [x for x in self.manifest["layers"] if not x["base"] and x["level"] == level]
+            if len(small) < fanout:
+                return
+            schema = self.schema
+            rows = self._stored(small, schema)
+            merged = compact_changes(rows, schema.key, SEQ) if schema.key else rows
+            layer = self._write_layer(merged, schema, base=False, level=level + 1)
+            folded = {x["dir"] for x in small}
+            self._commit(layers=[x for x in self.manifest["layers"] if x["dir"] not in folded] + [layer])
+            level += 1
+
     def needs_compaction(self, share: float = COMPACT_SHARE) -> bool:
         base = sum(x["rows"] for x in self.manifest["layers"] if x["base"])
         deltas = sum(x["rows"] for x in self.manifest["layers"] if not x["base"])
@@ -275,18 +302,19 @@ class KeyedTable:
         self._commit(schema=schema, layers=[layer])
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Deletes layers that none of the last ``keep`` versions uses; returns their folders."""
-        names = storage.list_names(self.spark, f"{self.path}/_manifest")[-keep:]
+        """Deletes all versions but the last ``keep`` and the layers only they use; returns the folders."""
+        names = storage.list_names(self.spark, f"{self.path}/_manifest")
+        kept = names[-keep:]
         used = {
             x["dir"]
-            for n in names
+            for n in kept
             for x in storage.read_json(self.spark, f"{self.path}/_manifest/{n}")["layers"]
         }
         stale = [
             f"data/{n}" for n in storage.list_names(self.spark, f"{self.path}/data") if f"data/{n}" not in used
         ]
-        for folder in stale:
-            storage.delete_folder(self.spark, f"{self.path}/{folder}")
+        for old in [*(f"_manifest/{n}" for n in names if n not in kept), *stale]:
+            storage.delete_folder(self.spark, f"{self.path}/{old}")
         return stale
 
 

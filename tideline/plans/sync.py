@@ -206,8 +206,7 @@ class DatabaseSync:
         rows = staged.where((F.col("db") == plan.db) & (F.col("table") == plan.name))
         typed = parse_images(rows, plan.schema)
         table.merge(typed, batch_id, self.source, schema=plan.schema, truncate=plan.truncate)
-        if table.needs_compaction() and table.key:
-            table.compact()
+        table.maintain()
 
 
 def _field(name: Column) -> Column:
