@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.scan import Lag, Last, OrderedScan
 
@@ -120,17 +124,20 @@ def match_rules_as_of(
         .add(_until=Lag("_from"))
         .result()
     )
+    versions = versions.where(F.col("pattern").isNotNull())
+    few = versions.limit(max_inline + 1).collect()
+    if len(few) <= max_inline:
+        return _match_inline(
+            messages, versions.schema, few, text, lambda r: _live(F.col(seq), r["_from"], r["_until"])
+        )
     tagged = versions.select(F.struct("rule_id", "_from", "_until").alias("rule_id"), "pattern")
-    if tagged.limit(max_inline + 1).count() <= max_inline:
-        # As JSON the validity travels inside the literal rule list.
-        tagged = tagged.withColumn("rule_id", F.to_json("rule_id"))
-        spec = updates.select("rule_id", F.col(seq).alias("_from"), F.col(seq).alias("_until")).schema.simpleString()
-        hits = match_rules(messages, tagged, text, message_id, max_inline)
-        hits = hits.withColumn("_rule", F.from_json("rule_id", spec))
-    else:
-        hits = match_rules(messages, tagged, text, message_id, 0).withColumn("_rule", F.col("rule_id"))
-    live = (F.col(seq) > F.col("_rule._from")) & (F.col("_rule._until").isNull() | (F.col(seq) < F.col("_rule._until")))
-    return hits.where(live).select(*messages.columns, F.col("_rule.rule_id").alias("rule_id"), "pattern")
+    hits = _match_by_gram(messages, tagged, text, message_id)
+    live = _live(F.col(seq), F.col("rule_id._from"), F.col("rule_id._until"))
+    return hits.where(live).select(*messages.columns, F.col("rule_id.rule_id").alias("rule_id"), "pattern")
+
+
+def _live(at: Column, since: Column, until: Column) -> Column:
+    return (at > since) & (until.isNull() | (at < until))
 
 
 def rule_message(user: str, text: str) -> Column:
@@ -162,20 +169,33 @@ def match_rules(
     the rules whose leading gram it contains, and the full pattern is then
     checked. Only message ids and grams are shuffled for that.
     """
-    few = rules.select("rule_id", "pattern").where(F.col("pattern").isNotNull()).limit(max_inline + 1).collect()
+    known = rules.select("rule_id", "pattern").where(F.col("pattern").isNotNull())
+    few = known.limit(max_inline + 1).collect()
     if len(few) <= max_inline:
-        return _match_inline(messages, [(r["rule_id"], r["pattern"]) for r in few], text)
+        return _match_inline(messages, known.schema, few, text)
     return _match_by_gram(messages, rules, text, message_id)
 
 
-def _match_inline(messages: DataFrame, rules: list[tuple[str, str]], text: str) -> DataFrame:
-    listed = [F.struct(F.lit(i).alias("rule_id"), F.lit(p).alias("pattern")) for i, p in rules]
-    if not listed:
-        empty = F.struct(F.lit("").alias("rule_id"), F.lit("").alias("pattern"))
-        return messages.withColumn("_rule", empty).select("*", "_rule.*").drop("_rule").limit(0)
-    lowered = messages.withColumn("_lower", F.lower(text))
-    hit = F.filter(F.array(*listed), lambda r: F.contains(F.col("_lower"), r["pattern"]))
-    return lowered.select(*messages.columns, F.inline(hit))
+def _match_inline(
+    messages: DataFrame,
+    schema: T.StructType,
+    rules: list[Row],
+    text: str,
+    also: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Checks a literal list of rules; ``also`` is a cheaper condition that is checked first."""
+    # One folded literal, however many rules there are.
+    listed = json.dumps([r.asDict() for r in rules], default=str)
+    known = F.from_json(F.lit(listed), T.ArrayType(schema))
+
+    def found(lowered: Column) -> Column:
+        hit = lambda r: F.contains(lowered, r["pattern"])
+        return F.filter(known, lambda r: also(r) & hit(r) if also else hit(r))
+
+    # Bound to a variable, the lower-cased text is computed once per message and not per rule.
+    hits = F.flatten(F.transform(F.array(F.lower(text)), found))
+    shown = F.transform(hits, lambda r: F.struct(r["rule_id"].alias("rule_id"), r["pattern"].alias("pattern")))
+    return messages.select("*", F.inline(shown))
 
 
 def _match_by_gram(messages: DataFrame, rules: DataFrame, text: str, message_id: str) -> DataFrame:
