@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import byte_bpe, simhash, token_counts
+from tideline.llm import byte_bpe, language, simhash, token_counts, token_store, toxicity, warc
 from tideline.llm.common import table
 
 QUERIES: dict = {}
@@ -31,3 +31,31 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    model = toxicity.fit(docs.join(labels, "doc_id"))
+    scored = toxicity.with_score(docs, model).withColumn("held_out", toxicity.held_out())
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    return token_store.store(table(spark, folder, "documents"))
+
+
+@query
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out()))
+    scored = language.with_language(docs.select("doc_id", "text"), model).withColumn("held_out", language.held_out())
+    return scored.select("doc_id", "held_out", "lang_pred", "score")
