@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import byte_bpe, language, simhash, token_counts, token_store, toxicity, warc
+from tideline.llm import byte_bpe, decontaminate, language, simhash, token_counts, token_store, topk, toxicity, warc
 from tideline.llm.common import table
 
 QUERIES: dict = {}
@@ -59,3 +59,33 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit(docs.where(~language.held_out()))
     scored = language.with_language(docs.select("doc_id", "text"), model).withColumn("held_out", language.held_out())
     return scored.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLES["op6_topk"] = """
+WITH used AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM used q JOIN used c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.find(docs, table(spark, folder, "benchmark").select("item_id", "text"))
