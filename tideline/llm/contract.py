@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import byte_bpe, decontaminate, language, simhash, token_counts, token_store, topk, toxicity, warc
+from tideline.llm import byte_bpe, decontaminate, language, simhash, suffix_dedup, token_counts, token_store, topk, toxicity, warc
 from tideline.llm.common import table
 
 QUERIES: dict = {}
@@ -89,3 +90,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.find(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
