@@ -145,12 +145,7 @@ def links(fps: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame
         raise ValueError("the groupings by two of four blocks find links of at most two bits")
     block = [F.shiftrightunsigned("fp", 16 * k).bitwiseAND(0xFFFF) for k in range(4)]
     picks = [(i, j) for i in range(4) for j in range(i)]
-    keys = F.array(
-        *(
-            F.xxhash64(F.lit(n), block[i], block[j])
-            for n, (i, j) in enumerate(picks)
-        )
-    )
+    keys = F.array(*(F.xxhash64(F.lit(n), block[i], block[j]) for n, (i, j) in enumerate(picks)))
     keyed = fps.select("fp", F.explode(keys).alias("k"))
     large = keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > group)
     keyed = keyed.join(large, "k", "left")
@@ -162,9 +157,14 @@ def links(fps: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame
     def met(p, r, q, t, side):
         return F.struct(F.xxhash64("k", p, r, q, t).alias("g"), F.lit(side).alias("side"))
 
-    as_first = [F.transform(every, lambda t, d=d: met(ones, salt, ones + d, t.cast("bigint"), 1)) for d in (0, 1, 2)]
-    as_second = [F.transform(every, lambda t, d=d: met(ones - d, t.cast("bigint"), ones, salt, 2)) for d in (0, 1, 2)]
-    tiled = F.concat(*as_first, *as_second)
+    def as_first(d):
+        return F.transform(every, lambda t: met(ones, salt, ones + d, t.cast("bigint"), 1))
+
+    def as_second(d):
+        return F.transform(every, lambda t: met(ones - d, t.cast("bigint"), ones, salt, 2))
+
+    apart = range(radius + 1)
+    tiled = F.concat(*map(as_first, apart), *map(as_second, apart))
     alone = F.array(F.struct(F.col("k").alias("g"), F.lit(0).alias("side")))
     dealt = keyed.select("fp", F.explode(F.when(F.col("n").isNull(), alone).otherwise(tiled)).alias("x"))
     dealt = dealt.select("fp", "x.g", "x.side").repartition("g")
