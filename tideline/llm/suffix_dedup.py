@@ -355,8 +355,9 @@ def merged_windows(length: int, buckets: int):
         runs, covered = [], []
         for blob in rows["blob"]:
             run = unpack([blob], WINDOW)
-            digest = np.stack([run.pop("d1").astype(">u8"), run.pop("d2").astype(">u8")], axis=1)
-            run["digest"] = np.ascontiguousarray(digest).view("S16").ravel()
+            # As big-endian bytes, whose order is that of the numbers.
+            digest = np.stack([run.pop("d1"), run.pop("d2")], axis=1).astype(">u8")
+            run["digest"] = digest.view("S16").ravel()
             # A list may repeat a window of rows that share a key; one of them stands for all.
             keep = np.r_[True, run["digest"][1:] != run["digest"][:-1]]
             runs.append({c: v[keep] for c, v in run.items()})
