@@ -79,8 +79,8 @@ class Templates:
                 np.array(self.ends, bool),
             )
 
-    def windows(self, texts: list[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For runs of texts: each window's text, place in it and hash; then the run's token rows and holes.
+    def windows(self, texts: list[str], size: int) -> tuple:
+        """Each window's text, place in it, hash and token; then what ``slots`` needs of all tokens.
 
         A text with fewer tokens than ``size`` is one window; windows of mostly placeholders are left out.
         """
@@ -152,9 +152,9 @@ def _windows(size: int, bits: np.ndarray | None):
                 yield pd.DataFrame(
                     {
                         "h": h.view(np.int64),
-                        "key": keys.iloc[owner].array,
+                        "key": keys.to_numpy()[owner],
                         "place": place.astype(np.int32),
-                        "slots": [templates.slots(int(a), size, run) for a in at],
+                        "slots": pd.Series([templates.slots(int(a), size, run) for a in at], dtype=object),
                         "windows": total[owner].astype(np.int32),
                     }
                 )
@@ -198,9 +198,11 @@ def find(
     one document; null keys are reported as a null key. Repeated items repeat nothing. Clean documents give no row.
     """
     spark = docs.sparkSession
+    no_key = F.lit(-(2**63))  # stands for a null key
 
     def plain(df: DataFrame, k: str, t: str) -> DataFrame:
-        return df.where(F.col(t).isNotNull()).select(F.col(k).cast("long").alias("key"), F.col(t).cast("string").alias("text"))
+        some = df.where(F.col(t).isNotNull())
+        return some.select(F.coalesce(F.col(k).cast("long"), no_key).alias("key"), F.col(t).cast("string").alias("text"))
 
     items = written(plain(benchmark, item, item_text).distinct().mapInPandas(_windows(window, None), SCHEMA), "item-windows")
     bits = spark.sparkContext.broadcast(_bitmap(items))
@@ -229,7 +231,10 @@ def find(
         (F.count_distinct("nth") / F.max("windows")).alias("coverage"), F.max("same").alias("same_slots")
     )
     return out.where(F.col("coverage") >= coverage).select(
-        F.col("key").alias(key), F.col("item").alias(item), "coverage", "same_slots"
+        F.when(F.col("key") != no_key, F.col("key")).alias(key),
+        F.when(F.col("item") != no_key, F.col("item")).alias(item),
+        "coverage",
+        "same_slots",
     )
 
 
