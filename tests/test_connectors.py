@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.plans.keyed_table import check_identifier
 from tideline.sinks import jdbc as jdbc_sink
 from tideline.sinks import messages
-from tideline.sources import app_logs, jdbc, streams
+from tideline.sources import jdbc, streams
 
 
 def test_catalog_rows_become_tables():
@@ -79,29 +79,3 @@ def test_generated_orders(spark):
         F.min("amount"), F.max("amount"), F.min(F.length("order_id")), F.max(F.length("order_id"))).first()
     assert 10 <= row[0] and row[1] <= 1000 and (row[2], row[3]) == (8, 8)
     assert streams.rate_orders(spark).isStreaming
-
-
-def test_generated_logs(spark):
-    logs = app_logs.generate_app_logs(spark.range(4000), "id")
-    rows = logs.select(
-        "session_id", "step", "common.mid", "page.pageId", "page.lastPageId", "err", "start", "displays", "actions").collect()
-    starts = [r for r in rows if r["step"] == 0]
-    assert len(starts) == 4000 and all(r["start"] and not r["pageId"] for r in starts)
-    hot = sum(r["mid"] == "mid_500000" for r in starts) / 4000
-    assert 0.77 < hot < 0.83
-    errors = sum(r["err"] is not None for r in rows) / len(rows)
-    assert 0.02 < errors < 0.04
-    paths = {}
-    for r in sorted(rows, key=lambda r: (r["session_id"], r["step"])):
-        paths.setdefault(r["session_id"], []).append(r["pageId"])
-        if r["step"] > 1:
-            assert r["lastPageId"] == paths[r["session_id"]][-2]
-    known = [p for p, _ in app_logs.PATHS]
-    assert all(p[1:] in known for p in paths.values())
-    share = sum(p[1:] == known[5] for p in paths.values()) / 4000
-    assert abs(share - 70 / 170) < 0.03
-    skus = [d for r in rows if r["pageId"] == "good_detail" for d in r["displays"]]
-    assert 0.77 < sum(d["item"] == "50000" for d in skus) / len(skus) < 0.83
-    again = app_logs.generate_app_logs(spark.range(4000).repartition(7), "id")
-    columns = ["session_id", "step", "value"]
-    assert app_logs.as_json(logs).select(*columns).exceptAll(app_logs.as_json(again).select(*columns)).count() == 0

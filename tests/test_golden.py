@@ -96,7 +96,7 @@ def test_rules(spark, max_inline):
     messages = spark.createDataFrame(
         [(1, "user_1", "error: connection failed"), (2, "user_2", "info: login success"),
          (3, "user_3", "WARNING: disk low"), (4, "user_1", "critical: system crash")], "id int, user string, m string")
-    out = joins.match_rules(messages, joins.latest_rules(updates), "m", "id", max_inline=max_inline)
+    out = joins.match_rules(messages, joins.latest_rules(updates), "m", max_inline=max_inline)
     assert sorted(values(out, "user", "rule_id")) == [("user_1", "rule_1"), ("user_3", "rule_2")]
 
 
@@ -106,7 +106,7 @@ def test_rules_of_all_lengths(spark, max_inline):
     rules = spark.createDataFrame(list(enumerate(patterns_)), "rule_id int, pattern string")
     texts = ["", "a", "xab", "ABCDEFGHI", "abcdefgh", "y😀x", "zzz", "a.*b", "ab\ncd"]
     messages = spark.createDataFrame(list(enumerate(texts)), "id int, m string")
-    out = joins.match_rules(messages, rules, "m", "id", max_inline=max_inline)
+    out = joins.match_rules(messages, rules, "m", max_inline=max_inline)
     want = [(i, r) for i, t in enumerate(texts) for r, p in enumerate(patterns_) if p in t.lower()]
     assert sorted(values(out, "id", "rule_id")) == want
 
@@ -201,7 +201,18 @@ def test_async_calls(spark):
         return value
 
     out = enrich.async_enrich(df.where("u in ('user_1', 'user_2')"), "u", slow, timeout=1.0)
-    assert ("user_2", "timeout:user_2") in values(out, "u", "result")
+    assert set(values(out, "u", "result")) == {("user_1", "user_1"), ("user_2", "timeout:user_2")}
+
+
+def test_stuck_calls_hold_up_nobody_else():
+    import time
+
+    stuck = {f"v{i}" for i in range(0, 600, 60)}
+    calls = enrich.Calls(lambda v: time.sleep(30 if v in stuck else 0.001) or v.upper(), 10, 0.5)
+    values_in = [f"v{i}" for i in range(600)]
+    assert calls.results(values_in) == [f"timeout:{v}" if v in stuck else v.upper() for v in values_in]
+    with pytest.raises(ZeroDivisionError):
+        enrich.Calls(lambda v: 1 // 0, 2, 1.0).results(["a"])
 
 
 def test_type_names(spark):
@@ -259,9 +270,22 @@ def test_rules_as_of_arrival(spark, max_inline):
     messages = spark.createDataFrame(
         [(0, "u0", "error: too early"), (3, "u1", "error: failed"), (4, "u1", "critical: crash"),
          (6, "u1", "critical: crash"), (7, "u3", "Warning: error")], "seq int, user string, m string")
-    out = joins.match_rules_as_of(messages, updates, "m", "seq", max_inline=max_inline)
+    out = joins.match_rules_as_of(messages, updates, "m", max_inline=max_inline)
     assert sorted(values(out, "seq", "rule_id")) == [(3, "rule_1"), (6, "rule_1"), (7, "rule_2")]
     assert values(out.where("seq = 3").select(joins.rule_message("user", "m"))) == [
         ("User u1 matched rule rule_1 (error): error: failed",)]
     assert values(joins.update_messages(updates.limit(1), "rule", "rule_id", "pattern"), "message") == [
         ("Rule updated: rule_1 -> error",)]
+
+
+@pytest.mark.parametrize("max_inline", [0, 100])
+def test_matches_do_not_depend_on_ids_or_on_the_way(spark, max_inline):
+    """Repeated and null ids, repeated rules, rules that share their beginning, short and empty ones."""
+    lead = "https://example.org/"
+    rules = [(i, lead + f"page{i}") for i in range(40)] + [(1, lead + "page1"), (90, "ab"), (91, ""), (92, None), (93, "é")]
+    texts = [lead.upper() + "page7 and more", lead + "page1", lead, "xaby", "", None, "x" * 30, "ÉTÉ ab", "         "]
+    rows = [(n % 3 if n % 4 else None, t) for n, t in enumerate(texts * 2)]
+    messages = spark.createDataFrame(rows, "id int, m string")
+    out = joins.match_rules(messages, spark.createDataFrame(rules, "rule_id int, pattern string"), "m", max_inline=max_inline)
+    wanted = [(i, t, r, p) for i, t in rows for r, p in set(rules) if t is not None and p is not None and p in t.lower()]
+    assert sorted(values(out, "id", "m", "rule_id", "pattern"), key=str) == sorted(wanted, key=str)

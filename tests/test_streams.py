@@ -235,7 +235,7 @@ def test_rules_are_read_again_per_batch(spark, feed, tmp_path):
     def run():
         schema = "seq int, rule_id string, pattern string"
         streams.match_rules(
-            feed.stream().select("seq", "action"), lambda: spark.read.schema(schema).json(str(rules)), "action", "seq",
+            feed.stream().select("seq", "action"), lambda: spark.read.schema(schema).json(str(rules)), "action",
             lambda b, _: got.extend(b.collect()), str(tmp_path / "rule-checkpoint"),
         ).awaitTermination(60)
 

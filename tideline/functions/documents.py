@@ -34,10 +34,6 @@ def _variant_text(value: Column, lists: str) -> Column:
     return text.otherwise(F.try_variant_get(value, "$", "string"))
 
 
-def _step(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, "$['" + name.replace("'", "\\'") + "']", "variant")
-
-
 def flatten_documents(
     df: DataFrame,
     document: str,
@@ -50,21 +46,28 @@ def flatten_documents(
     ``depth`` 0 reads top-level fields by their literal name. From 1 on a dotted
     name walks into nested documents for at most ``depth`` levels; what remains
     below is returned as JSON. A scalar met on the way is returned as it is, a
-    missing field is null. ``lists`` prints lists as ``json`` or as ``text``.
+    missing field is null. ``lists`` prints lists as ``json`` or as ``text``. A text
+    that is no JSON gives nulls; :func:`malformed_documents` returns such rows.
     """
-    parsed = df.withColumn("_doc", F.parse_json(document))
-    out = []
-    for column in columns:
-        value = F.col("_doc")
-        if depth <= 0:
-            value = _step(value, column)
-        else:
-            for name in column.split(".")[: depth + 1]:
-                # Only a document can be entered; a scalar stops the walk.
-                nested = F.schema_of_variant(value).startswith("OBJECT")
-                value = F.when(nested, _step(value, name)).otherwise(value)
-        out.append(_variant_text(value, lists).alias(column.replace(".", "_")))
-    return parsed.select(*df.columns, *out)
+    parsed = df.withColumn("_doc", F.try_parse_json(document))
+    values = []
+    for i, column in enumerate(columns):
+        names = [column] if depth <= 0 else column.split(".")[: depth + 1]
+        # One lookup per path prefix, and the deepest that is reached through documents only.
+        paths = ["$" + "".join("['" + n.replace("'", "\\'") + "']" for n in names[:k]) for k in range(len(names) + 1)]
+        steps = [F.col("_doc"), *[F.try_variant_get("_doc", p, "variant") for p in paths[1:]]]
+        value = steps[-1]
+        for before in reversed(steps[:-1] if depth > 0 else []):
+            value = F.when(F.schema_of_variant(before).startswith("OBJECT"), value).otherwise(before)
+        values.append(value.alias(f"_value{i}"))
+    found = parsed.select(*df.columns, *values)
+    shown = [_variant_text(F.col(f"_value{i}"), lists).alias(c.replace(".", "_")) for i, c in enumerate(columns)]
+    return found.select(*df.columns, *shown)
+
+
+def malformed_documents(df: DataFrame, document: str) -> DataFrame:
+    """The rows whose document is text but no JSON."""
+    return df.where(F.col(document).isNotNull() & F.try_parse_json(document).isNull())
 
 
 def decode_document_changes(changes: DataFrame, apply_deletes: bool = False) -> DataFrame:

@@ -13,6 +13,8 @@ from tideline.operators.scan import Lag, Last, OrderedScan
 
 MAX_INLINE_RULES = 500  # beyond this many rules the gram index is used
 GRAM = 8
+SAMPLE_OF = 64  # one in so many texts tells which grams are frequent; that decides on the way only
+WORDS = 1 << 14  # 64-bit words of the gram bitmap
 
 
 def window_join(
@@ -109,7 +111,6 @@ def match_rules_as_of(
     messages: DataFrame,
     updates: DataFrame,
     text: str,
-    message_id: str,
     seq: str = "seq",
     max_inline: int = MAX_INLINE_RULES,
 ) -> DataFrame:
@@ -124,14 +125,14 @@ def match_rules_as_of(
         .add(_until=Lag("_from"))
         .result()
     )
-    versions = versions.where(F.col("pattern").isNotNull())
+    versions = versions.where(F.col("pattern").isNotNull()).distinct()
     few = versions.limit(max_inline + 1).collect()
     if len(few) <= max_inline:
         return _match_inline(
             messages, versions.schema, few, text, lambda r: _live(F.col(seq), r["_from"], r["_until"])
         )
     tagged = versions.select(F.struct("rule_id", "_from", "_until").alias("rule_id"), "pattern")
-    hits = _match_by_gram(messages, tagged, text, message_id)
+    hits = _match_by_gram(messages, tagged, text)
     live = _live(F.col(seq), F.col("rule_id._from"), F.col("rule_id._until"))
     return hits.where(live).select(*messages.columns, F.col("rule_id.rule_id").alias("rule_id"), "pattern")
 
@@ -159,21 +160,21 @@ def match_rules(
     messages: DataFrame,
     rules: DataFrame,
     text: str,
-    message_id: str,
     max_inline: int = MAX_INLINE_RULES,
 ) -> DataFrame:
-    """One row per message and rule whose pattern occurs in the lower-cased text.
+    """One row per message row and different rule whose pattern occurs in the lower-cased text.
 
     A small rule set, counted first, becomes a literal list that every task
-    checks. A larger one is joined through character grams: a message meets only
-    the rules whose leading gram it contains, and the full pattern is then
-    checked. Only message ids and grams are shuffled for that.
+    checks. A larger one is joined through character grams: a text meets only the
+    rules whose rarest gram it contains, and the full pattern is then checked. Both
+    give the same rows: messages need no id, repeated ones are matched each, null
+    texts never.
     """
-    known = rules.select("rule_id", "pattern").where(F.col("pattern").isNotNull())
+    known = rules.select("rule_id", "pattern").where(F.col("pattern").isNotNull()).distinct()
     few = known.limit(max_inline + 1).collect()
     if len(few) <= max_inline:
         return _match_inline(messages, known.schema, few, text)
-    return _match_by_gram(messages, rules, text, message_id)
+    return _match_by_gram(messages, known, text)
 
 
 def _match_inline(
@@ -198,22 +199,50 @@ def _match_inline(
     return messages.select("*", F.inline(shown))
 
 
-def _match_by_gram(messages: DataFrame, rules: DataFrame, text: str, message_id: str) -> DataFrame:
-    lead = F.substring("pattern", 1, GRAM)
-    keyed = rules.where(F.col("pattern").isNotNull()).select("rule_id", "pattern", lead.alias("_gram"))
-    sizes = [r[0] for r in keyed.select(F.length("_gram")).distinct().collect()]  # at most GRAM + 1
-    grams = [_grams(size) for size in sizes if size > 0]
-    if 0 in sizes:
+def _match_by_gram(messages: DataFrame, rules: DataFrame, text: str) -> DataFrame:
+    """Rules meet texts under one gram each: of the pattern's grams the one that a sample of texts has least.
+
+    A bitmap of the rules' grams, of a fixed size, drops almost all other grams before
+    the shuffle. What is shuffled of a text is its digest with the grams that are
+    left; the messages are joined once, by digest.
+    """
+    lowered = messages.withColumn("_lower", F.lower(text)).withColumn("_text", F.md5("_lower"))
+    size = F.least(F.length("pattern"), F.lit(GRAM))
+    short = rules.where(size < GRAM).select("rule_id", "pattern", F.col("pattern").alias("_gram"))
+    every = F.array_distinct(_grams_of("pattern", GRAM))
+    split = rules.where(size == GRAM).select("rule_id", "pattern", F.explode(every).alias("_gram"))
+    sample = lowered.where(F.pmod(F.xxhash64("_lower"), F.lit(SAMPLE_OF)) == 0)
+    seen = sample.select(F.explode(F.array_distinct(_grams_of("_lower", GRAM))).alias("_gram"))
+    often = seen.join(split.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_n"))
+    shared = split.groupBy("_gram").agg(F.count("*").alias("_rules"))
+    cost = F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_rules", "_gram")
+    rated = split.join(shared, "_gram").join(often, "_gram", "left")
+    rarest = rated.groupBy("rule_id", "pattern").agg(F.min(cost)["_gram"].alias("_gram"))
+    keyed = rarest.unionByName(short)
+
+    lengths = [r[0] for r in keyed.select(F.length("_gram")).distinct().collect()]  # at most GRAM + 1
+    grams = [_grams_of("_lower", n) for n in lengths if n > 0]
+    if 0 in lengths:
         grams.append(F.array(F.lit("")))
-    shared = F.array_distinct(F.flatten(F.array(*grams)))
-    cut = messages.select(message_id, F.lower(text).alias("_lower")).select(
-        message_id, F.explode(shared).alias("_gram")
-    )
-    candidates = cut.join(keyed, "_gram").drop("_gram")
-    hits = messages.join(candidates, message_id).where(F.contains(F.lower(text), F.col("pattern")))
+    bits = F.from_json(F.lit(json.dumps(_bitmap(keyed))), T.ArrayType(T.LongType()))
+    here = F.pmod(F.xxhash64("_gram"), F.lit(64 * WORDS))
+    hit = F.get(bits, F.shiftright(here, 6).cast("int")).bitwiseAND(F.expr("shiftleft(1L, cast(pmod(xxhash64(_gram), 64) as int))"))
+    cut = lowered.select("_text", F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram")).where(hit != 0)
+    candidates = cut.distinct().join(keyed, "_gram").select("_text", "rule_id", "pattern").distinct()
+    hits = lowered.join(candidates, "_text").where(F.contains("_lower", "pattern"))
     return hits.select(*messages.columns, "rule_id", "pattern")
 
 
-def _grams(size: int) -> Column:
-    """All overlapping character grams of one size in ``_lower``."""
-    return F.regexp_extract_all("_lower", F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+def _bitmap(keyed: DataFrame) -> list[int]:
+    """A bit for each gram, in ``WORDS`` longs; at most that many rows reach the driver."""
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(_gram), 64) as int))")
+    word = F.shiftright(F.pmod(F.xxhash64("_gram"), F.lit(64 * WORDS)), 6)
+    out = [0] * WORDS
+    for r in keyed.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).collect():
+        out[r["w"]] = r["b"]
+    return out
+
+
+def _grams_of(column: str, size: int) -> Column:
+    """All overlapping character grams of one size."""
+    return F.regexp_extract_all(column, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))

@@ -200,8 +200,8 @@ def cdc_schema_registry(spark, d):
 @query(
     "cdc_schema_diff",
     f"""
-    WITH versions AS (SELECT tbl, epoch_us(ts) // 14400000000 AS seq, list_sort(list(DISTINCT event_type)) AS cols
-                      FROM {_CL} WHERE user_id % 50 < 3 OR event_type <> 'view' GROUP BY ALL),
+    WITH versions AS (SELECT tbl, epoch_us(ts) // 600000000 AS seq, list_sort(list(DISTINCT event_type)) AS cols
+                      FROM {_CL} GROUP BY ALL),
          pairs AS (SELECT *, lag(cols) OVER (PARTITION BY tbl ORDER BY seq) AS prev FROM versions),
          diffs AS (SELECT tbl, seq, array_to_string(list_sort(list_filter(prev, lambda c: NOT list_contains(cols, c))), ',') AS dropped,
                           array_to_string(list_sort(list_filter(cols, lambda c: NOT list_contains(prev, c))), ',') AS added
@@ -211,11 +211,11 @@ def cdc_schema_registry(spark, d):
     """,
 )
 def cdc_schema_diff(spark, d):
-    """Schema records derived from the event types each table saw per four hours."""
-    rows = table(spark, d, "events").where("user_id % 50 < 3 OR event_type <> 'view'")
+    """Schema records derived from the event types each table saw per ten minutes."""
+    rows = table(spark, d, "events")
     names = F.array_sort(F.collect_set("event_type"))
     lists = (
-        rows.groupBy(F.expr(TABLE).alias("table"), F.floor(F.unix_micros("ts") / 14_400_000_000).alias("seq"))
+        rows.groupBy(F.expr(TABLE).alias("table"), F.floor(F.unix_micros("ts") / 600_000_000).alias("seq"))
         .agg(names.alias("names"))
         .withColumn("db", F.lit("shop"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from tideline.operators import joins, patterns, running, windows
@@ -397,3 +399,23 @@ def order_timeout(spark, d):
 def async_enrich_query(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     return async_enrich(rows, "c_mktsegment", lambda value: f"enriched:{value}")
+
+
+def _slow_call(value):
+    """Every hundredth customer's answer takes far longer than anybody waits."""
+    if int(value) % 100 == 0:
+        time.sleep(20)
+    return f"answer:{value}"
+
+
+@query(
+    "async_enrich_slow",
+    """
+    SELECT o_custkey, (CASE WHEN o_custkey % 100 = 0 THEN 'timeout:' ELSE 'answer:' END) || o_custkey AS result
+    FROM (SELECT DISTINCT o_custkey FROM orders)
+    """,
+)
+def async_enrich_slow(spark, d):
+    keys = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("o_custkey")).distinct()
+    found = async_enrich(keys, "o_custkey", _slow_call, timeout=1.0, threads=64)
+    return found.select(F.col("o_custkey").cast("long").alias("o_custkey"), "result")

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from tideline.functions import documents, text, types
 from tideline.operators import joins, routing, running
 from tideline.plans.registry import query, table
-from tideline.session import spread_small_scan
-from tideline.sources import app_logs
 
 
 @query("map_increment", "SELECT event_id, user_id, user_id + 1 AS next_id FROM events")
@@ -22,7 +20,7 @@ def map_prefix(spark, d):
 
 
 def _documents(spark, d):
-    return spread_small_scan(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return table(spark, d, "documents").select("doc_id", "text")
 
 
 _WORDS = "SELECT doc_id, unnest(string_split(lower(text), ' ')) AS word FROM documents"
@@ -202,29 +200,28 @@ _RULE_UPDATES = [
 def rule_match(spark, d):
     updates = spark.createDataFrame(_RULE_UPDATES, "seq int, rule_id string, pattern string")
     docs = _documents(spark, d)
-    return joins.match_rules(docs, joins.latest_rules(updates), "text", "doc_id").drop("text")
+    return joins.match_rules(docs, joins.latest_rules(updates), "text").drop("text")
 
 
 @query(
     "rule_match_large",
     """
-    SELECT doc_id, item_id AS rule_id, lower(substr(b.text, 1, 40)) AS pattern
-    FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(substr(b.text, 1, 40)))
+    SELECT doc_id, item_id AS rule_id, lower(b.text) AS pattern
+    FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))
     """,
 )
 def rule_match_large(spark, d):
     rules = table(spark, d, "benchmark").select(
-        F.col("item_id").alias("rule_id"), F.lower(F.substring("text", 1, 40)).alias("pattern")
+        F.col("item_id").alias("rule_id"), F.lower("text").alias("pattern")
     )
     docs = _documents(spark, d)
-    return joins.match_rules(docs, rules, "text", "doc_id", max_inline=0).drop("text")
+    return joins.match_rules(docs, rules, "text", max_inline=0).drop("text")
 
 
 @query(
     "rule_match_as_of",
     """
-    WITH updates AS (SELECT item_id * 25 AS seq, 'rule_' || item_id % 7 AS rule_id, lower(substr(text, 3, 3)) AS pattern
-                     FROM benchmark),
+    WITH updates AS (SELECT item_id AS seq, 'rule_' || item_id % 37 AS rule_id, lower(text) AS pattern FROM benchmark),
          versions AS (SELECT *, lead(seq) OVER (PARTITION BY rule_id ORDER BY seq) AS until FROM updates)
     SELECT doc_id, rule_id, pattern FROM documents
     JOIN versions ON contains(lower(text), pattern) AND doc_id > seq AND (until IS NULL OR doc_id < until)
@@ -233,20 +230,20 @@ def rule_match_large(spark, d):
 def rule_match_as_of(spark, d):
     """Rules from the benchmark texts, updated while the documents arrive."""
     updates = table(spark, d, "benchmark").select(
-        (F.col("item_id") * 25).alias("seq"),
-        F.concat(F.lit("rule_"), (F.col("item_id") % 7).cast("string")).alias("rule_id"),
-        F.lower(F.substring("text", 3, 3)).alias("pattern"),
+        F.col("item_id").alias("seq"),
+        F.concat(F.lit("rule_"), (F.col("item_id") % 37).cast("string")).alias("rule_id"),
+        F.lower("text").alias("pattern"),
     )
     docs = _documents(spark, d).withColumn("seq", F.col("doc_id"))
-    return joins.match_rules_as_of(docs, updates, "text", "doc_id").select("doc_id", "rule_id", "pattern")
+    return joins.match_rules_as_of(docs, updates, "text").select("doc_id", "rule_id", "pattern")
 
 
 @query(
     "rule_updates",
-    """SELECT item_id, 'Rule updated: ' || item_id || ' -> ' || lower(substr(text, 1, 10)) AS message FROM benchmark""",
+    """SELECT item_id, 'Rule updated: ' || item_id || ' -> ' || lower(text) AS message FROM benchmark""",
 )
 def rule_updates(spark, d):
-    rules = table(spark, d, "benchmark").select("item_id", F.lower(F.substring("text", 1, 10)).alias("pattern"))
+    rules = table(spark, d, "benchmark").select("item_id", F.lower("text").alias("pattern"))
     return joins.update_messages(rules, "rule", "item_id", "pattern").select("item_id", "message")
 
 
@@ -303,8 +300,10 @@ def type_map(spark, d):
     "flatten_docs",
     """
     SELECT event_id, event_type AS kind, json_extract_string(props, '$.k') AS nested_k, props_text AS nested,
-           CAST(user_id AS VARCHAR) AS user_id_text, NULL::VARCHAR AS nested_missing
-    FROM (SELECT *, '{"k":' || json_extract_string(props, '$.k') || '}' AS props_text FROM events)
+           CAST(user_id AS VARCHAR) AS user_id_text, NULL::VARCHAR AS nested_missing,
+           event_type AS deep_a_b_c_d, CAST(user_id AS VARCHAR) AS deep_a_n_x_y
+    FROM (SELECT *, '{"k":' || json_extract_string(props, '$.k') || '}' AS props_text FROM events WHERE event_id % 10 <> 0)
+    UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 0
     """,
 )
 def flatten_docs(spark, d):
@@ -312,11 +311,22 @@ def flatten_docs(spark, d):
         "event_id",
         F.concat(
             F.lit('{"kind":"'), "event_type", F.lit('","user_id_text":'), F.col("user_id").cast("string"),
-            F.lit(',"nested":'), "props", F.lit("}"),
+            F.lit(',"nested":'), "props", F.lit(',"deep":{"a":{"b":{"c":{"d":"'), "event_type", F.lit('"}},"n":'),
+            F.col("user_id").cast("string"), F.lit("}}}"),
         ).alias("document"),
-    )
-    wanted = ["kind", "nested.k", "nested", "user_id_text", "nested.missing"]
-    return documents.flatten_documents(rows, "document", wanted, depth=1).drop("document")
+    )
+    # Every tenth document is cut off.
+    cut = F.when(F.col("event_id") % 10 == 0, F.expr("left(document, length(document) - 1)")).otherwise(F.col("document"))
+    wanted = ["kind", "nested.k", "nested", "user_id_text", "nested.missing", "deep.a.b.c.d", "deep.a.n.x.y"]
+    return documents.flatten_documents(rows.withColumn("document", cut), "document", wanted, depth=5).drop("document")
+
+
+@query("flatten_docs_bad", "SELECT event_id FROM events WHERE event_id % 10 = 0")
+def flatten_docs_bad(spark, d):
+    """The documents that are no JSON, as a sync sets them aside."""
+    rows = table(spark, d, "events").select("event_id", F.concat(F.lit('{"a":'), "props", F.lit("}")).alias("document"))
+    cut = F.when(F.col("event_id") % 10 == 0, F.expr("left(document, length(document) - 1)")).otherwise(F.col("document"))
+    return documents.malformed_documents(rows.withColumn("document", cut), "document").select("event_id")
 
 
 @query(
@@ -355,20 +365,3 @@ def doc_changes(spark, d):
     )
     return documents.decode_document_changes(changes)
 
-
-@query("gen_app_logs")
-def gen_app_logs(spark, d):
-    """One generated session per event."""
-    logs = app_logs.generate_app_logs(table(spark, d, "events").select("event_id"), "event_id")
-    return logs.select(
-        "session_id",
-        "step",
-        "ts",
-        F.col("common.mid").alias("mid"),
-        F.col("page.pageId").alias("page_id"),
-        F.col("page.lastPageId").alias("last_page_id"),
-        F.col("page.item").alias("item"),
-        F.col("err.errorCode").alias("error_code"),
-        F.coalesce(F.size("displays"), F.lit(0)).alias("n_displays"),
-        F.coalesce(F.size("actions"), F.lit(0)).alias("n_actions"),
-    )

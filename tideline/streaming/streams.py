@@ -78,7 +78,6 @@ def match_rules(
     stream: DataFrame,
     read_rules: Callable[[], DataFrame],
     text: str,
-    message_id: str,
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict | None = None,
@@ -86,7 +85,7 @@ def match_rules(
     """Matches a stream against rule updates that are read again for every micro-batch."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write(joins.match_rules(batch, joins.latest_rules(read_rules()), text, message_id), batch_id)
+        write(joins.match_rules(batch, joins.latest_rules(read_rules()), text), batch_id)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
