@@ -82,3 +82,16 @@ class Memo(dict):
         todo = iter(missing)
         while some := list(islice(todo, 20_000)):
             self.update(zip(some, self.compute(some)))
+
+
+class Rows(dict):
+    """Numbers words from 0 as they are first looked up; new ones are listed in ``new`` until they are dealt with."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self)
+        self.new.append(word)
+        return row

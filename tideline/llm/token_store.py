@@ -3,54 +3,116 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Memo, new_folder, runs_by_size, written
-from tideline.llm.token_counts import SEPARATORS, split_words
+from tideline.llm.common import Rows, new_folder, runs_by_size, written
+from tideline.llm.token_counts import SEPARATORS, lower_each, split_words
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
 RUN_CHARS = 1 << 21
-MAGIC = b"TKIDS001"
+MAGIC = b"TKIDS002"
 #: Slots of a level of the hash for each key that is left.
 ROOM = 2
 
 
+class Ragged:
+    """Rows of ids of different length, side by side."""
+
+    def __init__(self) -> None:
+        self.flat = np.zeros(1 << 16, "<u4")
+        self.start = np.zeros(1, np.int64)
+
+    def add(self, flat: np.ndarray, count: np.ndarray) -> None:
+        used = int(self.start[-1])
+        if used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(used + len(flat), "<u4")])
+        self.flat[used : used + len(flat)] = flat
+        self.start = np.concatenate([self.start, used + np.cumsum(count)])
+
+    def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the given rows, side by side, and their numbers."""
+        count = self.start[rows + 1] - self.start[rows]
+        ends = np.cumsum(count)
+        return self.flat[np.repeat(self.start[rows] - (ends - count), count) + np.arange(count.sum())], count
+
+
 class WordEncoder:
-    """The tokenizers library on words, each encoded once, since its words never depend on their neighbours."""
+    """The tokenizers library on pieces of words, each encoded once, since they never depend on their neighbours.
 
-    def __init__(self, path: str):
+    All is forgotten when there are more than ``most`` words.
+    """
+
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.memo = Memo(self.encode, 300_000)
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each whole text as little-endian unsigned 32-bit integers."""
-        out = []
+        self.library, self.most = Tokenizer.from_file(path), most
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        vocab = self.library.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith(spec["model"]["end_of_word_suffix"])]] = True
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.known = Rows(), Rows()
+        self.word_ids, self.piece_ids = Ragged(), Ragged()
+
+    def learn(self) -> None:
+        """Encodes the words that have been numbered but not encoded yet.
+
+        New pieces go to the library side by side, with blanks between; a piece ends with its only closing token.
+        """
+        lists = [self.pieces(lower_each(unicodedata.normalize("NFC", w))) for w in self.words.new]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        row = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
+        texts = [" ".join(self.known.new[k : k + 256]) for k in range(0, len(self.known.new), 256)]
+        found = [np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        if found:
+            flat = np.concatenate(found)
+            self.piece_ids.add(flat, np.diff(np.flatnonzero(self.closes[flat]), prepend=-1))
+        self.words.new.clear()
+        self.known.new.clear()
+        flat, count = self.piece_ids.get(row)
+        before = np.r_[0, np.cumsum(count)][np.r_[0, np.cumsum(size)]]
+        self.word_ids.add(flat, np.diff(before))
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each whole text."""
         for run in runs_by_size(texts, len, RUN_CHARS):
+            if len(self.words) > self.most:
+                self.clear()
             # A special token or an odd separator may join words: such texts go to the library whole.
             odd = ["<|" in t or any(c in t for c in SEPARATORS) for t in run]
             lists = [[] if o else split_words(t) for t, o in zip(run, odd)]
-            self.memo.need(set().union(*lists))
-            for text, o, words in zip(run, odd, lists):
-                out.append(self.encode([text])[0] if o else b"".join(map(self.memo.__getitem__, words)))
-        return out
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            row = np.fromiter(map(self.words.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
+            if self.words.new:
+                self.learn()
+            flat, count = self.word_ids.get(row)
+            cut = np.r_[0, np.cumsum(count)][np.r_[0, np.cumsum(size)]].tolist()
+            for text, o, a, b in zip(run, odd, cut, cut[1:]):
+                if o:
+                    (found,) = self.library.encode_batch_fast([text], add_special_tokens=False)
+                    yield np.array(found.ids, "<u4")
+                else:
+                    yield flat[a:b]
 
 
 @functools.lru_cache(2)
@@ -110,10 +172,10 @@ class PerfectHash:
         return out
 
 
-def index_bytes(keys: np.ndarray, count: np.ndarray) -> bytes:
+def index_bytes(keys: np.ndarray, count: np.ndarray, width: int) -> bytes:
     """A shard's index: keys ascending, one for each document (equal keys follow each other), and counts of ids.
 
-    Little endian: magic; numbers of documents, keys, levels and ids; each level's length in 64-bit words and its
+    Little endian: magic; numbers of documents, keys, levels, ids and bytes an id; each level's length in 64-bit words and its
     bits; then, by a key's number, its fingerprint (32 bits), first document and number of documents; then every
     document's place in the payload, and its end.
     """
@@ -122,7 +184,7 @@ def index_bytes(keys: np.ndarray, count: np.ndarray) -> bytes:
     number = table.find(different)
     by_number = np.argsort(number)
     place = np.cumsum(np.r_[0, count]).astype("<u8")
-    out = [MAGIC, np.array([len(keys), len(different), len(table.levels), place[-1]], "<u8").tobytes()]
+    out = [MAGIC, np.array([len(keys), len(different), len(table.levels), place[-1], width], "<u8").tobytes()]
     for bits in table.levels:
         out += [np.array([len(bits)], "<u8").tobytes(), bits.tobytes()]
     fingerprint = (mixed(different, 1 << 20) >> np.uint64(32)).astype("<u4")
@@ -137,8 +199,8 @@ class Shard:
         raw = files.open_input_stream(f"{path}.index").read()
         if raw[:8] != MAGIC:
             raise ValueError(f"{path}.index is no token index")
-        self.documents, n, levels, self.total = np.frombuffer(raw, "<u8", 4, 8).astype(np.int64).tolist()
-        at, bits = 40, []
+        self.documents, n, levels, self.total, self.width = np.frombuffer(raw, "<u8", 5, 8).astype(np.int64).tolist()
+        at, bits = 48, []
         for _ in range(levels):
             (size,) = np.frombuffer(raw, "<u8", 1, at).tolist()
             bits.append(np.frombuffer(raw, "<u8", size, at + 8))
@@ -159,10 +221,11 @@ class Shard:
         return np.where(there, self.first[number], -1), np.where(there, self.times[number], 0)
 
     def read(self, document: int) -> bytes:
-        """A document's ids."""
+        """A document's ids as little-endian unsigned 32-bit integers."""
         begin, end = self.place[document : document + 2].tolist()
-        self.payload.seek(4 * begin)
-        return self.payload.read(4 * (end - begin))
+        self.payload.seek(self.width * begin)
+        raw = self.payload.read(self.width * (end - begin))
+        return np.frombuffer(raw, f"<u{self.width}").astype("<u4").tobytes()
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
@@ -186,7 +249,9 @@ def write(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     _opened(folder)[0].create_dir(_opened(folder)[1], recursive=True)
-    closing = np.array([end], "<u4").tobytes()
+    # Two bytes an id where the vocabulary allows it.
+    width = 2 if max(end, word_encoder(place).library.get_vocab_size()) < 1 << 16 else 4
+    closing = np.array([end], f"<u{width}").tobytes()
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, base = _opened(folder)
@@ -198,8 +263,8 @@ def write(
         with files.open_output_stream(f"{mine}.ids") as payload:
             for some in batches:
                 for ids in encoder.ids(some["text"].tolist()):
-                    payload.write(ids + closing)
-                    counts.append(len(ids) // 4 + 1)
+                    payload.write(ids.astype(f"<u{width}").tobytes() + closing)
+                    counts.append(len(ids) + 1)
                 these = some["k"].to_numpy()
                 keys.append(these)
                 order = []
@@ -210,7 +275,7 @@ def write(
                 yield pd.DataFrame({"k": these, "shard": number, "nth": order})
         with files.open_output_stream(f"{mine}.index") as index:
             every = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            index.write(index_bytes(every, np.array(counts, np.int64)))
+            index.write(index_bytes(every, np.array(counts, np.int64), width))
         for kind in ("ids", "index"):
             files.move(f"{mine}.{kind}", f"{name}.{kind}")
 

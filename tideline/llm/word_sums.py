@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
-from tideline.llm.common import parts, runs_by_size
+from tideline.llm.common import Rows, parts, runs_by_size
 
 RUN_CHARS = 1 << 21
 
@@ -14,27 +15,24 @@ RUN_CHARS = 1 << 21
 class WordSums:
     """Holds each word's numbers in a row of a table; most words of a text have been seen before.
 
-    Words are what stands between white space. The table is emptied when it holds ``most`` words.
+    Words are what stands between white space. The table is emptied once it holds more than ``most`` words.
     """
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, most: int = 300_000):
         self.compute, self.most = compute, most
-        self.row: dict[str, int] = {}
+        self.row = Rows()
         self.table = np.zeros((1024, width))
 
-    def need(self, words: set[str]) -> None:
-        missing = [w for w in words if w not in self.row]
-        if len(self.row) + len(missing) > self.most:
-            self.row.clear()
-            missing = list(words)
-        total = len(self.row) + len(missing)
+    def learn(self) -> None:
+        """Computes the rows of the words that have been numbered but not computed yet."""
+        new, total = self.row.new, len(self.row)
         if total > len(self.table):
             self.table = np.concatenate([self.table, np.zeros((total, self.table.shape[1]))])
-        for k in range(0, len(missing), 20_000):
-            some = missing[k : k + 20_000]
-            begin = len(self.row)
-            self.table[begin : begin + len(some)] = self.compute(some)
-            self.row.update(zip(some, range(begin, begin + len(some))))
+        for begin in range(0, len(new), 20_000):
+            some = new[begin : begin + 20_000]
+            first = total - len(new) + begin
+            self.table[first : first + len(some)] = self.compute(some)
+        new.clear()
 
     def sums(self, texts: list[str]) -> np.ndarray:
         """A row for each whole text: the sum over all its words."""
@@ -51,10 +49,13 @@ class WordSums:
 
     def of(self, lists: list[list[str]]) -> np.ndarray:
         """A row for each list of words."""
-        self.need(set().union(*lists))
+        if len(self.row) > self.most:
+            self.row = Rows()
         out = np.zeros((len(lists), self.table.shape[1]))
         size = np.fromiter(map(len, lists), np.int64, len(lists))
-        rows = np.fromiter((self.row[w] for words in lists for w in words), np.int64, int(size.sum()))
+        rows = np.fromiter(map(self.row.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
+        if self.row.new:
+            self.learn()
         some = np.flatnonzero(size)
         if len(some):
             out[some] = np.add.reduceat(self.table[rows], (np.cumsum(size) - size)[some], axis=0)
