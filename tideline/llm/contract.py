@@ -38,7 +38,7 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     scored = toxicity.with_score(docs, model).withColumn("held_out", toxicity.held_out())
     return scored.select("doc_id", "held_out", "score", "predicted")
 

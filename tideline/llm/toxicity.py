@@ -18,7 +18,7 @@ WIDTH = 8
 EPOCHS = 15
 THRESHOLD = 0.7
 #: The bound of what is learned from: about so many labelled documents of each class.
-SAMPLE_DOCS = 2500
+SAMPLE_DOCS = 2000
 LEAST_KEPT = 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,7 +103,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, prior: f
         for begin in range(0, len(order), 64):
             some = order[begin : begin + 64]
             size = [len(bags[i][0]) for i in some]
-            ids = np.concatenate([bags[i][0] for i in some])
+            ids = np.concatenate([bags[i][0] for i in some]).astype(np.int64)
             part = np.concatenate([bags[i][1] for i in some])
             owner = np.repeat(np.arange(len(some)), size)
             rows = emb[ids] * part[:, None]
@@ -158,23 +158,24 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, (counts[ids] / counts.sum()).astype(np.float32)
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """Learns from rows with a label of 0 or 1; others are left out.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
+    """Learns from documents with a label of 0 or 1 in ``labels``; others are left out.
 
-    The sample is bounded: about ``SAMPLE_DOCS`` whole texts of each class, chosen by a hash of the key. The driver
-    gets their bags, of at most ``BUCKETS`` numbers each. Without both classes the model scores every text alike: the
+    The sample is bounded: about ``SAMPLE_DOCS`` labels of each class, chosen by a hash of the key before their
+    documents are looked up, so that these few keys are broadcast and no text is shuffled. The driver gets bags of the
+    whole texts, of at most ``BUCKETS`` numbers each. Without both classes the model scores every text alike: the
     share of class 1, or 0 if nothing is labelled.
     """
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")
-    )
+    rows = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    rows = rows.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     prior = sizes.get(1, 0) / max(total, 1)
     if len(sizes) < 2:
         return ToxicityModel(np.zeros(BUCKETS), 60.0 if prior else -60.0)
     limit = F.when(F.col("label") == 1, SAMPLE_DOCS / sizes[1]).otherwise(SAMPLE_DOCS / sizes[0])
-    rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < limit * 1_000_000)
+    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < limit * 1_000_000)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(some), "key")
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
@@ -187,7 +188,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     parsed = []
     for blob in got["bag"]:
         (n,) = struct.unpack_from("<I", blob)
-        parsed.append((np.frombuffer(blob, "<u2", n, 4).astype(np.int64), np.frombuffer(blob, "<f4", n, 4 + 2 * n)))
+        parsed.append((np.frombuffer(blob, "<u2", n, 4), np.frombuffer(blob, "<f4", n, 4 + 2 * n)))
     return train(parsed, got["label"].to_numpy(), prior) if got["label"].nunique() > 1 else ToxicityModel(
         np.zeros(BUCKETS), float(np.log(prior / (1 - prior)))
     )
