@@ -8,6 +8,7 @@ import pytest
 from tideline.plans.document_sync import Collection, DocumentSync
 from tideline.plans.keyed_table import KeyedTable, Schema
 from tideline.plans.sync import DatabaseSync
+from tideline.sources import streams
 
 
 def change(seq, op, table="users", before=None, after=None, key=("id",), db="shop"):
@@ -249,3 +250,79 @@ def test_documents_become_a_flat_table(spark, tmp_path, apply_deletes):
     ann = [("a", "Ann", "Rome", 3, '["x","y"]')]
     assert rows_of(KeyedTable.load(spark, sync.path("users"))) == ([] if apply_deletes else ann) + [
         ("b", "Bobby", None, 4, None)]
+
+
+def quarantined(spark, sync):
+    rows = spark.read.parquet(f"{sync.root}/_quarantine").collect()
+    return sorted((r["seq"], r["reason"]) for r in rows)
+
+
+def test_nothing_is_lost_silently(spark, sync):
+    """The types of all rows count; rows without key, table, schema or fitting values are set aside."""
+    sync.apply_batch(batch(
+        spark,
+        change(1, "c", "pay", after={"id": 1, "amount": 5}),
+        change(2, "c", "pay", after={"id": 2, "amount": 5.5}),
+        change(3, "c", "pay", after={"amount": 7}),
+        change(4, "c", "pay", after={"amount": 8}),
+        change(5, "c", "odd-name", after={"id": 1}),
+        ddl(6, [], "gone", kind="DROP"),
+        change(7, "c", "gone", after={"id": 1}),
+    ), 0)
+    assert [(i, float(a)) for i, a in rows_of(sync.table("shop", "pay"))] == [(1, 5.0), (2, 5.5)]
+    assert quarantined(spark, sync) == [(3, "no key"), (4, "no key"), (5, "invalid name"), (7, "no schema")]
+    sync.apply_batch(batch(spark, change(8, "u", "pay", after={"id": 1, "amount": "many"})), 1)
+    assert (8, "does not fit: amount") in quarantined(spark, sync)
+    assert [(i, float(a)) for i, a in rows_of(sync.table("shop", "pay"))] == [(1, 5.0), (2, 5.5)]
+
+
+def test_equal_keys_in_other_spelling_are_one_row(spark, sync):
+    sync.apply_batch(batch(
+        spark,
+        ddl(1, [("id", "DECIMAL(10,4)"), ("v", "INT")], "d", kind="CREATE"),
+        change(2, "c", "d", after={"id": "1.0", "v": 1}),
+        change(3, "u", "d", after={"id": "1.0000", "v": 2}),
+    ), 0)
+    assert [r["v"] for r in sync.table("shop", "d").read().collect()] == [2]
+
+
+def test_a_bad_schema_record_stops_its_own_table_only(spark, sync, tmp_path):
+    sync.apply_batch(batch(spark, ddl(1, BASE, "t", kind="CREATE"), change(2, "c", "t", after={"id": 1, "product": "a"})), 0)
+    sync.apply_batch(batch(
+        spark,
+        ddl(3, BASE[1:], "t"),  # without the key
+        change(4, "c", "t", after={"id": 2, "product": "b"}),
+        change(5, "c", "u", after={"id": 1}),
+    ), 1)
+    assert [r["id"] for r in sync.table("shop", "t").read().collect()] == [1]
+    assert rows_of(sync.table("shop", "u")) == [(1,)]
+    assert [s for s, _ in quarantined(spark, sync)] == [4]
+    assert not any((tmp_path / "_staging").iterdir())
+
+
+def test_patterns_choose_tables(spark, tmp_path):
+    sync = DatabaseSync(spark, str(tmp_path), database="sh.*", tables="user.*|orders")
+    sync.apply_batch(batch(
+        spark,
+        change(1, "c", "users2", after={"id": 1}), change(2, "c", "my_orders", after={"id": 1}),
+        change(3, "c", "orders", after={"id": 1}), change(4, "c", "orders", after={"id": 1}, db="other"),
+    ), 0)
+    found = sorted(p.name for db in ("shop", "other") for p in (tmp_path / db).glob("*"))
+    assert found == ["sink_orders", "sink_users2"]
+
+
+def test_order_of_several_partitions(spark):
+    """The source's own position orders records; offsets of more than one partition are refused."""
+    def record(op, pos, wrap=False):
+        value = {"op": op, "source": {"db": "shop", "table": "t", "file": "bin.000002", "pos": pos, "row": 0}}
+        return json.dumps({"schema": {}, "payload": value} if wrap else value)
+
+    raw = spark.createDataFrame(
+        [('{"id":1}', record("c", 50), 0, 90), ('{"id":2}', record("t", 40, True), 1, 95), ('{"id":3}', record("c", 60), 1, 10)],
+        "key string, value string, partition int, offset long",
+    )
+    got = streams.ordered_records(raw).orderBy("seq").collect()
+    assert [r["key"] for r in got] == [["id"]] * 3 and [json.loads(r["value"]).get("op") for r in got] == [None, "c", "c"]
+    with pytest.raises(Exception, match="several partitions"):
+        streams.ordered_records(raw, "offset").collect()
+    assert streams.ordered_records(raw.where("partition = 0"), "offset").first()["seq"] == 90

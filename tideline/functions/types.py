@@ -155,6 +155,77 @@ def spark_type(name: str) -> T.DataType:
     return simple.get(base, T.StringType())
 
 
+# Semantic names of envelope fields, with the column type and how values are encoded.
+SEMANTIC_TYPES = {
+    "io.debezium.time.Date": ("DATE", "days"),
+    "io.debezium.time.Time": ("STRING", "millis_of_day"),
+    "io.debezium.time.MicroTime": ("STRING", "micros_of_day"),
+    "io.debezium.time.Timestamp": ("TIMESTAMP", "millis"),
+    "io.debezium.time.MicroTimestamp": ("TIMESTAMP", "micros"),
+    "io.debezium.time.NanoTimestamp": ("TIMESTAMP", "nanos"),
+    "io.debezium.time.ZonedTimestamp": ("TIMESTAMP", "text"),
+    "io.debezium.time.Year": ("INT", "text"),
+    "org.apache.kafka.connect.data.Date": ("DATE", "days"),
+    "org.apache.kafka.connect.data.Time": ("STRING", "millis_of_day"),
+    "org.apache.kafka.connect.data.Timestamp": ("TIMESTAMP", "millis"),
+    "org.apache.kafka.connect.data.Decimal": ("DECIMAL", "unscaled"),
+}
+
+
+def declared_column(kind: str | None, name: str | None, parameters: dict | None) -> tuple[str, str]:
+    """Column type and encoding of a field that an envelope's schema declares."""
+    if name in SEMANTIC_TYPES:
+        target, encoding = SEMANTIC_TYPES[name]
+        if target == "DECIMAL":
+            scale = int((parameters or {}).get("scale", 0))
+            precision = int((parameters or {}).get("connect.decimal.precision", 38))
+            target = f"DECIMAL({min(38, max(precision, scale))},{scale})" if scale <= 38 else "STRING"
+        return target, encoding
+    return LOGICAL_TYPES.get((kind or "").upper(), "STRING"), "text"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def decoded_text(text: Column, encoding: str, kind: T.DataType) -> Column:
+    """A field's text with its encoding undone, as text that casts to ``kind``; what cannot be read gives null."""
+    number = F.when(text.rlike(r"^-?\d{1,18}$"), text).try_cast("long")
+    if encoding == "days":
+        return F.coalesce(F.date_add(F.lit("1970-01-01").cast("date"), number.try_cast("int")).cast("string"), text)
+    unit = {"millis": 1_000_000, "micros": 1_000, "nanos": 1}.get(encoding)
+    if unit:
+        whole = F.call_function("div", number - F.pmod(number, F.lit(1000)), F.lit(1000))
+        micros = whole if unit < 1000 else number * (unit // 1000)
+        return F.coalesce(F.timestamp_micros(micros).cast("string"), text)
+    unit = {"millis_of_day": 1_000, "micros_of_day": 1}.get(encoding)
+    if unit:
+        at = F.timestamp_micros((number * unit).cast("long"))
+        return F.coalesce(F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "HH:mm:ss.SSSSSS"), text)
+    if encoding == "unscaled" and isinstance(kind, T.DecimalType):
+        # Base64 of a big-endian two's complement number; numbers as text or JSON numbers are taken as they are.
+        def shown(value: Column) -> Column:
+            digits = F.lpad(F.abs(value).cast("string"), 39, "0")
+            cut = 39 - kind.scale
+            point = F.concat(F.substring(digits, 1, cut), F.lit("."), F.substring(digits, cut + 1, 39))
+            return F.concat(F.when(value < 0, "-").otherwise(""), point)
+
+        def number_of(whole: Column) -> Column:
+            high = F.conv(F.substring(whole, 1, 16), 16, -10).cast("decimal(38,0)")
+            low = F.conv(F.substring(whole, 17, 16), 16, 10).cast("decimal(38,0)")
+            return F.try_add(F.try_multiply(high, F.lit(str(2**64)).cast("decimal(20,0)")).cast("decimal(38,0)"), low)
+
+        def filled(code: Column) -> Column:
+            sign = F.when(F.substring(code, 1, 1) >= "8", "F").otherwise("0")
+            return F.when(F.length(code) <= 32, F.lpad(code, 32, sign))
+
+        plain = text.rlike(r"^-?\d+\.\d+$") | (F.length(text) % 4 != 0) | ~text.rlike(r"^[A-Za-z0-9+/]+={0,2}$")
+        code = F.hex(F.unbase64(F.when(~plain, text)))
+        return F.when(plain, text).otherwise(_let(_let(_let(code, filled), number_of), shown))
+    return text
+
+
 def normalize_time(text: Column) -> Column:
     """Reads ISO instants out of text: ``struct(ts, raw)``, one of them null.
 

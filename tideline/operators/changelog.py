@@ -7,7 +7,7 @@ global order: changes are ordered per key only, by ``seq``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.operators.scan import Lag, OrderedScan
@@ -15,12 +15,17 @@ from tideline.operators.scan import Lag, OrderedScan
 # Envelope operation codes.
 KINDS = {"c": "insert", "r": "insert", "u": "update", "d": "delete", "t": "truncate"}
 
+NAME = "^[a-zA-Z0-9_]+$"  # what databases, tables and columns may be called
 ENVELOPE = (
     "op string, ts_ms long, source struct<db: string, table: string>, "
     "before string, after string, historyRecord string, "
     "schemaChanges array<struct<type: string, columns: array<struct<name: string>>>>, "
     "tableChanges array<struct<type: string, table: struct<columns: array<struct<name: string>>>>>"
 )
+RECORD_SCHEMA = (
+    "fields array<struct<field: string, fields: array<struct<field: string, type: string, name: string, "
+    "parameters: map<string, string>>>>>"
+)
 HISTORY = (
     "tableChanges array<struct<type: string, table: struct<"
     "primaryKeyColumnNames: array<string>, "
@@ -34,15 +39,23 @@ def kind_of(op: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for item in KINDS.items() for x in item]), op)
 
 
-def decode_changes(raw: DataFrame, value: str = "value", carried: tuple[str, ...] = ("seq",)) -> DataFrame:
+def decode_changes(
+    raw: DataFrame, value: str = "value", carried: tuple[str, ...] = ("seq",), declared: bool = False
+) -> DataFrame:
     """Envelope text to change rows; ``reason`` says why a row cannot be used.
 
-    Schema records (no ``op``) get the kind ``schema`` and keep their text in ``ddl``.
+    Records may be wrapped in ``schema`` and ``payload``. Schema records (no ``op``) get
+    the kind ``schema`` and keep their text in ``ddl``. With ``declared`` the row image's
+    fields, as the record's own schema declares them, come as ``declared``.
     """
     # As a generator the parse happens once; a plain expression would be repeated for
     # every field and again in each filter that Spark pushes below it.
     envelope = F.inline(F.array(F.from_json("_raw", ENVELOPE)))
-    parsed = raw.select(*carried, F.col(value).alias("_raw")).select(*carried, "_raw", envelope)
+    wrapped = F.col(value).rlike(r'^\s*\{\s*"(schema|payload)"\s*:')
+    payload = F.when(wrapped, F.get_json_object(value, "$.payload"))
+    fields = F.from_json(F.when(wrapped, F.get_json_object(value, "$.schema")), RECORD_SCHEMA)["fields"]
+    parts = [F.coalesce(payload, F.col(value)).alias("_raw"), *([fields.alias("_fields")] if declared else [])]
+    parsed = raw.select(*carried, *parts).select(*carried, *(["_fields"] if declared else []), "_raw", envelope)
     ddl = F.coalesce(
         F.col("historyRecord"),
         F.when(
@@ -65,11 +78,16 @@ def decode_changes(raw: DataFrame, value: str = "value", carried: tuple[str, ...
         "before",
         "after",
         F.when(is_schema, ddl).alias("ddl"),
+        *([F.coalesce(_image_fields("after"), _image_fields("before")).alias("declared")] if declared else []),
         "_raw",
     )
     return rows.withColumn("reason", unusable_reason()).drop("_raw")
 
 
+def _image_fields(side: str) -> Column:
+    return F.get(F.filter("_fields", lambda f: f["field"] == side), F.lit(0))["fields"]
+
+
 def _nested_changes() -> Column:
     return F.transform(
         "schemaChanges",
@@ -82,6 +100,7 @@ def unusable_reason() -> Column:
     return (
         F.when(F.col("_raw").isNull(), F.lit("no value"))
         .when(F.col("db").isNull() | F.col("table").isNull(), F.lit("no source"))
+        .when(~(F.col("db").rlike(NAME) & F.col("table").rlike(NAME)), F.lit("invalid name"))
         .when(F.col("kind").isNull(), F.lit("unknown op"))
         .when((F.col("kind") == "delete") & F.col("before").isNull(), F.lit("delete without before"))
         .when(F.col("kind").isin("insert", "update") & F.col("after").isNull(), F.lit("no after"))
@@ -193,43 +212,44 @@ def group_count(changes: DataFrame, group: list[str]) -> DataFrame:
 def infer_table_schemas(changes: DataFrame, key: str | None = None, seq: str = "seq") -> DataFrame:
     """The column registry: ``db, table, column, ordinal, type, is_key, valid_from_seq``.
 
-    A table's columns and key are those of its first change (new image, else old
-    one). ``key`` names a column with the key column names as an array.
+    A column's type is the narrowest that holds its values in all changes; decimals stay
+    exact, nested and mixed values are text. Columns are numbered in the order in which
+    the changes bring them. ``key`` names a column with the key column names as an array.
     """
     image = F.coalesce("after", "before")
-    first = (
-        changes.where(image.isNotNull())
-        .groupBy("db", "table")
-        .agg(
-            F.min_by(
-                F.struct(
-                    image.alias("image"),
-                    (F.col(key) if key else F.lit(None).cast("array<string>")).alias("key"),
-                    F.col(seq).alias("seq"),
-                ),
-                seq,
-            ).alias("f")
-        )
+    keys = F.col(key) if key else F.lit(None).cast("array<string>")
+    images = changes.where(image.isNotNull()).select(
+        "db", "table", F.col(seq).alias("seq"), keys.alias("key"), image.alias("image")
     )
-    fields = first.sparkSession.sql(
+    fields = images.sparkSession.sql(
         """
-        SELECT f.db, f.table, e.key AS column, schema_of_variant(e.value) AS found,
-               coalesce(array_contains(f.f.key, e.key), false) AS is_key,
-               array_position(json_object_keys(f.f.image), e.key) AS ordinal,
-               f.f.seq AS valid_from_seq
-        FROM {first} f, LATERAL variant_explode(parse_json(f.f.image)) e
+        SELECT i.db, i.table, e.key AS column, schema_of_variant_agg(e.value) AS found,
+               coalesce(bool_or(array_contains(i.key, e.key)), false) AS is_key,
+               min(struct(i.seq, array_position(json_object_keys(i.image), e.key) AS place)) AS first
+        FROM {images} i, LATERAL variant_explode(try_parse_json(i.image)) e
+        GROUP BY i.db, i.table, e.key
         """,
-        first=first,
+        images=images,
+    )
+    digits = [F.regexp_extract("found", r"^DECIMAL\((\d+),(\d+)\)$", n).try_cast("int") for n in (1, 2)]
+    exact = F.when((digits[1] <= 10) & (digits[0] - digits[1] <= 28), F.lit("DECIMAL(38,10)")).otherwise(
+        F.concat(F.lit("DECIMAL(38,"), digits[1], F.lit(")"))
     )
-    # Nested values, nulls and unknown types are kept as text.
     known = F.col("found").rlike(r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|BOOLEAN|BINARY)$")
     kind = (
         F.when(known, F.col("found"))
-        .when(F.col("found").startswith("DECIMAL"), F.lit("DOUBLE"))
+        .when(F.col("found").startswith("DECIMAL"), exact)
         .otherwise(F.lit("STRING"))
     )
+    order = Window.partitionBy("db", "table").orderBy("first", "column")  # a table's columns
     return fields.select(
-        "db", "table", "column", F.col("ordinal").cast("int"), kind.alias("type"), "is_key", "valid_from_seq"
+        "db",
+        "table",
+        "column",
+        F.row_number().over(order).alias("ordinal"),
+        kind.alias("type"),
+        "is_key",
+        F.col("first.seq").alias("valid_from_seq"),
     )
 
 

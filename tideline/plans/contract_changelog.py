@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.operators import changelog, reconcile
-from tideline.plans import keyed_queries  # noqa: F401  (registers the keyed table queries)
+from tideline.plans import keyed_queries, sync_queries  # noqa: F401  (they register their queries)
 from tideline.plans.registry import cents, query, table
 
 OP = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END"
@@ -187,7 +187,7 @@ def cdc_to_json(spark, d):
     WITH first AS (SELECT * FROM {_CL} QUALIFY row_number() OVER (PARTITION BY tbl ORDER BY event_id) = 1)
     SELECT 'shop' AS db, tbl AS "table", c.name AS "column", c.ordinal, c.type, c.ordinal = 1 AS is_key,
            event_id AS valid_from_seq
-    FROM first, (VALUES ('user_id', 1, 'BIGINT'), ('event_type', 2, 'STRING'), ('value', 3, 'DOUBLE'),
+    FROM first, (VALUES ('user_id', 1, 'BIGINT'), ('event_type', 2, 'STRING'), ('value', 3, 'DECIMAL(38,10)'),
                         ('k', 4, 'BIGINT')) AS c(name, ordinal, type)
     """,
 )

@@ -11,18 +11,21 @@ from __future__ import annotations
 import json
 import re
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.types import normalize_time, spark_type
+from tideline.functions.types import declared_column, decoded_text, normalize_time, spark_type
 from tideline.operators import changelog
 from tideline.plans import storage
 from tideline.plans.keyed_table import KeyedTable, Schema, check_identifier
 
 PREFIX = "sink_"
+QUARANTINED = ["seq", "db", "table", "kind", "before", "after", "reason"]
+#: Types whose values are equal only if their text is.
+EXACT_TEXT = (T.StringType, T.IntegralType, T.BooleanType, T.DateType)
 RENAME = re.compile(
     r"(?:RENAME\s+COLUMN\s+`?(\w+)`?\s+TO\s+`?(\w+)`?)|(?:CHANGE\s+(?:COLUMN\s+)?`?(\w+)`?\s+`?(\w+)`?)",
     re.IGNORECASE,
@@ -41,14 +44,16 @@ class _TableBatch:
     floor_seq: int = -1
     truncate: bool = False
     dropped: bool = False
-    records: list = field(default_factory=list)
+    problem: str | None = None
 
 
 class DatabaseSync:
     """Keeps ``<root>/<db>/<prefix><table>`` equal to the source tables.
 
-    ``include`` restricts the tables, ``truncate`` is ``apply`` or ``ignore``.
-    Keys come from the change records (``key`` column with the column names) or
+    ``include`` lists the tables, ``database`` and ``tables`` are patterns that must
+    match in full; ``truncate`` is ``apply`` or ``ignore``. Rows that cannot be applied
+    (no source, key or schema, invalid names, values that do not fit their column) go
+    to ``<root>/_quarantine`` with a reason; all others go on. Keys come from the change records (``key`` column with the column names) or
     from ``keys``, a map from table to key columns.
     """
 
@@ -58,6 +63,8 @@ class DatabaseSync:
         root: str,
         *,
         include: list[str] | None = None,
+        database: str | None = None,
+        tables: str | None = None,
         keys: dict[str, list[str]] | None = None,
         prefix: str = PREFIX,
         truncate: str = "apply",
@@ -66,6 +73,7 @@ class DatabaseSync:
     ):
         self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
         self.include, self.keys, self.truncate = include, keys or {}, truncate
+        self.database, self.tables = database, tables
         self.source, self.parallel_tables = source, parallel_tables
 
     def path(self, db: str, name: str) -> str:
@@ -86,24 +94,29 @@ class DatabaseSync:
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Applies one micro-batch of ``seq``, ``value`` (envelope) and optional ``key``."""
         carried = ("seq", "key") if "key" in batch.columns else ("seq",)
-        decoded = changelog.decode_changes(batch, "value", carried)
+        decoded = changelog.decode_changes(batch, "value", carried, declared=True)
+        sourceless = F.col("db").isNull() | F.col("table").isNull()
+        for column, pattern in (("db", self.database), ("table", self.tables)):
+            if pattern is not None:
+                decoded = decoded.where(F.col(column).rlike(f"^(?:{pattern})$") | sourceless)
         if self.include is not None:
-            decoded = decoded.where(F.col("table").isin(self.include) | F.col("table").isNull())
+            decoded = decoded.where(F.col("table").isin(self.include) | sourceless)
         staging = f"{self.root}/_staging/batch={batch_id}"
-        decoded.write.mode("overwrite").parquet(f"{staging}/decoded")
-        changes = self.spark.read.parquet(f"{staging}/decoded")
-        changelog.quarantine(changes).write.mode("overwrite").parquet(
-            f"{self.root}/_quarantine/batch={batch_id}"
-        )
-        good = changelog.usable(changes)
-
-        plans = self._plan_tables(good, batch_id)
-        if not plans:
-            return
-        self._stage_net_changes(good, plans, f"{staging}/net")
-        with ThreadPoolExecutor(self.parallel_tables) as pool:
-            list(pool.map(lambda p: self._apply_table(p, f"{staging}/net", batch_id), plans))
-        storage.delete_folder(self.spark, staging)
+        quarantine = f"{self.root}/_quarantine/batch={batch_id}"
+        try:
+            decoded.write.mode("overwrite").parquet(f"{staging}/decoded")
+            changes = self.spark.read.schema(decoded.schema).parquet(f"{staging}/decoded")
+            good = changelog.usable(changes)
+            plans = self._plan_tables(good, batch_id)
+            staged = [p for p in plans if p.schema is not None or p.dropped]
+            unfit = self._stage_net_changes(good, plans, f"{staging}/net") if plans else None
+            bad = changelog.quarantine(changes).select(*QUARANTINED)
+            bad = bad.unionByName(unfit) if unfit is not None else bad
+            bad.withColumn("part", F.lit("rows")).write.mode("overwrite").partitionBy("part").parquet(quarantine)
+            with ThreadPoolExecutor(self.parallel_tables) as pool:
+                list(pool.map(lambda p: self._apply_table(p, f"{staging}/net", quarantine, batch_id), staged))
+        finally:
+            storage.delete_folder(self.spark, staging)
 
     def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None):
         """Runs :meth:`apply_batch` on a stream of change records."""
@@ -129,33 +142,58 @@ class DatabaseSync:
                 continue
             plan = _TableBatch(db, name, path, table, table.schema if table else None)
             for seq, record in sorted(by_table.get((db, name), []), key=lambda x: x[0]):
-                _follow_schema_record(plan, seq, record)
+                try:
+                    _follow_schema_record(plan, seq, record)
+                except ValueError as error:  # this table's rows are set aside, the others go on
+                    plan.problem = f"schema record {seq}: {error}"
             if row["truncated"] is not None and self.truncate == "apply":
                 plan.truncate = True
                 plan.floor_seq = max(plan.floor_seq, row["truncated"])
             plans.append(plan)
-            if plan.schema is None and not plan.dropped:
+            if plan.schema is None and not plan.dropped and not plan.problem:
                 unknown.append(plan)
         if unknown:
             self._infer(good, unknown)
-        return [p for p in plans if p.schema is not None or p.dropped]
+        for plan in plans:
+            if plan.problem:
+                plan.schema, plan.dropped = None, False
+        return plans
 
     def _infer(self, good: DataFrame, plans: list[_TableBatch]) -> None:
-        """Schemas of tables first seen in this batch, from their first change."""
+        """Schemas of tables first seen in this batch: declared by their records, else from all their values."""
         wanted = self.spark.createDataFrame([(p.db, p.name) for p in plans], "db string, table string")
         rows = good.join(F.broadcast(wanted), ["db", "table"])  # one row per new table
         keyed = "key" if "key" in good.columns else None
+        fields = rows.where(F.size("declared") > 0).select("db", "table", "seq", F.posexplode("declared").alias("place", "f"))
+        last = F.max_by(F.struct("place", "f"), "seq").alias("last")  # of each field, over all records
+        declared: dict[tuple[str, str], list] = {}
+        for r in fields.groupBy("db", "table", "f.field").agg(last).collect():
+            declared.setdefault((r["db"], r["table"]), []).append((r["last"]["place"], r["last"]["f"]))
         found: dict[tuple[str, str], list] = {}
         for r in changelog.infer_table_schemas(rows, keyed).collect():
             found.setdefault((r["db"], r["table"]), []).append(r)
         for plan in plans:
-            columns = sorted(found.get((plan.db, plan.name), []), key=lambda r: r["ordinal"])
-            if columns:
-                key = [c["column"] for c in columns if c["is_key"]] or self.keys.get(plan.name, [])
-                plan.schema = Schema.of([(c["column"], c["type"]) for c in columns], key)
+            at = (plan.db, plan.name)
+            columns = sorted(found.get(at, []), key=lambda r: r["ordinal"])
+            key = [c["column"] for c in columns if c["is_key"]] or self.keys.get(plan.name, [])
+            typed = [(c["column"], c["type"], "text") for c in columns]
+            if at in declared:
+                listed = [f for _, f in sorted(declared[at], key=lambda x: x[0])]
+                typed = [(f["field"], *declared_column(f["type"], f["name"], f["parameters"])) for f in listed]
+                typed += [(c["column"], c["type"], "text") for c in columns if c["column"] not in {t[0] for t in typed}]
+            if not typed:
+                continue
+            try:
+                plan.schema = Schema.of([(n, t) for n, t, _ in typed], key)
+            except ValueError as error:
+                plan.problem = str(error)
+                continue
+            for name, _, encoding in typed:
+                if encoding != "text":
+                    plan.schema.find(name)["encoding"] = encoding
 
-    def _stage_net_changes(self, good: DataFrame, plans: list[_TableBatch], folder: str) -> None:
-        """The net effect per table and key, written partitioned by table."""
+    def _stage_net_changes(self, good: DataFrame, plans: list[_TableBatch], folder: str) -> DataFrame:
+        """Writes the net effect per table and key, partitioned by table; returns the rows that have no table or key."""
         # Key values may be under an older column name in rows that precede a rename.
         info = self.spark.createDataFrame(
             [
@@ -167,29 +205,33 @@ class DatabaseSync:
                         [k, *[a["name"] for a in p.schema.find(k)["aliases"]]]
                         for k in (p.schema.key if p.schema else [])
                     ],
+                    p.problem or (None if p.schema is not None else "no schema"),
                 )
                 for p in plans
             ],
-            "db string, table string, floor_seq long, key_names array<array<string>>",
+            "db string, table string, floor_seq long, key_names array<array<string>>, problem string",
         )
         data = good.where(F.col("kind").isin("insert", "update", "delete"))
         joined = data.join(F.broadcast(info), ["db", "table"]).where(F.col("seq") > F.col("floor_seq"))
         image = F.coalesce(F.when(F.col("kind") == "delete", F.col("before")), F.col("after"))
         fields = F.from_json("image", "map<string,string>")
-        key_text = F.to_json(
-            F.transform("key_names", lambda names: F.get(F.array_compact(F.transform(names, _field)), F.lit(0)))
-        )
-        keyed = joined.withColumn("image", image).withColumn("fields", fields).withColumn(
-            "key_text", F.when(F.size("key_names") > 0, key_text).otherwise(F.col("seq").cast("string"))
+        values = F.transform("key_names", lambda names: F.get(F.array_compact(F.transform(names, _field)), F.lit(0)))
+        keyed = joined.withColumn("image", image).withColumn("fields", fields).withColumn("values", values).withColumn(
+            "key_text", F.when(F.size("key_names") > 0, F.to_json("values")).otherwise(F.col("seq").cast("string"))
         )
+        keyless = F.when(F.exists("values", lambda v: v.isNull()), F.lit("no key"))
+        keyed = keyed.withColumn("reason", F.coalesce("problem", keyless))
+        unfit = keyed.where(F.col("reason").isNotNull()).select(*QUARANTINED)
         net = changelog.compact_changes(
-            keyed.select("db", "table", "key_text", "seq", "kind", "image"), ["db", "table", "key_text"]
+            keyed.where(F.col("reason").isNull()).select("db", "table", "key_text", "seq", "kind", "image"),
+            ["db", "table", "key_text"],
         )
         # Rebalancing by table keeps files few and still splits a table that dominates the batch.
         staged = net.drop("key_text").hint("rebalance", "db", "table")
         staged.write.mode("overwrite").partitionBy("db", "table").parquet(folder)
+        return unfit
 
-    def _apply_table(self, plan: _TableBatch, folder: str, batch_id: int) -> None:
+    def _apply_table(self, plan: _TableBatch, folder: str, quarantine: str, batch_id: int) -> None:
         if plan.schema is None:
             if plan.table is not None:
                 plan.table.drop()
@@ -200,12 +242,27 @@ class DatabaseSync:
                 table.drop()
             columns = [(c["name"], c["type"]) for c in plan.schema.columns]
             table = KeyedTable.create(self.spark, plan.path, columns, plan.schema.key)
-        staged = self.spark.read.schema(
-            "seq long, kind string, image string, db string, table string"
-        ).parquet(folder)
-        rows = staged.where((F.col("db") == plan.db) & (F.col("table") == plan.name))
+        mine = f"{folder}/db={plan.db}/table={plan.name}"
+        if storage.list_names(self.spark, mine):
+            rows = self.spark.read.schema("seq long, kind string, image string").parquet(mine)
+        else:
+            rows = self.spark.createDataFrame([], "seq long, kind string, image string")
         typed = parse_images(rows, plan.schema)
-        table.merge(typed, batch_id, self.source, schema=plan.schema, truncate=plan.truncate)
+        unfit = typed.where(F.col("_unfit") != "").select(
+            "seq",
+            F.lit(plan.db).alias("db"),
+            F.lit(plan.name).alias("table"),
+            "kind",
+            F.when(F.col("kind") == "delete", F.col("_image")).alias("before"),
+            F.when(F.col("kind") != "delete", F.col("_image")).alias("after"),
+            F.concat(F.lit("does not fit: "), "_unfit").alias("reason"),
+        )
+        unfit.write.mode("overwrite").parquet(f"{quarantine}/part=table-{plan.db}-{plan.name}")
+        fitting = typed.where(F.col("_unfit") == "").drop("_unfit", "_image")
+        # Equal keys may be written differently: what counts is the typed key.
+        if any(not isinstance(spark_type(plan.schema.find(k)["type"]), EXACT_TEXT) for k in plan.schema.key):
+            fitting = changelog.compact_changes(fitting, plan.schema.key)
+        table.merge(fitting, batch_id, self.source, schema=plan.schema, truncate=plan.truncate)
         table.maintain()
 
 
@@ -216,7 +273,8 @@ def _field(name: Column) -> Column:
 def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
     """Rows with ``seq``, ``kind`` and a JSON ``image`` in the columns of ``schema``.
 
-    Fields are read by name. Rows older than a column's start give null, rows
+    ``_unfit`` names the columns whose value cannot be told in their type, ``_image`` is
+    the image. Fields are read by name. Rows older than a column's start give null, rows
     older than a rename are read under the former name.
     """
     names = sorted({n for c in schema.columns for n in (c["name"], *[a["name"] for a in c["aliases"]])})
@@ -225,21 +283,36 @@ def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
     wanted = T.StructType([T.StructField(n, T.StringType()) for n in names])
     # The generator keeps Spark from parsing the image once per column.
     image = F.inline(F.array(F.from_json("image", wanted).cast(text)))
-    fields = rows.select("seq", "kind", image)
-    out = []
-    for c in schema.columns:
+    fields = rows.select("seq", "kind", "image", image)
+    texts, typed, unfit = [], [], []
+    for i, c in enumerate(schema.columns):
         value = field_of[c["name"]]
         for alias in reversed(c["aliases"]):
             value = F.when(F.col("seq") < alias["until_seq"], field_of[alias["name"]]).otherwise(value)
         if c["from_seq"]:
             value = F.when(F.col("seq") >= c["from_seq"], value)
-        out.append(_typed(value, spark_type(c["type"])).alias(c["name"]))
-    return fields.select("seq", "kind", *out)
+        texts.append(value.alias(f"_text{i}"))
+        kind, encoding = spark_type(c["type"]), c.get("encoding", "text")
+        text, got = F.col(f"_text{i}"), F.col(f"`{c['name']}`")
+        typed.append(_typed(decoded_text(text, encoding, kind), kind).alias(c["name"]))
+        lost = got.isNull()
+        if isinstance(kind, T.DecimalType) and encoding == "text":
+            lost |= got.cast("double") != text.try_cast("double")  # it was rounded
+        if not isinstance(kind, T.StringType):
+            unfit.append(F.when(text.isNotNull() & lost, F.lit(c["name"])))
+    names = [c["name"] for c in schema.columns]
+    # Here too a generator keeps Spark from computing a column again for everything that names it.
+    staged = fields.select("seq", "kind", F.col("image").alias("_image"), *texts)
+    staged = staged.select("*", F.inline(F.array(F.struct(*typed)))) if typed else staged
+    return staged.select("seq", "kind", "_image", F.concat_ws(", ", *unfit).alias("_unfit"), *[f"`{n}`" for n in names])
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
+    if isinstance(kind, T.BooleanType):
+        # TINYINT(1) arrives as a number: 0 is false, every other number true.
+        return F.coalesce(text.try_cast(kind), text.try_cast("long") != 0)
     if isinstance(kind, T.TimestampType):
         millis = F.timestamp_millis(F.when(text.rlike(r"^-?\d{1,18}$"), text).cast("long"))
         return F.coalesce(normalize_time(text)["ts"], millis, F.try_to_timestamp(text))

@@ -40,28 +40,57 @@ def read_changelog(
     source: str | dict,
     *,
     stream: bool = True,
-    seq: str = "offset",
+    seq: str | None = None,
     max_files: int = 100,
 ) -> DataFrame:
     """Change records of a whole database as ``seq, value, key``.
 
     ``source`` is a folder of JSON lines with these columns, or a dictionary of
-    topic options. ``seq`` is an expression over the topic's columns that orders
-    the records of each key; the offset does when a key stays in one partition.
+    topic options. Records are ordered by the position in the source's own log that
+    their envelopes state. ``seq`` is another expression over the topic's columns;
+    offsets order the records of one partition only, so with ``offset`` a record of
+    any other partition is an error.
     """
     reader = spark.readStream if stream else spark.read
     if isinstance(source, str):
         if stream:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.schema(CHANGE_FILE).json(source)
-    raw = reader.format("kafka").options(**source).load()
+    return ordered_records(reader.format("kafka").options(**source).load(), seq)
+
+
+def ordered_records(raw: DataFrame, seq: str | None = None) -> DataFrame:
+    """A topic's ``key``, ``value``, ``partition`` and ``offset`` as ``seq, value, key``."""
+    value = F.col("value").cast("string")
+    if seq is None:
+        order = source_position(value)
+    elif "offset" in seq:
+        several = F.raise_error(F.lit("offsets do not order the records of several partitions"))
+        order = F.when(F.col("partition") == 0, F.expr(seq)).otherwise(several.cast("long"))
+    else:
+        order = F.expr(seq)
     return raw.select(
-        F.expr(seq).cast("long").alias("seq"),
-        F.col("value").cast("string").alias("value"),
-        key_columns(F.col("key").cast("string")).alias("key"),
+        order.cast("long").alias("seq"), value.alias("value"), key_columns(F.col("key").cast("string")).alias("key")
     )
 
 
+def source_position(value: Column) -> Column:
+    """The place of a change in its source's log: file number, position and row, or a log sequence number.
+
+    Falls back on the source's time stamp only where the envelope has neither.
+    """
+
+    def part(name: str) -> Column:
+        return F.coalesce(
+            F.get_json_object(value, f"$.source.{name}"), F.get_json_object(value, f"$.payload.source.{name}")
+        )
+
+    number = F.regexp_extract(part("file"), r"(\d+)$", 1).try_cast("long")
+    place = F.shiftleft(number, 48) + F.shiftleft(part("pos").try_cast("long"), 16)
+    place = place + F.least(F.coalesce(part("row").try_cast("long"), F.lit(0)), F.lit(65535))
+    return F.coalesce(place, part("lsn").try_cast("long"), part("ts_ms").try_cast("long"))
+
+
 def rate_orders(spark: SparkSession, rows_per_second: int = 10, seed: int = 1) -> DataFrame:
     """Generated orders: an id of eight characters, an amount in [10, 1000] and the event time."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
