@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
@@ -32,6 +33,11 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def plain(data: bytes) -> bytes:
+    """An archive's bytes, unpacked if they are packed."""
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else bytes(data)
+
+
 def record_id(page: int | None) -> str:
     """The identifier of a page's record, the same whenever it is written."""
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}')}>"
@@ -154,7 +160,7 @@ def write_archives(
     Each row passes through the legacy format, versions 1 and 2 by turns of the batches: framed, parsed by the
     declared length, converted. Of equal payloads the one with the largest key is the response, others revisit it;
     rows that share that key are all responses. A null key is smaller than any other. Spark's text writer commits the
-    files, with the two line ends after each record as separator, so that repeated tasks leave nothing behind.
+    files, packed by gzip, with the two line ends after each record as separator; repeated tasks leave nothing behind.
     """
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"),
@@ -178,9 +184,11 @@ def write_archives(
         # As text, since a null among numbers would turn them into floats.
         {"page_id": F.col("page_id").cast("string"), "refers_to": F.col("refers_to").cast("string")}
     )
-    converted.mapInPandas(convert, "value string").write.option("maxRecordsPerFile", records).text(
-        folder, lineSep="\r\n\r\n"
-    )
+    _save(converted.mapInPandas(convert, "value string"), folder, records)
+
+
+def _save(archives: DataFrame, folder: str, records: int) -> None:
+    archives.write.option("maxRecordsPerFile", records).text(folder, compression="gzip", lineSep="\r\n\r\n")
 
 
 def convert_archives(spark: SparkSession, source: str, folder: str, records: int = RECORDS) -> None:
@@ -194,14 +202,12 @@ def convert_archives(spark: SparkSession, source: str, folder: str, records: int
             for path, data in zip(files["path"], files["content"]):
                 found = (
                     warc_record(fields, block, uuid.uuid5(uuid.NAMESPACE_URL, f"{path}#{n}").int >> 65, None)
-                    for n, (fields, block) in enumerate(parse_arc(data))
+                    for n, (fields, block) in enumerate(parse_arc(plain(data)))
                 )
                 yield pd.DataFrame({"value": [r.decode() for r in found]})
 
     files = spark.read.format("binaryFile").load(source).select("path", "content")
-    files.mapInPandas(convert, "value string").write.option("maxRecordsPerFile", records).text(
-        folder, lineSep="\r\n\r\n"
-    )
+    _save(files.mapInPandas(convert, "value string"), folder, records)
 
 
 def read_archives(spark: SparkSession, folder: str, payload: bool = False) -> DataFrame:
@@ -211,7 +217,7 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = False) -> Da
         for files in batches:
             for data in files["content"]:
                 rows = []
-                for fields, block in parse_warc(data):
+                for fields, block in parse_warc(plain(data)):
                     body = block.partition(b"\r\n\r\n")[2] if fields["warc-type"] == "response" else None
                     stated = fields["warc-payload-digest"].removeprefix("sha1:")
                     if body is not None and digest(body) != stated:
