@@ -7,11 +7,15 @@ Users are spread over three tables, so a key lives in one table only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tideline.operators import changelog, reconcile
 from tideline.plans import keyed_queries, sync_queries  # noqa: F401  (they register their queries)
+from tideline.plans.keyed_table import KeyedTable
 from tideline.plans.registry import cents, query, table
+from tideline.session import shared_dir
 
 OP = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END"
 TABLE = "CASE user_id % 3 WHEN 0 THEN 'accounts' WHEN 1 THEN 'carts' ELSE 'visits' END"
@@ -98,14 +102,31 @@ def cdc_apply(spark, d):
     """,
 )
 def cdc_apply_composite(spark, d):
-    log = change_log(spark, d).select("user_id", "k", "seq", "kind", "event_type", "value")
-    net = changelog.compact_changes(log, ["user_id", "k"])
-    return net.where(F.col("kind") != "delete").select("user_id", "k", "event_type", "value")
+    """Both halves of the month merged into a written table with a key of two columns."""
+    columns = [("user_id", "BIGINT"), ("k", "INT"), ("event_type", "STRING"), ("value", "DOUBLE")]
+    target = _written_target(spark, columns, ["user_id", "k"])
+    for n, part in enumerate(_halves(spark, d)):
+        log = part.select("user_id", "k", "seq", "kind", "event_type", "value")
+        target.merge(changelog.compact_changes(log, ["user_id", "k"]), n)
+    return target.read()
 
 
 @query("cdc_apply_nokey", f"SELECT user_id, event_type, value FROM {_CL} WHERE op <> 'd'")
 def cdc_apply_nokey(spark, d):
-    return changelog.append_changes(change_log(spark, d)).select("user_id", "event_type", "value")
+    """The same into a table without a key, which only appends."""
+    target = _written_target(spark, [("user_id", "BIGINT"), ("event_type", "STRING"), ("value", "DOUBLE")], [])
+    for n, part in enumerate(_halves(spark, d)):
+        target.merge(changelog.append_changes(part).select("user_id", "event_type", "value", "seq", "kind"), n)
+    return target.read()
+
+
+def _written_target(spark, columns, key):
+    return KeyedTable.create(spark, f"{shared_dir(spark)}/target-{uuid.uuid4().hex}", columns, key)
+
+
+def _halves(spark, d):
+    middle = "TIMESTAMP_NTZ'2024-01-15 00:00:00'"
+    return [change_log(spark, d, f"ts {op} {middle}") for op in ("<", ">=")]
 
 
 @query(

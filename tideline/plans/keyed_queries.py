@@ -102,11 +102,11 @@ def evolve_rename(spark, d):
     """,
 )
 def keyed_merge(spark, d):
-    """Two change sets, one of them replayed, with a compaction in between."""
+    """Two change sets, one of them replayed, with a fold in between."""
     keyed, changes = _orders_table(spark, d)
     first = changes.withColumn("o_totalprice", F.lit(5.0))
     keyed.merge(first, 0)
-    keyed.compact()
+    keyed.fold()
     keyed.merge(first.withColumn("o_totalprice", F.lit(99.0)), 0)
     second = changes.where("o_orderkey % 14 = 0").withColumn("o_totalprice", F.lit(-1.0))
     keyed.merge(second.withColumn("seq", F.col("seq") + 1_000_000_000), 1)

@@ -1,25 +1,25 @@
-"""Keyed tables on Parquet: upserts, deletes and schema changes without a rewrite.
+"""Keyed tables as plain Parquet folders, partitioned by a bucket of the key.
 
-A table is a folder of immutable Parquet layers and numbered manifests. Each
-change set is appended as a delta layer, so its cost follows its own size, not
-the table's. Reading puts the latest deltas over the base: base rows pass an
-anti join on the changed keys, which Spark turns into a broadcast as long as the
-deltas are small. :meth:`KeyedTable.compact` folds the deltas into a new base
-once they have grown to a set share of it, which keeps the rewriting per changed
-row constant.
+``base/bucket=b`` holds the rows, ``changes/batch=n/bucket=b`` the net changes of
+each change set, which a repeated batch overwrites. The current rows are the net
+changes over the base rows of other keys. :meth:`KeyedTable.fold` brings the
+changes into the base, bucket by bucket: buckets without changes are neither read
+nor written. ``registry`` is a table with a row for each batch: the columns and
+what has been applied. Only a batch with a registry row counts, so what a failed
+batch has written is overwritten by its next attempt.
 
 Files store columns by id, never by name. Renaming, dropping, adding and
-retyping are therefore manifest changes, and a column that was dropped and added
-again starts empty.
+retyping columns is a projection by the registry's last row, and a column that was
+dropped and added again starts empty.
 """
 
 from __future__ import annotations
 
 import copy
+import json
 import re
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +29,9 @@ from tideline.plans import storage
 
 SEQ = "_seq"
 DELETED = "_deleted"
-FANOUT = 16  # deltas of a level before they are merged into one
-COMPACT_SHARE = 0.25  # deltas larger than this share of the base are folded in
+BUCKET = "_bucket"
+BUCKETS = 16  # of a new table; a large one should have one for some hundred MB
+FOLD_AFTER = 8  # change sets before they are folded into the base
 IDENTIFIER = re.compile(r"[a-zA-Z0-9_]+")
 
 
@@ -107,112 +108,147 @@ class Schema:
 class KeyedTable:
     """One keyed table; a table without a key only appends."""
 
-    def __init__(self, spark: SparkSession, path: str, manifest: dict):
-        self.spark, self.path, self.manifest = spark, path.rstrip("/"), manifest
+    def __init__(self, spark: SparkSession, path: str, state: dict):
+        self.spark, self.path, self.state = spark, path.rstrip("/"), state
 
     # Life cycle
 
     @classmethod
     def create(
-        cls, spark: SparkSession, path: str, columns: list[tuple[str, str]], key: list[str]
+        cls, spark: SparkSession, path: str, columns: list[tuple[str, str]], key: list[str], buckets: int = BUCKETS
     ) -> "KeyedTable":
         """Creates the table if it is missing, else loads it."""
-        found = cls.load(spark, path)
-        if found is not None:
-            return found
-        table = cls(spark, path, {"version": 0, "layers": [], "applied": {}, "types": {}})
-        previous = storage.list_names(spark, f"{table.path}/_manifest")
-        table.manifest["version"] = _version(previous[-1]) if previous else 0
-        table._commit(schema=Schema.of(columns, key), layers=[])
+        last = cls._last(spark, path)
+        if last is not None and not last["dropped"]:
+            return cls(spark, path, last)
+        batch = last["batch"] if last else -1
+        table = cls(spark, path, {"batch": batch, "types": {}, "applied": {}, "buckets": buckets})
+        # Folders of a dropped table's time are not looked at again: rows count from `since` on.
+        table._register(Schema.of(columns, key), dropped=False, since=batch + 1, folded=batch + 1)
         return table
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "KeyedTable | None":
-        """The latest version, or nothing when the table is missing or dropped."""
-        names = [n for n in storage.list_names(spark, f"{path.rstrip('/')}/_manifest") if n.startswith("v")]
-        if not names:
-            return None
-        manifest = storage.read_json(spark, f"{path.rstrip('/')}/_manifest/{names[-1]}")
-        return None if manifest.get("dropped") else cls(spark, path, manifest)
+        """The current table, or nothing when it is missing or dropped."""
+        last = cls._last(spark, path)
+        return None if last is None or last["dropped"] else cls(spark, path, last)
+
+    @staticmethod
+    def _last(spark: SparkSession, path: str) -> dict | None:
+        folder = f"{path.rstrip('/')}/registry"
+        for name in reversed(storage.list_names(spark, folder)):
+            if "_SUCCESS" in storage.list_names(spark, f"{folder}/{name}"):
+                row = spark.read.schema("state string").parquet(f"{folder}/{name}").first()
+                return json.loads(row["state"])
+        return None
+
+    def _register(self, schema: Schema | None = None, **changes) -> None:
+        """Adds the registry's next row, which makes what was written for it count."""
+        state = {**self.state, **changes, "batch": self.state["batch"] + 1}
+        if schema is not None:
+            state["schema"] = schema.as_dict()
+            state["types"] = {**state["types"], **{c["id"]: c["type"] for c in schema.columns}}
+        row = self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.path}/registry/{_folder(state['batch'])}")
+        self.state = state
 
     @property
     def schema(self) -> Schema:
-        s = self.manifest["schema"]
+        s = self.state["schema"]
         return Schema(copy.deepcopy(s["columns"]), list(s["key"]), s["next_id"])
 
     @property
     def key(self) -> list[str]:
-        return list(self.manifest["schema"]["key"])
+        return list(self.state["schema"]["key"])
 
     @property
     def column_types(self) -> list[tuple[str, str]]:
-        return [(c["name"], c["type"]) for c in self.manifest["schema"]["columns"]]
+        return [(c["name"], c["type"]) for c in self.state["schema"]["columns"]]
 
-    def _commit(self, schema: Schema | None = None, **changes) -> None:
-        manifest = {**self.manifest, **changes, "version": self.manifest["version"] + 1}
-        if schema is not None:
-            manifest["schema"] = schema.as_dict()
-            manifest["types"] = {
-                **manifest["types"], **{c["id"]: c["type"] for c in schema.columns}
-            }
-        storage.write_json_once(
-            self.spark, f"{self.path}/_manifest/v{manifest['version']:010d}.json", manifest
-        )
-        self.manifest = manifest
+    @property
+    def is_new(self) -> bool:
+        """Nothing has been loaded or merged yet."""
+        return not self.state["applied"] and not self._has_base() and not self._open_batches()
 
     # Reading
 
-    def _stored(self, layers: list[dict], schema: Schema) -> DataFrame:
-        """Rows of some layers under the current column names."""
+    @property
+    def _base(self) -> str:
+        return f"{self.path}/base/{_folder(self.state['since'])}"
+
+    def _has_base(self) -> bool:
+        return bool(storage.list_names(self.spark, self._base))
+
+    def _open_batches(self) -> list[int]:
+        """Change sets that count and have not been folded yet."""
+        names = storage.list_names(self.spark, f"{self.path}/changes")
+        batches = [int(n.split("=")[1]) for n in names]
+        return [b for b in batches if self.state["folded"] < b <= self.state["batch"]]
+
+    def _stored(self, folders: list[str], schema: Schema, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of some folders under the current column names, of some buckets only if they are given."""
         ids = [i for c in schema.columns for i in (c["id"], *c["older"])]
-        fields = [T.StructField(i, spark_type(self.manifest["types"].get(i, "STRING"))) for i in ids]
+        fields = [T.StructField(i, spark_type(self.state["types"].get(i, "STRING"))) for i in ids]
         fields += [T.StructField(SEQ, T.LongType()), T.StructField(DELETED, T.BooleanType())]
-        struct = T.StructType(fields)
-        if not layers:
-            raw = self.spark.createDataFrame([], struct)
-        else:
-            raw = self.spark.read.schema(struct).parquet(*[f"{self.path}/{x['dir']}" for x in layers])
+        struct = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
+        raw = self.spark.createDataFrame([], struct)
+        for folder in folders:
+            raw = raw.unionByName(self.spark.read.schema(struct).parquet(folder).select(*struct.names))
+        if buckets is not None:
+            raw = raw.where(F.col(BUCKET).isin(buckets))
         shown = []
         for c in schema.columns:
             # A row is stored under exactly one of the ids a column has had.
             kind = spark_type(c["type"])
             parts = [F.col(c["id"]), *[F.col(i).try_cast(kind) for i in c["older"]]]
             shown.append(F.coalesce(*parts).alias(c["name"]) if len(parts) > 1 else parts[0].alias(c["name"]))
-        return raw.select(*shown, SEQ, DELETED)
+        return raw.select(*shown, SEQ, DELETED, BUCKET)
+
+    def _current(self, schema: Schema, buckets: list[int] | None = None) -> DataFrame:
+        """The rows that count, the deleted ones of the changes too."""
+        base = self._stored([self._base] if self._has_base() else [], schema, buckets)
+        batches = self._open_batches()
+        if not batches:
+            return base
+        changed = self._stored([f"{self.path}/changes/{_folder(b)}" for b in batches], schema, buckets)
+        if not schema.key:
+            return base.unionByName(changed)
+        net = compact_changes(changed, schema.key, SEQ) if len(batches) > 1 else changed
+        by = [*schema.key, BUCKET]  # equal keys share their bucket
+        return base.join(net.select(*by), by, "left_anti").select(*base.columns).unionByName(net.select(*base.columns))
 
     def read(self, with_seq: bool = False) -> DataFrame:
         """The current rows."""
         schema = self.schema
-        layers = self.manifest["layers"]
         kept = [c["name"] for c in schema.columns] + ([SEQ] if with_seq else [])
-        base = self._stored([x for x in layers if x["base"]], schema)
-        deltas = [x for x in layers if not x["base"]]
-        if not deltas:
-            return base.select(*kept)
-        changed = self._stored(deltas, schema)
-        if not schema.key:
-            return base.unionByName(changed).select(*kept)
-        net = compact_changes(changed, schema.key, SEQ) if len(deltas) > 1 else changed
-        untouched = base.join(net.select(*schema.key), schema.key, "left_anti")
-        return untouched.select(*kept).unionByName(net.where(~F.col(DELETED)).select(*kept))
+        return self._current(schema).where(~F.col(DELETED)).select(*kept)
 
     # Writing
 
-    def _write_layer(self, rows: DataFrame, schema: Schema, base: bool, level: int = 0) -> dict:
-        folder = f"data/{uuid.uuid4().hex}"
-        seen = Observation()
+    def _write(self, rows: DataFrame, schema: Schema, folder: str, dynamic: bool = False) -> None:
         stored = rows.select(
-            *[F.col(c["name"]).cast(spark_type(c["type"])).alias(c["id"]) for c in schema.columns], SEQ, DELETED
-        ).observe(seen, F.count(F.lit(1)).alias("rows"))
-        # Rebalancing lets adaptive execution even out the files.
-        stored.hint("rebalance").write.parquet(f"{self.path}/{folder}")
-        return {"dir": folder, "base": base, "rows": seen.get["rows"], "level": level}
+            *[F.col(c["name"]).cast(spark_type(c["type"])).alias(c["id"]) for c in schema.columns],
+            SEQ,
+            DELETED,
+            self._bucket_of(schema).alias(BUCKET),
+        )
+        mode = "dynamic" if dynamic else "static"
+        # Rebalancing keeps files few and splits a bucket that dominates.
+        stored.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
+            BUCKET
+        ).parquet(folder)
+
+    def _bucket_of(self, schema: Schema) -> Column:
+        """By the key's text, which integers and texts keep when their column is retyped."""
+        by = [F.col(k).cast(spark_type(schema.find(k)["type"])).cast("string") for k in schema.key] or [F.col(SEQ)]
+        return F.pmod(F.xxhash64(*by), F.lit(self.state["buckets"])).cast("int")
 
     def load_snapshot(self, rows: DataFrame, seq: int = 0) -> None:
         """Replaces the content with an initial load."""
-        schema = self.schema
+        batch = self.state["batch"] + 1
         full = rows.withColumns({SEQ: F.lit(seq).cast("long"), DELETED: F.lit(False)})
-        self._commit(layers=[self._write_layer(full, schema, base=True)])
+        self._write(full, self.schema, f"{self.path}/base/{_folder(batch)}")
+        self._register(since=batch, folded=batch)
 
     def merge(
         self,
@@ -222,101 +258,84 @@ class KeyedTable:
         schema: Schema | None = None,
         truncate: bool = False,
     ) -> bool:
-        """Applies a compacted change set in one commit; false when it was applied before.
+        """Adds a compacted change set; false when it was applied before.
 
         ``net`` has the table's columns plus ``seq`` and ``kind``. Batches of one
         ``source`` must come in order; one that is not newer than the last is
         skipped, so a replay changes nothing. A new ``schema`` and ``truncate``
         take effect before the rows.
         """
-        if batch_id is not None and batch_id <= self.manifest["applied"].get(source, -1):
+        if batch_id is not None and batch_id <= self.state["applied"].get(source, -1):
             return False
         schema = schema or self.schema
+        batch = self.state["batch"] + 1
         rows = net.withColumns({SEQ: F.col("seq").cast("long"), DELETED: F.col("kind") == "delete"})
-        layers = [] if truncate else self.manifest["layers"]
-        first = not layers  # nothing to put the rows over: they are the base
-        if first or not schema.key:
-            rows = rows.where(~F.col(DELETED))
-        layer = self._write_layer(rows, schema, base=first)
-        if layer["rows"]:
-            layers = [*layers, layer]
-        applied = dict(self.manifest["applied"])
+        rows = rows if schema.key else rows.where(~F.col(DELETED))
+        self._write(rows, schema, f"{self.path}/changes/{_folder(batch)}")
+        applied = dict(self.state["applied"])
         if batch_id is not None:
             applied[source] = batch_id
-        self._commit(schema=schema, layers=layers, applied=applied)
+        emptied = {"since": batch, "folded": batch - 1} if truncate else {}
+        self._register(schema, applied=applied, **emptied)
         return True
 
     def evolve(self, change) -> None:
-        """Applies ``change(schema)`` as one new version; no change, no version."""
+        """Applies ``change(schema)`` as one new registry row; no change, no row."""
         schema = self.schema
         change(schema)
-        if schema.as_dict() != self.manifest["schema"]:
-            self._commit(schema=schema)
+        if schema.as_dict() != self.state["schema"]:
+            if {c["id"] for c in schema.columns if c["name"] in schema.key} != self._key_ids():
+                self.fold(every=True, schema=schema)  # a retyped key may belong to other buckets
+            else:
+                self._register(schema)
+
+    def _key_ids(self) -> set[str]:
+        return {c["id"] for c in self.state["schema"]["columns"] if c["name"] in self.key}
 
     def truncate(self) -> None:
-        self._commit(layers=[])
+        batch = self.state["batch"] + 1
+        self._register(since=batch, folded=batch)
 
     def drop(self) -> None:
-        self._commit(layers=[], dropped=True)
+        self._register(dropped=True)
 
     # Maintenance
 
     def maintain(self) -> None:
-        """Keeps reads cheap after a merge: folds many small deltas, or all of them when they are large."""
-        if self.key and self.needs_compaction():
-            self.compact()
-        else:
-            self.fold_deltas()
+        """Keeps reads cheap after merges."""
+        if len(self._open_batches()) >= FOLD_AFTER:
+            self.fold()
 
-    def fold_deltas(self, fanout: int = FANOUT) -> None:
-        """Merges deltas of one level into one of the next once there are ``fanout`` of them.
+    def fold(self, every: bool = False, schema: Schema | None = None) -> None:
+        """Brings the changes into the base; buckets without changes stay as they are.
 
-        A changed row is rewritten once per level, so its cost grows with the
-        logarithm of the number of change sets.
+        The new buckets are written aside first. Should the job end while they are put
+        in place, the changes still count, and putting them over a base that has some of
+        them gives the same rows. ``every`` rewrites all buckets, under ``schema``.
         """
-        level = 0
-        while True:
-            small = [x for x in self.manifest["layers"] if not x["base"] and x["level"] == level]
-            if len(small) < fanout:
-                return
-            schema = self.schema
-            rows = self._stored(small, schema)
-            merged = compact_changes(rows, schema.key, SEQ) if schema.key else rows
-            layer = self._write_layer(merged, schema, base=False, level=level + 1)
-            folded = {x["dir"] for x in small}
-            self._commit(layers=[x for x in self.manifest["layers"] if x["dir"] not in folded] + [layer])
-            level += 1
-
-    def needs_compaction(self, share: float = COMPACT_SHARE) -> bool:
-        base = sum(x["rows"] for x in self.manifest["layers"] if x["base"])
-        deltas = sum(x["rows"] for x in self.manifest["layers"] if not x["base"])
-        return deltas > share * base
-
-    def compact(self) -> None:
-        """Folds all layers into one base and forgets columns of the past."""
-        rows = self.read(with_seq=True).withColumn(DELETED, F.lit(False))
-        schema = self.schema
-        layer = self._write_layer(rows, schema, base=True)
-        for column in schema.columns:
-            column["older"] = []
-        self._commit(schema=schema, layers=[layer])
-
-    def expire(self, keep: int = 2) -> list[str]:
-        """Deletes all versions but the last ``keep`` and the layers only they use; returns the folders."""
-        names = storage.list_names(self.spark, f"{self.path}/_manifest")
-        kept = names[-keep:]
-        used = {
-            x["dir"]
-            for n in kept
-            for x in storage.read_json(self.spark, f"{self.path}/_manifest/{n}")["layers"]
-        }
-        stale = [
-            f"data/{n}" for n in storage.list_names(self.spark, f"{self.path}/data") if f"data/{n}" not in used
-        ]
-        for old in [*(f"_manifest/{n}" for n in names if n not in kept), *stale]:
-            storage.delete_folder(self.spark, f"{self.path}/{old}")
-        return stale
-
-
-def _version(name: str) -> int:
-    return int(name[1:].split(".")[0])
+        batches = self._open_batches()
+        if not batches and not every:
+            return
+        buckets = None
+        if not every:
+            names = [n for b in batches for n in storage.list_names(self.spark, f"{self.path}/changes/{_folder(b)}")]
+            buckets = sorted({int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")})
+        new = schema or self.schema
+        aside = f"{self.path}/fold/{_folder(self.state['batch'])}"
+        if schema is not None:
+            self.state["types"] = {**self.state["types"], **{c["id"]: c["type"] for c in schema.columns}}
+        self._write(self._current(new, buckets), new, aside)
+        rows = self._stored([aside], new)
+        if every:
+            batch = self.state["batch"] + 1
+            self._write(rows, new, f"{self.path}/base/{_folder(batch)}")
+            self._register(new, since=batch, folded=batch)
+        else:
+            self._write(rows, new, self._base, dynamic=True)
+            self._register(folded=max(batches))
+        for folder in (aside, *(f"{self.path}/changes/{_folder(b)}" for b in batches)):
+            storage.delete_folder(self.spark, folder)
+
+
+def _folder(batch: int) -> str:
+    return f"batch={batch:010d}"

@@ -1,9 +1,7 @@
-"""Small text files on the shared file system, through Spark's own file system client."""
+"""Folders on the shared file system, through Spark's own file system client."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import SparkSession
 
 
@@ -14,42 +12,13 @@ def _path(spark: SparkSession, path: str):
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """File names of a folder; a missing folder has none."""
+    """The names in a folder in order; a missing folder has none."""
     path, fs = _path(spark, folder)
     if not fs.exists(path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
-def read_json(spark: SparkSession, path: str) -> dict:
-    target, fs = _path(spark, path)
-    stream = fs.open(target)
-    try:
-        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def write_json_once(spark: SparkSession, path: str, content: dict) -> None:
-    """Publishes a file under a name that must be free.
-
-    The text goes to a hidden file first; the rename makes it visible as a whole
-    and fails when another writer was faster.
-    """
-    target, fs = _path(spark, path)
-    hidden = spark._jvm.org.apache.hadoop.fs.Path(
-        target.getParent(), f".{target.getName()}.{spark._jvm.java.util.UUID.randomUUID()}"
-    )
-    stream = fs.create(hidden, False)
-    try:
-        stream.write(bytearray(json.dumps(content, indent=1).encode("utf-8")))
-    finally:
-        stream.close()
-    if fs.exists(target) or not fs.rename(hidden, target):
-        fs.delete(hidden, False)
-        raise FileExistsError(f"{path} was written by somebody else")
-
-
 def delete_folder(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)

@@ -87,7 +87,7 @@ class DatabaseSync:
     ) -> KeyedTable:
         """Creates a table from its catalog entry and loads its rows once."""
         table = KeyedTable.create(self.spark, self.path(db, name), columns, key)
-        if not table.manifest["layers"] and not table.manifest["applied"]:
+        if table.is_new:
             table.load_snapshot(rows.select(*[c for c, _ in columns]))
         return table
 
@@ -138,7 +138,7 @@ class DatabaseSync:
             db, name = row["db"], row["table"]
             path = self.path(db, name)
             table = KeyedTable.load(self.spark, path)
-            if table and batch_id <= table.manifest["applied"].get(self.source, -1):
+            if table and batch_id <= table.state["applied"].get(self.source, -1):
                 continue
             plan = _TableBatch(db, name, path, table, table.schema if table else None)
             for seq, record in sorted(by_table.get((db, name), []), key=lambda x: x[0]):
@@ -169,18 +169,25 @@ class DatabaseSync:
         declared: dict[tuple[str, str], list] = {}
         for r in fields.groupBy("db", "table", "f.field").agg(last).collect():
             declared.setdefault((r["db"], r["table"]), []).append((r["last"]["place"], r["last"]["f"]))
+        keys = {}
+        if keyed:
+            first = rows.where(F.size(keyed) > 0).groupBy("db", "table").agg(F.min_by(keyed, "seq").alias("key"))
+            keys = {(r["db"], r["table"]): r["key"] for r in first.collect()}
         found: dict[tuple[str, str], list] = {}
-        for r in changelog.infer_table_schemas(rows, keyed).collect():
-            found.setdefault((r["db"], r["table"]), []).append(r)
+        bare = [(p.db, p.name) for p in plans if (p.db, p.name) not in declared]
+        if bare:
+            some = self.spark.createDataFrame(bare, "db string, table string")
+            for r in changelog.infer_table_schemas(good.join(F.broadcast(some), ["db", "table"]), keyed).collect():
+                found.setdefault((r["db"], r["table"]), []).append(r)
         for plan in plans:
             at = (plan.db, plan.name)
-            columns = sorted(found.get(at, []), key=lambda r: r["ordinal"])
-            key = [c["column"] for c in columns if c["is_key"]] or self.keys.get(plan.name, [])
-            typed = [(c["column"], c["type"], "text") for c in columns]
             if at in declared:
                 listed = [f for _, f in sorted(declared[at], key=lambda x: x[0])]
                 typed = [(f["field"], *declared_column(f["type"], f["name"], f["parameters"])) for f in listed]
-                typed += [(c["column"], c["type"], "text") for c in columns if c["column"] not in {t[0] for t in typed}]
+            else:
+                typed = [(c["column"], c["type"], "text") for c in sorted(found.get(at, []), key=lambda r: r["ordinal"])]
+            names = [n for n, *_ in typed]
+            key = [k for k in keys.get(at) or [] if k in names] or self.keys.get(plan.name, [])
             if not typed:
                 continue
             try:
