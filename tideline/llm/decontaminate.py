@@ -17,6 +17,8 @@ from tideline.llm.common import runs_by_size, written
 WINDOW = 5
 PLAIN = 3
 COVERAGE = 0.5
+#: Tokens in a row with the item's own values that count whatever share of the item they are.
+RUN = 13
 RUN_CHARS = 1 << 21
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[%$€£¥°]")
 #: Fixed list: what counts as a unit after a number.
@@ -29,6 +31,8 @@ UNITS = frozenset(
 )
 WORD, CAPITAL, NUMBER = 0, 1, 2
 HOLES = {"num": 1, "name": 2, "unit": 3}
+#: What a window's placeholders are: numbers, units and names; numbers and units; nothing (all tokens literal).
+TEMPLATE, NAMED, EXACT = 0, 1, 2
 SEPARATOR = "\x1f"
 
 
@@ -79,10 +83,12 @@ class Templates:
                 np.array(self.ends, bool),
             )
 
-    def windows(self, texts: list[str], size: int) -> tuple:
-        """Each window's text, place in it, hash and token; then what ``slots`` needs of all tokens.
+    def windows(self, texts: list[str], size: int, short: tuple = (), every: bool = False) -> tuple:
+        """Each window's text, place, hash, first token, length and form; then what ``slots`` needs of all tokens.
 
-        A text with fewer tokens than ``size`` is one window; windows of mostly placeholders are left out.
+        A text with fewer tokens than ``size`` is one window. Lengths in ``short`` give windows of their own at every
+        place. A window's form is the first that leaves ``PLAIN`` words in it (all, if it is shorter); with ``every``
+        it is given in the other forms that do so too.
         """
         lists = [t.split() for t in texts]
         self.learn(set().union(*lists))
@@ -108,31 +114,57 @@ class Templates:
         left = np.repeat(tokens, tokens) - place
         at = np.flatnonzero((left >= size) | (place == 0))
         reach = np.minimum(left[at], size)
-        mixed = np.zeros(len(at), np.uint64)
-        plain = np.zeros(len(at), np.int64)
-        with np.errstate(over="ignore"):
-            for k in range(size):
-                inside = at + k if (reach == size).all() else np.minimum(at + k, len(token) - 1)
-                there = k < reach
-                mixed = (mixed ^ np.where(there, value[inside], 0)) * np.uint64(0x9E3779B97F4A7C15)
-                mixed ^= mixed >> np.uint64(32)
-                plain += there & (hole[inside] == 0)
-        good = plain >= np.minimum(PLAIN, reach)
-        at = at[good]
-        return text_of[at], place[at], mixed[good], at, (token, hole, begin, tokens)
-
-    def slots(self, at: int, size: int, run: tuple) -> str:
-        """What fills the placeholders of a window, with their kinds."""
-        token, hole, begin, tokens = run
-        text = int(np.searchsorted(begin, at, "right")) - 1
-        end = min(at + size, int(begin[text] + tokens[text]))
-        return SEPARATOR.join(f"{hole[i]}{self.token[token[i]].lower()}" for i in range(at, end) if hole[i])
-
-
-SCHEMA = "h long, key long, place int, slots string, windows int"
-
-
-def _windows(size: int, bits: np.ndarray | None):
+        for n in short:
+            more = np.flatnonzero(left >= n)
+            at, reach = np.r_[at, more], np.r_[reach, np.full(len(more), n)]
+        literal = np.where(hole == HOLES["name"], hashes[token], value)
+
+        def plain(open_: np.ndarray) -> np.ndarray:
+            many = np.r_[0, np.cumsum(open_)]
+            return many[at + reach] - many[at] >= np.minimum(PLAIN, reach)
+
+        def mixed(values: np.ndarray, of: np.ndarray, start: int) -> np.ndarray:
+            some, length = at[of], reach[of]
+            out = np.full(len(some), start, np.uint64)
+            whole = (length == size).all()
+            with np.errstate(over="ignore"):
+                for k in range(size):
+                    if whole:
+                        out = out ^ values[some + k]
+                    else:
+                        out = out ^ np.where(k < length, values[np.minimum(some + k, len(token) - 1)], 0)
+                    out *= np.uint64(0x9E3779B97F4A7C15)
+                    out ^= out >> np.uint64(32)
+            return out
+
+        forms = [plain(hole == 0), plain((hole == 0) | (hole == HOLES["name"]))]
+        if every:
+            has_name = np.r_[0, np.cumsum(hole == HOLES["name"])]
+            named = forms[1] & ~(forms[0] & (has_name[at + reach] == has_name[at]))  # else the two forms are the same
+        else:
+            named = forms[1] & ~forms[0]
+        picks = [np.flatnonzero(forms[0]), np.flatnonzero(named), np.flatnonzero(~forms[1])]
+        values = (value, literal, hashes[token])
+        # A window in named form has the hash of a template without names: a copy in lower case has that one.
+        h = np.concatenate([mixed(v, of, int(form == EXACT)) for form, (v, of) in enumerate(zip(values, picks))])
+        of = np.concatenate(picks)
+        form = np.repeat(np.arange(3, dtype=np.int8), [len(p) for p in picks])
+        at, reach = at[of], reach[of]
+        return text_of[at], place[at], h, at, reach, form, (token, hole, begin, tokens)
+
+    def slots(self, at: int, reach: int, form: int, run: tuple) -> str:
+        """What fills the placeholders of a window, with their places in it and kinds."""
+        token, hole, _, _ = run
+        if form == EXACT:
+            return ""
+        left = (0, HOLES["name"]) if form == NAMED else (0,)
+        return SEPARATOR.join(f"{i - at}:{hole[i]}{self.token[token[i]].lower()}" for i in range(at, at + reach) if hole[i] not in left)
+
+
+SCHEMA = "h long, key long, place int, slots string, windows int, reach int"
+
+
+def _windows(size: int, bits: np.ndarray | None, short: tuple = ()):
     """A function for ``mapInPandas`` over ``key``, ``text``: the rows of ``SCHEMA`` for windows whose bit is set."""
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,22 +172,24 @@ def _windows(size: int, bits: np.ndarray | None):
         for some in batches:
             done = 0
             for texts in runs_by_size(some["text"].tolist(), len, RUN_CHARS):
-                owner, place, h, at, run = templates.windows(texts, size)
+                owner, place, h, at, reach, form, run = templates.windows(texts, size, short, bits is None)
                 keys = some["key"].iloc[done : done + len(texts)]
                 done += len(texts)
-                total = np.bincount(owner, minlength=len(texts))
+                total = run[3][np.searchsorted(run[2], at, "right") - 1] if bits is None else np.zeros(len(at), np.int64)
                 if bits is not None:
                     shift = np.uint64(64 - (len(bits) * 64).bit_length() + 1)
                     bit = h >> shift
                     hit = bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) == 1
-                    owner, place, h, at = owner[hit], place[hit], h[hit], at[hit]
+                    owner, place, h, at, total = owner[hit], place[hit], h[hit], at[hit], total[hit]
+                    reach, form = reach[hit], form[hit]
                 yield pd.DataFrame(
                     {
                         "h": h.view(np.int64),
                         "key": keys.to_numpy()[owner],
                         "place": place.astype(np.int32),
-                        "slots": pd.Series([templates.slots(int(a), size, run) for a in at], dtype=object),
-                        "windows": total[owner].astype(np.int32),
+                        "slots": pd.Series([templates.slots(*x, run) for x in zip(at.tolist(), reach.tolist(), form.tolist())], dtype=object),
+                        "windows": np.maximum(1, total - size + 1).astype(np.int32),
+                        "reach": reach.astype(np.int32),
                     }
                 )
 
@@ -177,6 +211,41 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return bits.view(np.uint64)
 
 
+def judge(nths: list, theirs: list, slots: list, size: int, strict: bool) -> tuple[list, int, bool]:
+    """Of one occurrence: the places of the windows that count, tokens of the longest own run, whether all are own.
+
+    ``theirs``: the item's slots of each window, ``slots``: the document's. Windows with the item's own values always
+    count. Every value of the item is replaced by the value that stands for it at most places, or by itself if none is
+    ahead; windows with another replacement are left out. ``strict``: if two other values are level, nothing counts.
+    """
+    own = [a == b for a, b in zip(theirs, slots)]
+    counts, level = list(own), False
+    if not all(own):
+        places: dict[str, dict[str, set]] = {}
+        pairs = []
+        for nth, a, b in zip(nths, theirs, slots):
+            split = [(int((x := p.split(":", 1))[0]), x[1], q.split(":", 1)[1]) for p, q in zip(a.split(SEPARATOR), b.split(SEPARATOR))] if a else []
+            pairs.append([(x, y) for _, x, y in split])
+            for off, x, y in split:
+                places.setdefault(x, {}).setdefault(y, set()).add(nth + off)
+        best = {}
+        for x, others in places.items():
+            most = max(map(len, others.values()))
+            first = [y for y, at in others.items() if len(at) == most]
+            best[x] = x if x in first else min(first, key=lambda y: min(others[y]))
+            level = level or (len(first) > 1 and x not in others)
+        one_to_one = all(len(ys) == 1 for ys in places.values()) and len({y for ys in places.values() for y in ys}) == len(places)
+        if not one_to_one:
+            return [], 0, False
+        counts = [True] * len(own)
+    places_own = sorted({n for n, o in zip(nths, own) if o})
+    longest = run = 0
+    for k, n in enumerate(places_own):
+        run = run + 1 if k and places_own[k - 1] == n - 1 else 1
+        longest = max(longest, run)
+    return sorted({n for n, c in zip(nths, counts) if c}), longest + size - 1 if longest else 0, all(own)
+
+
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -186,13 +255,19 @@ def find(
     item_text: str = "text",
     window: int = WINDOW,
     coverage: float = COVERAGE,
+    run: int = RUN,
+    strict: bool = True,
 ) -> DataFrame:
     """``doc_id``, ``item_id``, ``coverage``, ``same_slots``: documents that hold a benchmark item, re-parameterised or not.
 
-    Windows of template tokens are joined on their hash. Windows that are shifted alike form an occurrence. It counts
-    if its slots are consistent: every value of the item is replaced by one value throughout, and no two by the same.
-    A document holds an item if the consistent occurrences cover at least ``coverage`` of the item's windows;
-    ``same_slots`` tells whether some occurrence among them has the item's own values throughout.
+    Windows of template tokens are joined on their hash; those with too few plain words have their names, or all their
+    tokens, as they are. Windows that are shifted alike form an occurrence, of which those count that ``judge`` names.
+    A document holds an item if its occurrences' windows cover at least ``coverage`` of the item's windows, or if one
+    has ``run`` tokens in a row with the item's own values. ``same_slots`` tells whether some occurrence among them has
+    the item's own values throughout.
+
+    ``strict``: an item of fewer tokens than a window must be the whole document, and an occurrence where one value
+    became two others equally often counts nothing. Otherwise such items are looked for at every place of a document.
 
     Null texts and texts without tokens hold nothing, and as items are never found. Rows that share a key count as
     one document; null keys are reported as a null key. Repeated items repeat nothing. Clean documents give no row.
@@ -206,29 +281,35 @@ def find(
 
     items = written(plain(benchmark, item, item_text).distinct().mapInPandas(_windows(window, None), SCHEMA), "item-windows")
     bits = spark.sparkContext.broadcast(_bitmap(items))
+    short = () if strict else tuple(sorted(r[0] for r in items.where(F.col("reach") < window).select("reach").distinct().collect()))
 
     def filtered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return _windows(window, bits.value)(batches)
+        return _windows(window, bits.value, short)(batches)
 
     found = plain(docs, key, text).mapInPandas(filtered, SCHEMA).select("h", "key", "place", "slots")
     theirs = items.select(
         "h", F.col("key").alias("item"), F.col("place").alias("nth"), F.col("slots").alias("theirs"), "windows"
     )
     met = found.join(theirs, "h").withColumn("shift", F.col("place") - F.col("nth"))
-    pairs = F.arrays_zip(F.split("theirs", SEPARATOR).alias("a"), F.split("slots", SEPARATOR).alias("b"))
-    met = met.withColumn("pairs", F.when(F.col("theirs") == "", F.array().cast("array<struct<a:string,b:string>>")).otherwise(pairs))
     # An occurrence has no more windows and slots than its item, so these sets are as small as the item.
     one = met.groupBy("key", "item", "shift").agg(
-        F.collect_set("nth").alias("nths"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.max("windows").alias("windows"),
+        F.array_sort(F.collect_set(F.struct("nth", "theirs", "slots"))).alias("m"), F.max("windows").alias("windows")
     )
-    size = F.size("pairs")
-    consistent = (F.size(F.array_distinct(F.col("pairs.a"))) == size) & (F.size(F.array_distinct(F.col("pairs.b"))) == size)
-    one = one.where(consistent).withColumn("same", F.forall("pairs", lambda p: p["a"] == p["b"]))
-    every = one.select("key", "item", "windows", "same", F.explode("nths").alias("nth"))
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for some in batches:
+            found = [judge(n.tolist(), a, b, window, strict) for n, a, b in zip(some["nth"], some["theirs"], some["slots"])]
+            yield some[["key", "item", "windows"]].assign(
+                nths=[f[0] for f in found], run=[f[1] for f in found], same=[f[2] for f in found]
+            )
+
+    one = one.select("key", "item", "windows", "m.nth", "m.theirs", "m.slots")
+    one = one.mapInPandas(judged, "key long, item long, windows int, nths array<int>, run int, same boolean")
+    every = one.select("key", "item", "windows", "run", "same", F.explode("nths").alias("nth"))
     out = every.groupBy("key", "item").agg(
-        (F.count_distinct("nth") / F.max("windows")).alias("coverage"), F.max("same").alias("same_slots")
+        (F.count_distinct("nth") / F.max("windows")).alias("coverage"),
+        F.max("same").alias("same_slots"),
+        F.max("run").alias("run"),
     )
     return out.where(F.col("coverage") >= coverage).select(
         F.when(F.col("key") != no_key, F.col("key")).alias(key),
@@ -240,5 +321,5 @@ def find(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, with all their columns. Null keys are kept."""
-    leaks = find(docs.select(key, text), benchmark, key, text).select(key).distinct()
+    leaks = find(docs.select(key, text), benchmark, key, text, strict=False).select(key).distinct()
     return docs.join(leaks, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
