@@ -1,5 +1,6 @@
 """Leaks that windows of plain words, one-to-one slots and coverage alone would miss."""
 
+import pytest
 from test_search_and_archives import ITEM
 from tideline.llm import decontaminate
 
@@ -21,3 +22,15 @@ def test_items_of_placeholders_capitals_and_few_words(spark):
         (4, "here are just three words inside"), (5, "Ask. " + ITEM.upper()), (9, "What is 18 * 24 + 46? just three or four words"),
     ]
     assert keys(spark, docs, items) == {(1, 1), (2, 2), (3, 3), (30, 3), (4, 4), (5, 5)}
+
+
+def test_slots_need_not_be_one_to_one(spark):
+    docs = [(1, ITEM.replace("at 9", "at 5")), (2, ITEM.replace("120", "4").replace("30", "4")), (3, ITEM.replace("at 9", "at 5").replace("if 9", "if 6"))]
+    assert keys(spark, docs, [(1, ITEM)]) == {(1, 1), (2, 1), (3, 1)}
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_minority_replacements_are_left_out(strict):
+    slots = ["0:1a", "0:1a", "0:1a", ""]
+    assert decontaminate.judge([0, 5, 9, 12], slots, ["0:1b", "0:1b", "0:1c", ""], 5, strict) == ([0, 5, 12], 5, False)
+    assert decontaminate.judge([0, 5], slots[:2], ["0:1b", "0:1c"], 5, strict)[0] == ([] if strict else [0])

@@ -234,10 +234,9 @@ def judge(nths: list, theirs: list, slots: list, size: int, strict: bool) -> tup
             first = [y for y, at in others.items() if len(at) == most]
             best[x] = x if x in first else min(first, key=lambda y: min(others[y]))
             level = level or (len(first) > 1 and x not in others)
-        one_to_one = all(len(ys) == 1 for ys in places.values()) and len({y for ys in places.values() for y in ys}) == len(places)
-        if not one_to_one:
+        if strict and level:
             return [], 0, False
-        counts = [True] * len(own)
+        counts = [o or all(best[x] == y for x, y in some) for o, some in zip(own, pairs)]
     places_own = sorted({n for n, o in zip(nths, own) if o})
     longest = run = 0
     for k, n in enumerate(places_own):
