@@ -29,6 +29,12 @@ def test_slots_need_not_be_one_to_one(spark):
     assert keys(spark, docs, [(1, ITEM)]) == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_a_long_run_counts_whatever_its_share(spark):
+    words = LONG.split()
+    docs = [(1, "so " + " ".join(words[20:33]) + " end"), (2, "so " + " ".join(words[20:32]) + " end")]
+    assert keys(spark, docs, [(1, LONG)]) == {(1, 1)}
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_minority_replacements_are_left_out(strict):
     slots = ["0:1a", "0:1a", "0:1a", ""]

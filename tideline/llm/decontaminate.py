@@ -310,7 +310,7 @@ def find(
         F.max("same").alias("same_slots"),
         F.max("run").alias("run"),
     )
-    return out.where(F.col("coverage") >= coverage).select(
+    return out.where((F.col("coverage") >= coverage) | (F.col("run") >= run)).select(
         F.when(F.col("key") != no_key, F.col("key")).alias(key),
         F.when(F.col("item") != no_key, F.col("item")).alias(item),
         "coverage",
