@@ -40,3 +40,9 @@ def test_minority_replacements_are_left_out(strict):
     slots = ["0:1a", "0:1a", "0:1a", ""]
     assert decontaminate.judge([0, 5, 9, 12], slots, ["0:1b", "0:1b", "0:1c", ""], 5, strict) == ([0, 5, 12], 5, False)
     assert decontaminate.judge([0, 5], slots[:2], ["0:1b", "0:1c"], 5, strict)[0] == ([] if strict else [0])
+
+
+def test_leaks_go_by_row(spark):
+    docs = spark.createDataFrame([(None, ITEM, 1), (1, ITEM, 2), (1, "clean text", 3), (None, "clean", 4)], "doc_id long, text string, h int")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert sorted(r["h"] for r in decontaminate.without_leaks(docs, bench).collect()) == [3, 4]

@@ -319,6 +319,7 @@ def find(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns. Null keys are kept."""
-    leaks = find(docs.select(key, text), benchmark, key, text, strict=False).select(key).distinct()
-    return docs.join(leaks, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows whose text holds no benchmark item, with all their columns. Keys, null or repeated, don't matter."""
+    digest = F.xxhash64(F.col(text).cast("string"))
+    leaks = find(docs.select(digest.alias("_row"), text), benchmark, "_row", text, strict=False).select("_row").distinct()
+    return docs.withColumn("_row", digest).join(leaks, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
