@@ -73,11 +73,11 @@ def _number_type(left: list[np.ndarray], right: list[np.ndarray], width: int):
     return np.float64 if largest[0] * largest[1] * max(width, 1) < 2**52 else object
 
 
-def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """``id``, ``v``: every component x of the usable vectors as floor(scale * x).
+def quantised(df: DataFrame, key: str, vector: str, scale: int, repeats: bool = False) -> DataFrame:
+    """``id``, ``v``, ``n``: every component x of the usable vectors as floor(scale * x), and the number of such rows.
 
     Vectors that are null or hold a null or a value that isn't finite are left out, as are null keys. Of rows that
-    share a key the least vector counts.
+    share a key the least vector counts, once; with ``repeats`` all of them do.
     """
     usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & usable)
@@ -85,7 +85,9 @@ def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
         F.col(key).cast("long").alias("id"),
         F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"),
     )
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    if repeats:
+        return rows.groupBy("id", "v").agg(F.count("*").alias("n"))
+    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("n", F.lit(1).cast("long"))
 
 
 def search(
@@ -95,36 +97,41 @@ def search(
     vector: str = "embedding",
     k: int = K,
     scale: int = SCALE,
+    repeats: bool = False,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: each query's k best rows of ``df``, all if fewer.
 
     Scores are inner products of the quantised components, exact; of vectors of different length the common
     components count. Ties go to the smaller key; rows with the query's own key are no candidates for it. Every
     shard of candidates meets every block of queries in a task of bounded size; each pair sends k rows on.
+
+    ``repeats``: rows that share a key are candidates and queries of their own; the ranks of a key's queries are common.
+    Of equal rows k at most are looked at, since no more can be among the best.
     """
-    vectors = written(quantised(df, key, vector, scale), "vectors")
-    asked = written(quantised(queries, key, vector, scale), "query-vectors")
+    vectors = written(quantised(df, key, vector, scale, repeats), "vectors")
+    asked = written(quantised(queries, key, vector, scale, repeats), "query-vectors")
     shards = max(1, -(-vectors.count() // SHARD))
     blocks = max(1, -(-asked.count() // BLOCK))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = vectors.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
+    left = vectors.select("id", "v", "n", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int").alias("shard"))
     left = left.withColumn("block", every(blocks))
-    right = asked.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
+    right = asked.select("id", "v", "n", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"))
     right = right.withColumn("shard", every(shards))
 
     def meet(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
         if not len(shard) or not len(block):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
+        shard = shard.loc[shard.index.repeat(shard["n"].clip(upper=k))]
         mine, theirs = list(shard["v"]), list(block["v"])
         width = max(map(len, theirs))
         dtype = _number_type(mine, theirs, width)
         postings = Postings(shard["id"].to_numpy(), mine, width, dtype)
         out = []
-        for own, v in zip(block["id"], theirs):
+        for own, v, n in zip(block["id"], theirs, block["n"]):
             query = np.zeros(width, dtype)
             query[: len(v)] = v
-            ids, score = postings.search(own, query, k)
+            ids, score = (np.repeat(x, min(n, k))[:k] for x in postings.search(own, query, k))
             out.append(pd.DataFrame({"query_id": own, "vec_id": ids, "score": [_long(s) for s in score]}))
         return pd.concat(out)
 
