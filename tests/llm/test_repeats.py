@@ -1,7 +1,7 @@
 """Repeated keys in the search, and copies in the language sample."""
 
 import numpy as np
-from tideline.llm import contract
+from tideline.llm import contract, language
 
 
 def test_query_keeps_rows_that_share_an_id(spark, tmp_path):
@@ -14,3 +14,12 @@ def test_query_keeps_rows_that_share_an_id(spark, tmp_path):
     pairs = [(-sum(a * b for a, b in zip(q, v)), c) for i, q in ints if i == 100 for c, v in ints if c != 100]
     wanted = [(100, n + 1, c, -s) for n, (s, c) in enumerate(sorted(pairs)[:10])]
     assert sorted(map(tuple, contract.QUERIES["op6_topk"](spark, str(tmp_path)).collect())) == wanted
+
+
+def test_copies_do_not_crowd_out_a_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 5)
+    texts = [("das Haus", "de")] * 30_000 + [(f"der gute Hund läuft {'abcdefgh'[i]}", "de") for i in range(4)]
+    texts += [(f"the good dog runs {'abcdefgh'[i]}", "en") for i in range(8)]
+    model = language.fit(spark.createDataFrame(texts, "text string, lang string"))
+    assert model.languages == ["de", "en"]
+    assert model.predict(["der gute Hund", "the good dog"])[0] == ["de", "en"]

@@ -15,7 +15,7 @@ from tideline.llm.word_sums import WordSums
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: The bounds of what is learned from: whole texts of about so many documents, and so many different words, for each language.
+#: The bounds of what is learned from: so many different whole texts, and so many different words, for each language.
 SAMPLE_DOCS = 1500
 SAMPLE_WORDS = 6000
 #: A word's bytes are read in sequences of at most this length, with a blank at either end.
@@ -199,22 +199,25 @@ class LanguageModel:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learns from rows with a non-null language.
 
-    The sample is bounded: whole texts of about ``SAMPLE_DOCS`` documents of each language, chosen by a hash of the
-    text, and of their different words ``SAMPLE_WORDS``, weighted by how often they occur. That is all the driver
+    The sample is bounded: ``SAMPLE_DOCS`` different whole texts of each language, all if there are fewer, those of the
+    least hashes; copies of a text count once. Of their different words ``SAMPLE_WORDS``, weighted by how often they occur, are all the driver
     gets. Without any labelled word the model knows no language.
     """
     docs = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     )
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(1_000_000 * SAMPLE_DOCS) / F.col("n")
+    # Only hashes are ranked; the rank limit is applied before the shuffle too. A sampled hash is looked up in the texts.
+    hashes = docs.select("lang", F.xxhash64("text").alias("h")).distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    chosen = hashes.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).select("lang", "h")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             found = Counter((la, w) for t, la in zip(rows["text"], rows["lang"]) for w in LETTERS.findall(t.lower()))
             yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["lang", "word", "n"])
 
-    words = docs.join(F.broadcast(sizes), "lang").where(share).select("text", "lang")
+    words = docs.withColumn("h", F.xxhash64("text")).join(chosen, ["lang", "h"], "left_semi")
+    words = words.dropDuplicates(["lang", "h"]).select("text", "lang")
     words = words.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word"))
     rows = words.withColumn("place", place).where(F.col("place") <= SAMPLE_WORDS).drop("place").toPandas()
