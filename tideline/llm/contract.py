@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import byte_bpe, decontaminate, language, simhash, suffix_dedup, token_counts, token_store, topk, toxicity, warc
+from tideline.llm import byte_bpe, decontaminate, language, simhash, suffix_dedup, token_counts, token_store, topk, toxicity, vector_codes, warc
 from tideline.llm.common import table
 
 QUERIES: dict = {}
@@ -97,3 +97,49 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = suffix_dedup.remove_repeats(docs)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.encode(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def _vector_codes_sql() -> str:
+    """Two rounds over all entries of the codebooks, without any shortcut."""
+    steps = []
+    for r in range(3):
+        steps.append(f"""
+        found{r} AS (
+            SELECT a.row, a.part, min(struct_pack(d := a.d, e := a.entry)) AS best FROM (
+                SELECT p.row, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS d
+                FROM pieces p JOIN book{r} b ON p.part = b.part AND p.position = b.position GROUP BY ALL) a
+            GROUP BY ALL)""")
+        if r < 2:
+            steps.append(f"""
+        mean{r} AS (
+            SELECT p.part, f.best.e AS entry, p.position, CAST(floor(CAST(sum(p.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+            FROM pieces p JOIN found{r} f ON p.row = f.row AND p.part = f.part GROUP BY ALL),
+        book{r + 1} AS (
+            SELECT b.part, b.entry, b.position, coalesce(m.x, b.x) AS x FROM book{r} b
+            LEFT JOIN mean{r} m ON b.part = m.part AND b.entry = m.entry AND b.position = m.position)""")
+    return f"""
+    WITH kept AS (
+        SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) AS row FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    flat AS (
+        SELECT row, len(embedding) // 16 AS size, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS spot FROM kept),
+    pieces AS (
+        SELECT row, spot // size AS part, spot % size AS position, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM flat),
+    book0 AS (SELECT part, row - 1 AS entry, position, x FROM pieces WHERE row <= 64),
+    {",".join(steps)},
+    coded AS (
+        SELECT row, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' ORDER BY part) AS code,
+               CAST(sum(best.d) AS BIGINT) AS error
+        FROM found2 GROUP BY row)
+    SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, position)) FROM book2) AS codebooks_sha256
+    FROM kept k JOIN coded c ON k.row = c.row
+    """
+
+
+ORACLES["op12_vector_codes"] = _vector_codes_sql()
