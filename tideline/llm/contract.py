@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import byte_bpe, decontaminate, language, simhash, suffix_dedup, token_counts, token_store, topk, toxicity, vector_codes, warc
+from tideline.llm import (
+    byte_bpe,
+    decontaminate,
+    language,
+    passage_trees,
+    prefix_trie,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_store,
+    topk,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from tideline.llm.common import table
 
 QUERIES: dict = {}
@@ -143,3 +157,75 @@ def _vector_codes_sql() -> str:
 
 
 ORACLES["op12_vector_codes"] = _vector_codes_sql()
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+ORACLES["op11_prefix_trie"] = """
+WITH own AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n,
+           coalesce(role, '') AS r, coalesce(text, '') AS t
+    FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+    SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+            lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) AS crc
+    FROM (SELECT DISTINCT c FROM own)),
+convs AS (SELECT c, c - c % 5 AS base, crc % 9 AS h FROM crc),
+built AS (
+    SELECT v.c, o.n AS k, r, t FROM convs v JOIN own o ON o.c = v.base AND o.n <= v.h
+    UNION ALL SELECT v.c, 1000000 + o.n, r, t FROM convs v JOIN own o ON o.c = v.c AND o.n > v.h),
+seq AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY k) AS d, {'r': r, 't': t} AS what FROM built),
+pre AS (
+    SELECT c, d, strlen(what.t) AS bytes, list(what) OVER (PARTITION BY c ORDER BY d) AS p FROM seq
+    UNION ALL SELECT c, 0, 0, [] FROM convs),
+nodes AS (
+    SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    FROM pre GROUP BY p, d),
+member AS (SELECT pre.c, pre.d, n.conv_id FROM pre JOIN nodes n ON pre.p = n.p AND pre.d = n.d),
+linked AS (
+    SELECT n.conv_id, n.d, m.conv_id AS parent, n.n_convs, (n.n_convs - 1) * n.bytes AS saved
+    FROM nodes n LEFT JOIN member m ON m.c = n.conv_id AND m.d = n.d - 1),
+kids AS (SELECT parent AS conv_id, d - 1 AS d, count(*) AS n FROM linked WHERE d > 0 GROUP BY ALL),
+below AS (
+    SELECT m.conv_id, m.d, count(*) FILTER (k.n IS NULL) AS leaves, sum(l.saved) AS saved
+    FROM linked l JOIN member m ON m.c = l.conv_id AND m.d <= l.d LEFT JOIN kids k ON k.conv_id = l.conv_id AND k.d = l.d
+    GROUP BY ALL),
+ends AS (
+    SELECT m.conv_id, m.d, string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) AS list
+    FROM member m JOIN (SELECT c, max(d) AS d FROM pre GROUP BY c) e ON m.c = e.c AND m.d = e.d GROUP BY ALL)
+SELECT l.conv_id, l.d AS depth, l.parent AS parent_conv_id, l.n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves,
+       CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.list, '')) AS ends_sha256
+FROM linked l JOIN below b ON b.conv_id = l.conv_id AND b.d = l.d
+LEFT JOIN kids k ON k.conv_id = l.conv_id AND k.d = l.d LEFT JOIN ends e ON e.conv_id = l.conv_id AND e.d = l.d
+"""
+
+
+@query
+def op13_passage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    found = passage_trees.remove_passages(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op13_passage_trees"] = r"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+hashed AS (
+    SELECT doc_id, r, unnest(list_transform(range(1, len(words) - 48), lambda i: md5(array_to_string(words[i:i + 49], ' ')))) AS h,
+           unnest(range(1, len(words) - 48)) AS i
+    FROM split WHERE len(words) >= 50),
+gone AS (SELECT r, i FROM hashed JOIN (SELECT h, min(doc_id) AS least FROM hashed GROUP BY h) USING (h) WHERE doc_id > least),
+word AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split),
+near AS (
+    SELECT word.r, word.i, w, max(gone.i) OVER (PARTITION BY word.r ORDER BY word.i) AS last
+    FROM word LEFT JOIN gone ON word.r = gone.r AND word.i = gone.i),
+told AS (
+    SELECT r, count(*) AS n, count(*) FILTER (last >= i - 49) AS removed,
+           string_agg(w, ' ' ORDER BY i) FILTER (last IS NULL OR last < i - 49) AS kept
+    FROM near GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN told USING (r)
+"""
