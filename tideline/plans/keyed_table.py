@@ -1,12 +1,16 @@
-"""Keyed tables as plain Parquet folders, partitioned by a bucket of the key.
+"""Keyed tables as bucketed Parquet tables that hold every row by its sequence.
 
-``base/bucket=b`` holds the rows, ``changes/batch=n/bucket=b`` the net changes of
-each change set, which a repeated batch overwrites. The current rows are the net
-changes over the base rows of other keys. :meth:`KeyedTable.fold` brings the
-changes into the base, bucket by bucket: buckets without changes are neither read
-nor written. ``registry`` is a table with a row for each batch: the columns and
-what has been applied. Only a batch with a registry row counts, so what a failed
-batch has written is overwritten by its next attempt.
+All change sets go into one table, partitioned by change set and bucketed by the key.
+The current row of a key is the one with the highest sequence, wherever it lies, so
+neither the order in which change sets arrive nor the moments at which they are folded
+change the result. Rows of a key lie in buckets of the same number, so a read needs no
+exchange. A deleted row stays as a tombstone until a fold is told that no older change
+can come any more.
+
+:meth:`KeyedTable.fold` joins the change sets to one, or everything to a new generation
+when they have grown to a good part of the rest. ``registry`` is a table with a row for
+each step: the columns, what has been applied, and the change sets that count. What a
+failed step has written is overwritten by its next attempt.
 
 Files store columns by id, never by name. Renaming, dropping, adding and
 retyping columns is a projection by the registry's last row, and a column that was
@@ -16,12 +20,12 @@ dropped and added again starts empty.
 from __future__ import annotations
 
 import copy
+import hashlib
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.functions.types import spark_type
 from tideline.operators.changelog import compact_changes
@@ -29,9 +33,10 @@ from tideline.plans import storage
 
 SEQ = "_seq"
 DELETED = "_deleted"
-BUCKET = "_bucket"
+BATCH = "_batch"
 BUCKETS = 16  # of a new table; a large one should have one for some hundred MB
-FOLD_AFTER = 8  # change sets before they are folded into the base
+FOLD_AFTER = 8  # change sets before they are folded
+FOLD_SHARE = 4  # the changes are folded with all other rows once they are more than one of so many bytes
 IDENTIFIER = re.compile(r"[a-zA-Z0-9_]+")
 
 
@@ -122,9 +127,10 @@ class KeyedTable:
         if last is not None and not last["dropped"]:
             return cls(spark, path, last)
         batch = last["batch"] if last else -1
+        # A dropped table's ids are not used again, nor is its generation.
+        schema = Schema.of(columns, key)
         table = cls(spark, path, {"batch": batch, "types": {}, "applied": {}, "buckets": buckets})
-        # Folders of a dropped table's time are not looked at again: rows count from `since` on.
-        table._register(Schema.of(columns, key), dropped=False, since=batch + 1, folded=batch + 1)
+        table._register(schema, dropped=False, generation=batch + 1, live=[], floor=None)
         return table
 
     @classmethod
@@ -168,87 +174,78 @@ class KeyedTable:
     @property
     def is_new(self) -> bool:
         """Nothing has been loaded or merged yet."""
-        return not self.state["applied"] and not self._has_base() and not self._open_batches()
+        return not self.state["applied"] and not self.state["live"]
 
     # Reading
 
-    @property
-    def _base(self) -> str:
-        return f"{self.path}/base/{_folder(self.state['since'])}"
-
-    def _has_base(self) -> bool:
-        return bool(storage.list_names(self.spark, self._base))
-
-    def _open_batches(self) -> list[int]:
-        """Change sets that count and have not been folded yet."""
-        names = storage.list_names(self.spark, f"{self.path}/changes")
-        batches = [int(n.split("=")[1]) for n in names]
-        return [b for b in batches if self.state["folded"] < b <= self.state["batch"]]
-
-    def _stored(self, folders: list[str], schema: Schema, buckets: list[int] | None = None) -> DataFrame:
-        """Rows of some folders under the current column names, of some buckets only if they are given."""
-        ids = [i for c in schema.columns for i in (c["id"], *c["older"])]
-        fields = [T.StructField(i, spark_type(self.state["types"].get(i, "STRING"))) for i in ids]
-        fields += [T.StructField(SEQ, T.LongType()), T.StructField(DELETED, T.BooleanType())]
-        struct = T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
-        raw = self.spark.createDataFrame([], struct)
-        for folder in folders:
-            raw = raw.unionByName(self.spark.read.schema(struct).parquet(folder).select(*struct.names))
-        if buckets is not None:
-            raw = raw.where(F.col(BUCKET).isin(buckets))
+    def _table(self, schema: Schema, generation: int) -> str:
+        """The catalog's name for a generation's files; the session learns of those it does not know yet."""
+        types = {**self.state["types"], **{c["id"]: c["type"] for c in schema.columns}}
+        listed = ", ".join(f"{i} {spark_type(t).simpleString()}" for i, t in types.items())
+        place = self._rows(generation)
+        name = f"tideline_{hashlib.md5(f'{place} {listed}'.encode()).hexdigest()}"
+        keys = ", ".join(schema.find(k)["id"] for k in schema.key)
+        layout = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.state['buckets']} BUCKETS" if keys else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({listed}, {SEQ} BIGINT, {DELETED} BOOLEAN, {BATCH} INT) "
+            f"USING parquet PARTITIONED BY ({BATCH}) {layout} LOCATION '{place}'"
+        )
+        return name
+
+    def _rows(self, generation: int) -> str:
+        return f"{self.path}/rows/{_folder(generation)}"
+
+    def _stored(self, batches: list[int], schema: Schema) -> DataFrame:
+        """Rows of some change sets under the current column names."""
+        name = self._table(schema, self.state["generation"])
+        if batches:
+            parts = " ".join(f"PARTITION ({BATCH}={b})" for b in batches)
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        raw = self.spark.table(name).where(F.col(BATCH).isin(batches))
+        if self.state["floor"] is not None:
+            raw = raw.where(F.col(SEQ) > self.state["floor"])
         shown = []
         for c in schema.columns:
             # A row is stored under exactly one of the ids a column has had.
             kind = spark_type(c["type"])
             parts = [F.col(c["id"]), *[F.col(i).try_cast(kind) for i in c["older"]]]
             shown.append(F.coalesce(*parts).alias(c["name"]) if len(parts) > 1 else parts[0].alias(c["name"]))
-        return raw.select(*shown, SEQ, DELETED, BUCKET)
-
-    def _current(self, schema: Schema, buckets: list[int] | None = None) -> DataFrame:
-        """The rows that count, the deleted ones of the changes too."""
-        base = self._stored([self._base] if self._has_base() else [], schema, buckets)
-        batches = self._open_batches()
-        if not batches:
-            return base
-        changed = self._stored([f"{self.path}/changes/{_folder(b)}" for b in batches], schema, buckets)
-        if not schema.key:
-            return base.unionByName(changed)
-        net = compact_changes(changed, schema.key, SEQ) if len(batches) > 1 else changed
-        by = [*schema.key, BUCKET]  # equal keys share their bucket
-        return base.join(net.select(*by), by, "left_anti").select(*base.columns).unionByName(net.select(*base.columns))
+        return raw.select(*shown, SEQ, DELETED, BATCH)
+
+    def _newest(self, batches: list[int], schema: Schema) -> DataFrame:
+        """The last row of each key, deleted ones too; of equal sequences the later change set's."""
+        rows = self._stored(batches, schema)
+        if len(batches) > 1 and schema.key:
+            rows = compact_changes(rows.withColumn("_at", F.struct(SEQ, BATCH)), schema.key, "_at").drop("_at")
+        return rows
 
     def read(self, with_seq: bool = False) -> DataFrame:
         """The current rows."""
         schema = self.schema
         kept = [c["name"] for c in schema.columns] + ([SEQ] if with_seq else [])
-        return self._current(schema).where(~F.col(DELETED)).select(*kept)
+        return self._newest(self.state["live"], schema).where(~F.col(DELETED)).select(*kept)
 
     # Writing
 
-    def _write(self, rows: DataFrame, schema: Schema, folder: str, dynamic: bool = False) -> None:
-        stored = rows.select(
-            *[F.col(c["name"]).cast(spark_type(c["type"])).alias(c["id"]) for c in schema.columns],
-            SEQ,
-            DELETED,
-            self._bucket_of(schema).alias(BUCKET),
-        )
-        mode = "dynamic" if dynamic else "static"
-        # Rebalancing keeps files few and splits a bucket that dominates.
-        stored.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
-            BUCKET
-        ).parquet(folder)
-
-    def _bucket_of(self, schema: Schema) -> Column:
-        """By the key's text, which integers and texts keep when their column is retyped."""
-        by = [F.col(k).cast(spark_type(schema.find(k)["type"])).cast("string") for k in schema.key] or [F.col(SEQ)]
-        return F.pmod(F.xxhash64(*by), F.lit(self.state["buckets"])).cast("int")
+    def _write(self, rows: DataFrame, schema: Schema, generation: int) -> int:
+        """Writes rows as the next change set, over what a failed attempt may have left, and returns its number."""
+        batch = self.state["batch"] + 1
+        name = self._table(schema, generation)
+        stored = {c["id"]: F.col(c["name"]).cast(spark_type(c["type"])).alias(c["id"]) for c in schema.columns}
+        ids = [i for i in self.spark.table(name).columns if i not in (SEQ, DELETED, BATCH)]
+        rows = rows.select(*[stored.get(i, F.lit(None).alias(i)) for i in ids], SEQ, DELETED)
+        if schema.key:  # one file for each bucket
+            rows = rows.repartition(self.state["buckets"], *[schema.find(k)["id"] for k in schema.key])
+        # A streaming batch has a session of its own, which knows the same tables.
+        storage.delete_folder(self.spark, f"{self._rows(generation)}/{BATCH}={batch}")
+        rows.sparkSession.sql(f"INSERT INTO {name} PARTITION ({BATCH}={batch}) SELECT * FROM {{rows}}", rows=rows)
+        return batch
 
     def load_snapshot(self, rows: DataFrame, seq: int = 0) -> None:
         """Replaces the content with an initial load."""
-        batch = self.state["batch"] + 1
         full = rows.withColumns({SEQ: F.lit(seq).cast("long"), DELETED: F.lit(False)})
-        self._write(full, self.schema, f"{self.path}/base/{_folder(batch)}")
-        self._register(since=batch, folded=batch)
+        generation = self.state["batch"] + 1
+        self._register(generation=generation, live=[self._write(full, self.schema, generation)], floor=None)
 
     def merge(
         self,
@@ -256,27 +253,27 @@ class KeyedTable:
         batch_id: int | None = None,
         source: str = "default",
         schema: Schema | None = None,
-        truncate: bool = False,
+        truncate: int | None = None,
     ) -> bool:
         """Adds a compacted change set; false when it was applied before.
 
         ``net`` has the table's columns plus ``seq`` and ``kind``. Batches of one
         ``source`` must come in order; one that is not newer than the last is
-        skipped, so a replay changes nothing. A new ``schema`` and ``truncate``
-        take effect before the rows.
+        skipped, so a replay changes nothing. A new ``schema`` takes effect before
+        the rows. ``truncate`` is the sequence of a truncation: rows up to it don't
+        count any more, be they in the table, in ``net`` or still to come.
         """
         if batch_id is not None and batch_id <= self.state["applied"].get(source, -1):
             return False
         schema = schema or self.schema
-        batch = self.state["batch"] + 1
         rows = net.withColumns({SEQ: F.col("seq").cast("long"), DELETED: F.col("kind") == "delete"})
         rows = rows if schema.key else rows.where(~F.col(DELETED))
-        self._write(rows, schema, f"{self.path}/changes/{_folder(batch)}")
+        batch = self._write(rows, schema, self.state["generation"])
         applied = dict(self.state["applied"])
         if batch_id is not None:
             applied[source] = batch_id
-        emptied = {"since": batch, "folded": batch - 1} if truncate else {}
-        self._register(schema, applied=applied, **emptied)
+        floors = [f for f in (self.state["floor"], truncate) if f is not None]
+        self._register(schema, applied=applied, live=[*self.state["live"], batch], floor=max(floors, default=None))
         return True
 
     def evolve(self, change) -> None:
@@ -285,7 +282,7 @@ class KeyedTable:
         change(schema)
         if schema.as_dict() != self.state["schema"]:
             if {c["id"] for c in schema.columns if c["name"] in schema.key} != self._key_ids():
-                self.fold(every=True, schema=schema)  # a retyped key may belong to other buckets
+                self.fold(every=True, schema=schema)  # a retyped key belongs to other buckets
             else:
                 self._register(schema)
 
@@ -293,47 +290,54 @@ class KeyedTable:
         return {c["id"] for c in self.state["schema"]["columns"] if c["name"] in self.key}
 
     def truncate(self) -> None:
-        batch = self.state["batch"] + 1
-        self._register(since=batch, folded=batch)
+        self._register(generation=self.state["batch"] + 1, live=[])
 
     def drop(self) -> None:
         self._register(dropped=True)
 
     # Maintenance
 
-    def maintain(self) -> None:
+    def maintain(self, mark: int | None = None) -> None:
         """Keeps reads cheap after merges."""
-        if len(self._open_batches()) >= FOLD_AFTER:
-            self.fold()
+        if len(self.state["live"]) > FOLD_AFTER:
+            self.fold(mark)
 
-    def fold(self, every: bool = False, schema: Schema | None = None) -> None:
-        """Brings the changes into the base; buckets without changes stay as they are.
+    def fold(self, mark: int | None = None, every: bool = False, schema: Schema | None = None) -> None:
+        """Joins the change sets to one, or with all other rows to a new generation (always if ``every``).
 
-        The new buckets are written aside first. Should the job end while they are put
-        in place, the changes still count, and putting them over a base that has some of
-        them gives the same rows. ``every`` rewrites all buckets, under ``schema``.
+        Changes before ``mark`` have all come: a new generation leaves out rows that were deleted before it.
+        Reads that are under way go on, since what a fold replaces is deleted by the next one only.
         """
-        batches = self._open_batches()
-        if not batches and not every:
+        live = self.state["live"]
+        if len(live) < 2 and not every:
             return
-        buckets = None
-        if not every:
-            names = [n for b in batches for n in storage.list_names(self.spark, f"{self.path}/changes/{_folder(b)}")]
-            buckets = sorted({int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}=")})
+        self._clean()
+        size = {b: storage.size(self.spark, f"{self._rows(self.state['generation'])}/{BATCH}={b}") for b in live}
+        every = every or sum(size[b] for b in live[1:]) * FOLD_SHARE > size[live[0]]
         new = schema or self.schema
-        aside = f"{self.path}/fold/{_folder(self.state['batch'])}"
-        if schema is not None:
-            self.state["types"] = {**self.state["types"], **{c["id"]: c["type"] for c in schema.columns}}
-        self._write(self._current(new, buckets), new, aside)
-        rows = self._stored([aside], new)
-        if every:
-            batch = self.state["batch"] + 1
-            self._write(rows, new, f"{self.path}/base/{_folder(batch)}")
-            self._register(new, since=batch, folded=batch)
-        else:
-            self._write(rows, new, self._base, dynamic=True)
-            self._register(folded=max(batches))
-        for folder in (aside, *(f"{self.path}/changes/{_folder(b)}" for b in batches)):
+        if not every:
+            batch = self._write(self._newest(live[1:], new), new, self.state["generation"])
+            self._register(new, live=[live[0], batch])
+            return
+        generation = self.state["batch"] + 1
+        rows = self._newest(live, new)
+        if mark is not None:
+            rows = rows.where(~F.col(DELETED) | (F.col(SEQ) >= mark))
+        batch = self._write(rows, new, generation)
+        self._register(new, generation=generation, live=[batch])
+
+    def _clean(self) -> None:
+        """Deletes generations, change sets and registry rows that don't count since the last fold or before."""
+        rows = self._rows(self.state["generation"])
+        dead = [f"{self.path}/rows/{n}" for n in storage.list_names(self.spark, f"{self.path}/rows")]
+        dead = [f for f in dead if f != rows]
+        for n in storage.list_names(self.spark, rows):
+            if n.startswith(f"{BATCH}=") and int(n.split("=")[1]) not in self.state["live"]:
+                dead.append(f"{rows}/{n}")
+        registry = f"{self.path}/registry"
+        names = storage.list_names(self.spark, registry)
+        dead += [f"{registry}/{n}" for n in names if n < _folder(self.state["batch"])]
+        for folder in dead:
             storage.delete_folder(self.spark, folder)
 
 

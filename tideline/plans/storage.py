@@ -22,3 +22,9 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
 def delete_folder(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)
+
+
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes in a folder; a missing one has none."""
+    path, fs = _path(spark, folder)
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0

@@ -269,7 +269,7 @@ class DatabaseSync:
         # Equal keys may be written differently: what counts is the typed key.
         if any(not isinstance(spark_type(plan.schema.find(k)["type"]), EXACT_TEXT) for k in plan.schema.key):
             fitting = changelog.compact_changes(fitting, plan.schema.key)
-        table.merge(fitting, batch_id, self.source, schema=plan.schema, truncate=plan.truncate)
+        table.merge(fitting, batch_id, self.source, schema=plan.schema, truncate=plan.floor_seq if plan.floor_seq >= 0 else None)
         table.maintain()
 
 
