@@ -39,7 +39,9 @@ LAST = 2**63 - 1
 #: Hashed words that a worker remembers, by the bytes of their text.
 REMEMBERED = 32 << 20
 
-SNIPPET = "doc long, row long, key long, anchor int, low int, high int, content binary"
+#: ``place`` packs a snippet's first window and how many words behind it the anchor and the last window lie.
+SNIPPET = "doc long, row long, key long, place long, content binary"
+LARGEST_WINDOW = 255
 
 
 class _WordHashes:
@@ -114,7 +116,7 @@ def _snippet_rows(batches: Iterator[pd.DataFrame], window: int, prefix: int) ->
                 start = np.r_[0, end[:-1] + 1]
                 for key, at, low, high in snippets(words, hashed(words), window, prefix):
                     content = blake2b(whole[start[low] : end[high + window - 1]], digest_size=16, salt=str(at - low).encode())
-                    out.append((doc, row, key, first + at, first + low, first + high, content.digest()))
+                    out.append((doc, row, key, (first + low) << 16 | (at - low) << 8 | (high - low), content.digest()))
                 if len(out) > 50_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
@@ -128,19 +130,22 @@ def _cut(batches: Iterator[pd.DataFrame], window: int, prefix: int) -> Iterator[
     for batch in batches:
         out = []
         for doc, text, wanted in zip(batch["doc"], batch["text"], batch["wanted"]):
-            wanted = sorted(wanted, key=lambda w: w["low"])
+            wanted = sorted((w["place"], w["key"], w["content"]) for w in wanted)
             k = 0
             for begin, words in word_blocks(text, window):
-                while k < len(wanted) and wanted[k]["high"] + window <= begin + len(words):
-                    w = wanted[k]
-                    at, low, high = (w[c] - begin for c in ("anchor", "low", "high"))
+                while k < len(wanted):
+                    place, key, content = wanted[k]
+                    low = (place >> 16) - begin
+                    at, high = low + (place >> 8 & 255), low + (place & 255)
+                    if high + window > len(words):
+                        break
                     before, after = words[low:at][::-1], words[at : high + window]
                     # Longer prefixes for groups that turn out large: to the right for windows that start near the
                     # anchor, to the left for the others.
                     right = xxhash.xxh64_intdigest(b" ".join(after[: window - half]))
                     left = xxhash.xxh64_intdigest(b" ".join(before[: half + 1] + after[:prefix]), seed=1)
                     right, left = (x - 2**64 if x >= 2**63 else x for x in (right, left))
-                    out.append((w["key"], w["content"], doc, at - high, at - low, b" ".join(before), b" ".join(after), right, left))
+                    out.append((key, content, doc, at - high, at - low, b" ".join(before), b" ".join(after), right, left))
                     k += 1
         yield pd.DataFrame(out, columns=names)
 
@@ -249,15 +254,17 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
 
     Windows are numbered by their first word. Runs may touch or overlap.
     """
+    if not prefix < window <= LARGEST_WINDOW:
+        raise ValueError(f"a window has more words than a prefix and {LARGEST_WINDOW} at most")
     found = docs.mapInPandas(partial(_snippet_rows, window=window, prefix=prefix), SNIPPET)
     found = written(found, "snippets")
     # Equal snippets are one node already: all but the least document's are repeats.
-    place = F.min(F.struct("doc", "row", "anchor", "low", "high")).alias("at")
+    place = F.min(F.struct("doc", "row", "place")).alias("at")
     kinds = found.groupBy("key", "content").agg(place, F.max("doc").alias("last"))
     kinds = written(kinds, "different-snippets")
     several = kinds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     wanted = kinds.join(several, "key").groupBy("at.doc", "at.row")
-    wanted = wanted.agg(F.collect_list(F.struct("key", "content", "at.anchor", "at.low", "at.high")).alias("wanted"))
+    wanted = wanted.agg(F.collect_list(F.struct("key", "content", "at.place")).alias("wanted"))
     texts = docs.join(wanted, ["doc", "row"]).select("doc", "text", "wanted")
     cut = written(texts.mapInPandas(partial(_cut, window=window, prefix=prefix), CUT), "cut-snippets")
     cut = cut.join(several, "key")
@@ -281,13 +288,13 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     marks = repeats.unionByName(single).groupBy("key", "content").agg(F.collect_set("o").alias("offsets"))
 
     # All snippets of later documents go, those of the least document where its kind was marked.
-    judged = kinds.where("last > at.doc").select("key", "content", F.col("at.doc").alias("least"), F.lit(None).cast("array<int>").alias("offsets"))
-    later = found.join(judged.select("key", "content", "least"), ["key", "content"]).where("doc > least").select("doc", "row", "low", "high")
-    firsts = kinds.join(several.select("key"), "key").select("key", "content", F.col("at.doc").alias("doc"))
-    marked = found.join(firsts.join(marks, ["key", "content"]), ["key", "content", "doc"])
-    starts = F.explode("offsets").alias("o")
-    marked = marked.select("doc", "row", "anchor", starts).select("doc", "row", (F.col("anchor") - F.col("o")).alias("low"))
-    return later.unionByName(marked.select("doc", "row", "low", F.col("low").alias("high")))
+    judged = kinds.join(marks, ["key", "content"], "left").where("last > at.doc OR offsets IS NOT NULL")
+    judged = judged.select("key", "content", F.col("at.doc").alias("least"), "offsets")
+    low, at = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
+    whole = F.array(F.struct(low.alias("low"), (low + F.col("place").bitwiseAND(255)).alias("high")))
+    single = F.transform("offsets", lambda o: F.struct((low + at - o).alias("low"), (low + at - o).alias("high")))
+    runs = F.when(F.col("doc") > F.col("least"), whole).otherwise(single)
+    return found.join(judged, ["key", "content"]).select("doc", "row", F.inline(runs))
 
 
 def remove_passages(
