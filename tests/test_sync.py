@@ -387,3 +387,58 @@ def test_order_of_several_partitions(spark):
     with pytest.raises(Exception, match="several partitions"):
         streams.ordered_records(raw, "offset").collect()
     assert streams.ordered_records(raw.where("partition = 0"), "offset").first()["seq"] == 90
+
+
+def test_fields_that_appear_later_are_kept(spark, sync):
+    """Bare and declared records bring new fields in a later batch; what can be no column is set aside by row."""
+    sync.apply_batch(batch(spark, change(1, "c", "t", after={"id": 1, "a": 1})), 0)
+    sync.apply_batch(batch(
+        spark,
+        change(2, "c", "t", after={"id": 2, "a": 2, "note": "kept"}),
+        change(3, "c", "t", after={"id": 3, "odd name": 1}),
+    ), 1)
+    assert rows_of(sync.table("shop", "t")) == [(1, 1, None), (2, 2, "kept")]
+    assert quarantined(spark, sync) == [(3, "unknown field: odd name")]
+    fields = [{"field": n, "type": t} for n, t in (("id", "int64"), ("a", "int64"), ("more", "double"))]
+    value = {"schema": {"fields": [{"field": "after", "fields": fields}]},
+             "payload": {"op": "u", "source": {"db": "shop", "table": "t"}, "after": {"id": 2, "a": 9, "more": 0.5}}}
+    sync.apply_batch(batch(spark, (4, json.dumps(value), ["id"])), 2)
+    assert rows_of(sync.table("shop", "t")) == [(1, 1, None, None), (2, 9, None, 0.5)]
+
+
+def test_a_dropped_or_renamed_field_that_comes_again_is_a_new_column(spark, sync):
+    sync.apply_batch(batch(
+        spark, ddl(1, BASE, "t", kind="CREATE"), change(2, "c", "t", after={"id": 1, "product": "a", "amount": "1.00"})), 0)
+    sync.apply_batch(batch(
+        spark,
+        change(3, "u", "t", after={"id": 1, "product": "b", "amount": "2.00"}),
+        ddl(4, [BASE[0], ("title", "VARCHAR(255)")], "t", "ALTER TABLE t RENAME COLUMN product TO title, DROP amount"),
+        change(5, "c", "t", after={"id": 2, "title": "c"}),
+    ), 1)
+    assert rows_of(sync.table("shop", "t")) == [(1, "b"), (2, "c")] and quarantined(spark, sync) == []
+    sync.apply_batch(batch(spark, change(6, "c", "t", after={"id": 3, "title": "d", "amount": 7, "product": "p"})), 2)
+    got = {r["id"]: (r["title"], r["amount"], r["product"]) for r in sync.table("shop", "t").read().collect()}
+    assert got == {1: ("b", None, None), 2: ("c", None, None), 3: ("d", 7, "p")}
+
+
+def test_changed_encodings_are_read_as_they_were_written(spark, sync):
+    def record(seq, day, kind, name):
+        fields = [{"field": "id", "type": "int64"}, {"field": "at", "type": kind, "name": name}]
+        payload = {"op": "c", "source": {"db": "shop", "table": "e"}, "after": {"id": seq, "at": day}}
+        return seq, json.dumps({"schema": {"fields": [{"field": "after", "fields": fields}]}, "payload": payload}), ["id"]
+
+    millis, micros = "io.debezium.time.Timestamp", "io.debezium.time.MicroTimestamp"
+    sync.apply_batch(batch(spark, record(1, 1000, "int64", millis), record(2, 2_000_000, "int64", micros)), 0)
+    sync.apply_batch(batch(spark, record(3, 3_000_000, "int64", micros)), 1)
+    got = sync.table("shop", "e").read().select("id", F.unix_micros("at")).collect()
+    assert sorted(map(tuple, got)) == [(n, n * 1_000_000) for n in (1, 2, 3)]
+
+
+def test_documents_that_cannot_be_applied_are_set_aside(spark, tmp_path):
+    sync = DocumentSync(spark, str(tmp_path), [Collection("c", (("_id", "STRING"), ("n", "BIGINT")))])
+    records = [(1, "t.c", "c", None, '{"_id":"a","n":2.5}'), (2, "t.c", "c", None, '{"_id":"b","n":'), (3, "t.c", "c", None, '{"n":1}'),
+               (4, "t.c", "c", None, '{"_id":"d","n":4}'), (5, "t.c", "c", None, "[1]"), (6, "t.c", None, None, '{"_id":"x"}')]
+    sync.apply_batch(spark.createDataFrame(records, "seq long, topic string, op string, before string, after string"), 0)
+    assert rows_of(KeyedTable.load(spark, sync.path("c"))) == [("d", 4)]
+    bad = spark.read.parquet(f"{sync.root}/_quarantine").collect()
+    assert {r["seq"]: r["reason"] for r in bad} == {1: "does not fit: n", 2: "no JSON object", 3: "no key", 5: "no JSON object", 6: "no op"}

@@ -70,19 +70,31 @@ def malformed_documents(df: DataFrame, document: str) -> DataFrame:
     return df.where(F.col(document).isNotNull() & F.try_parse_json(document).isNull())
 
 
-def decode_document_changes(changes: DataFrame, apply_deletes: bool = False) -> DataFrame:
+def read_document_changes(records: DataFrame, value: str = "value") -> DataFrame:
+    """``op``, ``before`` and ``after`` of envelope texts; the other columns stay.
+
+    Images may be JSON objects or texts that hold one. Records may be wrapped in ``schema`` and ``payload``. What is
+    no JSON gives nulls, a record's text stays as its image then, so that it can be set aside as it came.
+    """
+    wrapped = F.from_json(value, "payload string")["payload"]
+    opened = records.withColumn("_envelope", F.coalesce(wrapped, F.col(value)))
+    fields = F.from_json("_envelope", "op string, before string, after string")
+    read = opened.withColumn("_fields", fields).withColumn("op", F.col("_fields.op")).withColumn("before", F.col("_fields.before"))
+    after = F.coalesce("_fields.after", F.when(F.col("op").isNull(), F.col(value)))
+    return read.withColumn("after", after).drop("_envelope", "_fields", value)
+
+
+def decode_document_changes(changes: DataFrame, apply_deletes: bool = False, keep: bool = False) -> DataFrame:
     """Document changes as ``(collection, op, document)``.
 
     ``changes`` has ``topic``, ``op``, ``before`` and ``after`` (JSON text). The
     collection is the last dotted part of the topic. Records without an after
     image, deletes among them, are dropped unless ``apply_deletes`` keeps them
-    with their before image.
+    with their before image; ``keep`` keeps all, and the topic as ``_topic``.
     """
     collection = F.coalesce(F.element_at(F.split("topic", r"\."), -1), F.lit("unknown"))
     image = F.coalesce(F.col("after"), F.when(F.col("op") == "d", F.col("before"))) if apply_deletes else F.col("after")
-    return (
-        changes.withColumn("document", image)
-        .where(F.col("document").isNotNull())
-        .withColumns({"_collection": collection, "_op": F.col("op")})
-        .drop("topic", "op", "before", "after")
-    )
+    decoded = changes.withColumns({"document": image, "_collection": collection, "_op": F.col("op")})
+    if keep:
+        return decoded.withColumnRenamed("topic", "_topic").drop("op", "before", "after")
+    return decoded.where(F.col("document").isNotNull()).drop("topic", "op", "before", "after")

@@ -184,6 +184,22 @@ def declared_column(kind: str | None, name: str | None, parameters: dict | None)
     return LOGICAL_TYPES.get((kind or "").upper(), "STRING"), "text"
 
 
+def is_wider(new: T.DataType, old: T.DataType) -> bool:
+    """Whether every value of type ``old`` has its place in ``new``, another type."""
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if new == old or isinstance(old, T.BinaryType):
+        return False
+    if isinstance(new, T.StringType):
+        return True
+    if type(old) in digits:
+        if isinstance(new, T.DecimalType):
+            return new.precision - new.scale >= digits[type(old)]
+        return digits.get(type(new), 0) > digits[type(old)] or (isinstance(new, T.DoubleType) and digits[type(old)] <= 10)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return (type(old), type(new)) in {(T.FloatType, T.DoubleType), (T.DateType, T.TimestampType)}
+
+
 def _let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,6 +7,8 @@ global order: changes are ordered per key only, by ``seq``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +24,6 @@ ENVELOPE = (
     "schemaChanges array<struct<type: string, columns: array<struct<name: string>>>>, "
     "tableChanges array<struct<type: string, table: struct<columns: array<struct<name: string>>>>>"
 )
-RECORD_SCHEMA = (
-    "fields array<struct<field: string, fields: array<struct<field: string, type: string, name: string, "
-    "parameters: map<string, string>>>>>"
-)
 HISTORY = (
     "tableChanges array<struct<type: string, table: struct<"
     "primaryKeyColumnNames: array<string>, "
@@ -45,17 +43,17 @@ def decode_changes(
     """Envelope text to change rows; ``reason`` says why a row cannot be used.
 
     Records may be wrapped in ``schema`` and ``payload``. Schema records (no ``op``) get
-    the kind ``schema`` and keep their text in ``ddl``. With ``declared`` the row image's
-    fields, as the record's own schema declares them, come as ``declared``.
+    the kind ``schema`` and keep their text in ``ddl``. With ``declared`` the text of the
+    record's own schema comes as ``declared``; :func:`declared_fields` reads it.
     """
     # As a generator the parse happens once; a plain expression would be repeated for
     # every field and again in each filter that Spark pushes below it.
-    envelope = F.inline(F.array(F.from_json("_raw", ENVELOPE)))
     wrapped = F.col(value).rlike(r'^\s*\{\s*"(schema|payload)"\s*:')
-    payload = F.when(wrapped, F.get_json_object(value, "$.payload"))
-    fields = F.from_json(F.when(wrapped, F.get_json_object(value, "$.schema")), RECORD_SCHEMA)["fields"]
-    parts = [F.coalesce(payload, F.col(value)).alias("_raw"), *([fields.alias("_fields")] if declared else [])]
-    parsed = raw.select(*carried, *parts).select(*carried, *(["_fields"] if declared else []), "_raw", envelope)
+    outer = F.inline(F.array(F.from_json(F.when(wrapped, F.col(value)), "schema string, payload string")))
+    opened = raw.select(*carried, F.col(value).alias("_value"), outer)
+    extra = [F.col("schema").alias("declared")] if declared else []
+    opened = opened.select(*carried, *extra, F.coalesce("payload", "_value").alias("_raw"))
+    parsed = opened.select("*", F.inline(F.array(F.from_json("_raw", ENVELOPE))))
     ddl = F.coalesce(
         F.col("historyRecord"),
         F.when(
@@ -78,14 +76,16 @@ def decode_changes(
         "before",
         "after",
         F.when(is_schema, ddl).alias("ddl"),
-        *([F.coalesce(_image_fields("after"), _image_fields("before")).alias("declared")] if declared else []),
+        *(["declared"] if declared else []),
         "_raw",
     )
     return rows.withColumn("reason", unusable_reason()).drop("_raw")
 
 
-def _image_fields(side: str) -> Column:
-    return F.get(F.filter("_fields", lambda f: f["field"] == side), F.lit(0))["fields"]
+def declared_fields(declared: str) -> list[dict]:
+    """The fields of the row images (``field``, ``type``, ``name``, ``parameters``) that a record's own schema declares."""
+    sides = {f.get("field"): f.get("fields") for f in json.loads(declared).get("fields") or []}
+    return sides.get("after") or sides.get("before") or []
 
 
 def _nested_changes() -> Column:

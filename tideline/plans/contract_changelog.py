@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tideline.operators import changelog, reconcile
-from tideline.plans import keyed_queries, sync_queries  # noqa: F401  (they register their queries)
+from tideline.plans import handover_queries, keyed_queries, sync_queries  # noqa: F401  (they register their queries)
 from tideline.plans.keyed_table import KeyedTable
 from tideline.plans.registry import cents, query, table
 from tideline.session import shared_dir
@@ -253,22 +253,6 @@ def cdc_schema_diff(spark, d):
     )
 
 
-@query(
-    "lake_upsert",
-    """
-    SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(total, o_totalprice) AS o_totalprice
-    FROM orders LEFT JOIN (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY l_orderkey)
-      ON o_orderkey = l_orderkey
-    """,
-)
-def lake_upsert(spark, d):
-    """Orders, then a price update per order from the sum of its items."""
-    base = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    sums = table(spark, d, "lineitem").groupBy("l_orderkey").agg(cents(F.sum("l_extendedprice")).alias("o_totalprice"))
-    updates = base.drop("o_totalprice").join(sums, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
-    return changelog.apply_changes(base, updates.withColumn("kind", F.lit("update")), ["o_orderkey"])
-
-
 def _replica(spark, d):
     """Orders with derived losses, edits and surplus rows."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")

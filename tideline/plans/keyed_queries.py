@@ -10,8 +10,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tideline.operators.changelog import compact_changes
 from tideline.plans.keyed_table import KeyedTable
-from tideline.plans.registry import query, table
+from tideline.plans.registry import cents, query, table
 from tideline.session import shared_dir
 
 COLUMNS = [
@@ -111,3 +112,42 @@ def keyed_merge(spark, d):
     second = changes.where("o_orderkey % 14 = 0").withColumn("o_totalprice", F.lit(-1.0))
     keyed.merge(second.withColumn("seq", F.col("seq") + 1_000_000_000), 1)
     return keyed.read()
+
+
+@query(
+    "late_merge",
+    """
+    SELECT user_id, event_type, value, event_id AS seq FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1 AND event_type <> 'error'
+    """,
+)
+def late_merge(spark, d):
+    """The events as change sets in an order of their own, folded now and then: the highest sequence counts."""
+    columns = [("user_id", "BIGINT"), ("event_type", "STRING"), ("value", "DOUBLE")]
+    keyed = KeyedTable.create(spark, f"{shared_dir(spark)}/late-{uuid.uuid4().hex}", columns, ["user_id"])
+    kind = F.when(F.col("event_type") == "error", "delete").otherwise("update").alias("kind")
+    log = table(spark, d, "events").select(F.col("event_id").alias("seq"), "user_id", "event_type", "value", kind)
+    for n, part in enumerate((3, 0, 2, 4, 1)):
+        keyed.merge(compact_changes(log.where(F.pmod(F.xxhash64("seq"), F.lit(5)) == part), ["user_id"]), n)
+        if n in (1, 3):
+            keyed.fold(every=n == 3)
+    return keyed.read(with_seq=True).withColumnRenamed("_seq", "seq")
+
+
+@query(
+    "lake_upsert",
+    """
+    SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(total, o_totalprice) AS o_totalprice
+    FROM orders LEFT JOIN (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS total FROM lineitem GROUP BY l_orderkey)
+      ON o_orderkey = l_orderkey
+    """,
+)
+def lake_upsert(spark, d):
+    """Orders as a written table, then a price update per order from the sum of its items."""
+    keyed = KeyedTable.create(spark, f"{shared_dir(spark)}/lake-{uuid.uuid4().hex}", COLUMNS, ["o_orderkey"])
+    base = table(spark, d, "orders").select(*[name for name, _ in COLUMNS])
+    keyed.load_snapshot(base)
+    sums = table(spark, d, "lineitem").groupBy("l_orderkey").agg(cents(F.sum("l_extendedprice")).alias("o_totalprice"))
+    updates = base.drop("o_totalprice").join(sums, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
+    keyed.merge(updates.withColumns({"seq": F.lit(1).cast("long"), "kind": F.lit("update")}), 0)
+    return keyed.read()

@@ -50,8 +50,8 @@ def check_identifier(name: str) -> str:
 class Schema:
     """The columns and key of one table version; changes are idempotent."""
 
-    def __init__(self, columns: list[dict], key: list[str], next_id: int = 1):
-        self.columns, self.key, self.next_id = columns, key, next_id
+    def __init__(self, columns: list[dict], key: list[str], next_id: int = 1, dropped: dict[str, int] | None = None):
+        self.columns, self.key, self.next_id, self.dropped = columns, key, next_id, dropped or {}
 
     @classmethod
     def of(cls, columns: list[tuple[str, str]], key: list[str]) -> "Schema":
@@ -81,9 +81,12 @@ class Schema:
         place = names.index(after) + 1 if after in names else len(names)
         self.columns.insert(place, column)
 
-    def drop(self, name: str) -> None:
+    def drop(self, name: str, seq: int | None = None) -> None:
+        """Drops a column; changes before ``seq`` may still carry it."""
         if name in self.key:
             raise ValueError(f"{name} is part of the key")
+        if seq is not None and self.find(name):
+            self.dropped[name] = seq
         self.columns = [c for c in self.columns if c["name"] != name]
 
     def retype(self, name: str, kind: str) -> None:
@@ -103,11 +106,20 @@ class Schema:
         column["aliases"].append({"name": old, "until_seq": seq})
         self.key = [new if k == old else k for k in self.key]
 
+    def ended(self) -> dict[str, int]:
+        """Names that columns have had, with the sequence from which they mean nothing any more."""
+        renamed = {a["name"]: a["until_seq"] for c in self.columns for a in c["aliases"]}
+        return {n: max(renamed.get(n, 0), self.dropped.get(n, 0)) for n in {*renamed, *self.dropped}}
+
     def as_dict(self) -> dict:
-        return {"columns": self.columns, "key": self.key, "next_id": self.next_id}
+        return {"columns": self.columns, "key": self.key, "next_id": self.next_id, "dropped": self.dropped}
+
+    @classmethod
+    def from_dict(cls, d: dict) -> "Schema":
+        return cls(copy.deepcopy(d["columns"]), list(d["key"]), d["next_id"], dict(d["dropped"]))
 
     def copy(self) -> "Schema":
-        return Schema(copy.deepcopy(self.columns), list(self.key), self.next_id)
+        return Schema.from_dict(self.as_dict())
 
 
 class KeyedTable:
@@ -139,14 +151,30 @@ class KeyedTable:
         last = cls._last(spark, path)
         return None if last is None or last["dropped"] else cls(spark, path, last)
 
+    @classmethod
+    def load_all(cls, spark: SparkSession, paths: list[str]) -> dict[str, "KeyedTable"]:
+        """The current tables among ``paths``; one job reads what is known of all of them."""
+        states = cls._states(spark, paths)
+        return {p: cls(spark, p, s) for p, s in states.items() if not s["dropped"]}
+
+    @classmethod
+    def _last(cls, spark: SparkSession, path: str) -> dict | None:
+        return cls._states(spark, [path]).get(path)
+
     @staticmethod
-    def _last(spark: SparkSession, path: str) -> dict | None:
-        folder = f"{path.rstrip('/')}/registry"
-        for name in reversed(storage.list_names(spark, folder)):
-            if "_SUCCESS" in storage.list_names(spark, f"{folder}/{name}"):
-                row = spark.read.schema("state string").parquet(f"{folder}/{name}").first()
-                return json.loads(row["state"])
-        return None
+    def _states(spark: SparkSession, paths: list[str]) -> dict[str, dict]:
+        found = {}
+        for path in paths:
+            folder = f"{path.rstrip('/')}/registry"
+            for name in reversed(storage.list_names(spark, folder)):
+                if "_SUCCESS" in storage.list_names(spark, f"{folder}/{name}"):
+                    found[f"{storage.plain(folder)}/{name}"] = (path, f"{folder}/{name}")
+                    break
+        if not found:
+            return {}
+        rows = spark.read.schema("state string").parquet(*[f for _, f in found.values()])
+        rows = rows.select("state", "_metadata.file_path").collect()
+        return {found[storage.plain(r["file_path"]).rpartition("/")[0]][0]: json.loads(r["state"]) for r in rows}
 
     def _register(self, schema: Schema | None = None, **changes) -> None:
         """Adds the registry's next row, which makes what was written for it count."""
@@ -160,8 +188,7 @@ class KeyedTable:
 
     @property
     def schema(self) -> Schema:
-        s = self.state["schema"]
-        return Schema(copy.deepcopy(s["columns"]), list(s["key"]), s["next_id"])
+        return Schema.from_dict(self.state["schema"])
 
     @property
     def key(self) -> list[str]:
@@ -266,6 +293,8 @@ class KeyedTable:
         if batch_id is not None and batch_id <= self.state["applied"].get(source, -1):
             return False
         schema = schema or self.schema
+        if {c["id"] for c in schema.columns if c["name"] in schema.key} != self._key_ids():
+            self.fold(every=True, schema=schema)  # a retyped key belongs to other buckets
         rows = net.withColumns({SEQ: F.col("seq").cast("long"), DELETED: F.col("kind") == "delete"})
         rows = rows if schema.key else rows.where(~F.col(DELETED))
         batch = self._write(rows, schema, self.state["generation"])
@@ -282,7 +311,7 @@ class KeyedTable:
         change(schema)
         if schema.as_dict() != self.state["schema"]:
             if {c["id"] for c in schema.columns if c["name"] in schema.key} != self._key_ids():
-                self.fold(every=True, schema=schema)  # a retyped key belongs to other buckets
+                self.fold(every=True, schema=schema)
             else:
                 self._register(schema)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +31,8 @@ def size(spark: SparkSession, folder: str) -> int:
     """Bytes in a folder; a missing one has none."""
     path, fs = _path(spark, folder)
     return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+
+def plain(path: str) -> str:
+    """A path without scheme, host and escapes, for comparing what different parts of Spark say."""
+    return unquote(re.sub(r"^\w+:(//[^/]*)?", "", path)).rstrip("/")

@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.types import declared_column, decoded_text, normalize_time, spark_type
+from tideline.functions.types import declared_column, decoded_text, is_wider, normalize_time, spark_type
 from tideline.operators import changelog
 from tideline.plans import storage
-from tideline.plans.keyed_table import KeyedTable, Schema, check_identifier
+from tideline.plans.keyed_table import IDENTIFIER, KeyedTable, Schema, check_identifier
 
 PREFIX = "sink_"
 QUARANTINED = ["seq", "db", "table", "kind", "before", "after", "reason"]
@@ -42,8 +42,10 @@ class _TableBatch:
     table: KeyedTable | None
     schema: Schema | None
     floor_seq: int = -1
+    first_seq: int = -1
     truncate: bool = False
     dropped: bool = False
+    strict: bool = False  # rows may have fields that are no columns
     problem: str | None = None
 
 
@@ -75,6 +77,7 @@ class DatabaseSync:
         self.include, self.keys, self.truncate = include, keys or {}, truncate
         self.database, self.tables = database, tables
         self.source, self.parallel_tables = source, parallel_tables
+        self.holds: dict[str, int] = {}
 
     def path(self, db: str, name: str) -> str:
         return f"{self.root}/{check_identifier(db)}/{self.prefix}{check_identifier(name)}"
@@ -82,6 +85,16 @@ class DatabaseSync:
     def table(self, db: str, name: str) -> KeyedTable | None:
         return KeyedTable.load(self.spark, self.path(db, name))
 
+    def create(self, db: str, name: str, columns: list[tuple[str, str]], key: list[str]) -> KeyedTable:
+        """Creates a table from its catalog entry, if it is missing."""
+        return KeyedTable.create(self.spark, self.path(db, name), columns, key)
+
+    def hold(self, db: str, name: str, seq: int | None) -> None:
+        """Deleted rows of a table stay known from ``seq`` on, until this is taken back with nothing."""
+        self.holds.pop(self.path(db, name), None)
+        if seq is not None:
+            self.holds[self.path(db, name)] = seq
+
     def load_snapshot(
         self, db: str, name: str, rows: DataFrame, columns: list[tuple[str, str]], key: list[str]
     ) -> KeyedTable:
@@ -123,81 +136,83 @@ class DatabaseSync:
         writer = stream.writeStream.foreachBatch(self.apply_batch).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-    # Planning: one row per table and one per schema record reach the driver.
+    # Planning: what reaches the driver is one row for each table, schema record and different schema of its records.
 
     def _plan_tables(self, good: DataFrame, batch_id: int) -> list[_TableBatch]:
-        emptied = F.max(F.when(F.col("kind") == "truncate", F.col("seq")))
-        present = good.groupBy("db", "table").agg(emptied.alias("truncated"))
-        records = good.where(F.col("kind") == "schema").select("db", "table", "seq", "ddl")
+        key = F.col("key") if "key" in good.columns else F.lit(None).cast("array<string>")
+        data = F.col("kind").isin("insert", "update", "delete")
+        shapes = good.groupBy("db", "table", "declared", "ddl").agg(
+            F.min("seq").alias("low"),
+            F.max("seq").alias("high"),
+            F.max(F.when(F.col("kind") == "truncate", F.col("seq"))).alias("truncated"),
+            F.collect_set(F.when(F.col("kind") == "schema", F.col("seq"))).alias("seqs"),
+            F.min_by(key, F.when(F.size(key) > 0, F.col("seq"))).alias("key"),
+            F.bool_or(data).alias("data"),
+        )
         by_table: dict[tuple[str, str], list] = {}
-        for r in records.collect():
-            by_table.setdefault((r["db"], r["table"]), []).append((r["seq"], json.loads(r["ddl"])))
-
-        plans, unknown = [], []
-        for row in present.collect():
-            db, name = row["db"], row["table"]
+        for r in shapes.collect():
+            by_table.setdefault((r["db"], r["table"]), []).append(r)
+        tables = KeyedTable.load_all(self.spark, [self.path(*at) for at in by_table])
+        plans, bare = [], []
+        for (db, name), rows in by_table.items():
             path = self.path(db, name)
-            table = KeyedTable.load(self.spark, path)
+            table = tables.get(path)
             if table and batch_id <= table.state["applied"].get(self.source, -1):
                 continue
             plan = _TableBatch(db, name, path, table, table.schema if table else None)
-            for seq, record in sorted(by_table.get((db, name), []), key=lambda x: x[0]):
+            plan.first_seq = min(r["low"] for r in rows)
+            keyed = [r for r in rows if r["key"]]
+            key = min(keyed, key=lambda r: r["low"])["key"] if keyed else self.keys.get(name, [])
+            steps = [(seq, 0, r) for r in rows for seq in r["seqs"]]
+            steps += [(r["low"], 1, r) for r in rows if r["declared"] is not None and r["data"]]
+            for seq, kind, r in sorted(steps, key=lambda x: x[:2]):
                 try:
-                    _follow_schema_record(plan, seq, record)
+                    if kind == 0:
+                        _follow_schema_record(plan, seq, json.loads(r["ddl"]))
+                    else:
+                        _follow_shape(plan, r["low"], r["high"], changelog.declared_fields(r["declared"]), key)
                 except ValueError as error:  # this table's rows are set aside, the others go on
-                    plan.problem = f"schema record {seq}: {error}"
-            if row["truncated"] is not None and self.truncate == "apply":
+                    plan.problem = f"schema record {seq}: {error}" if kind == 0 else str(error)
+            truncated = max((r["truncated"] for r in rows if r["truncated"] is not None), default=None)
+            if truncated is not None and self.truncate == "apply":
                 plan.truncate = True
-                plan.floor_seq = max(plan.floor_seq, row["truncated"])
+                plan.floor_seq = max(plan.floor_seq, truncated)
             plans.append(plan)
-            if plan.schema is None and not plan.dropped and not plan.problem:
-                unknown.append(plan)
-        if unknown:
-            self._infer(good, unknown)
+            if any(r["declared"] is None and r["data"] for r in rows) and not plan.dropped and not plan.problem:
+                bare.append((plan, key))
+        if bare:
+            self._learn_bare(good.where(F.col("declared").isNull() & data), bare)
         for plan in plans:
             if plan.problem:
                 plan.schema, plan.dropped = None, False
         return plans
 
-    def _infer(self, good: DataFrame, plans: list[_TableBatch]) -> None:
-        """Schemas of tables first seen in this batch: declared by their records, else from all their values."""
-        wanted = self.spark.createDataFrame([(p.db, p.name) for p in plans], "db string, table string")
-        rows = good.join(F.broadcast(wanted), ["db", "table"])  # one row per new table
-        keyed = "key" if "key" in good.columns else None
-        fields = rows.where(F.size("declared") > 0).select("db", "table", "seq", F.posexplode("declared").alias("place", "f"))
-        last = F.max_by(F.struct("place", "f"), "seq").alias("last")  # of each field, over all records
-        declared: dict[tuple[str, str], list] = {}
-        for r in fields.groupBy("db", "table", "f.field").agg(last).collect():
-            declared.setdefault((r["db"], r["table"]), []).append((r["last"]["place"], r["last"]["f"]))
-        keys = {}
-        if keyed:
-            first = rows.where(F.size(keyed) > 0).groupBy("db", "table").agg(F.min_by(keyed, "seq").alias("key"))
-            keys = {(r["db"], r["table"]): r["key"] for r in first.collect()}
+    def _learn_bare(self, rows: DataFrame, plans: list[tuple[_TableBatch, list[str]]]) -> None:
+        """Columns for fields that records without a schema of their own bring, typed from all their values."""
+        known = [(p.db, p.name, [c["name"] for c in p.schema.columns] if p.schema else [], p.schema.ended() if p.schema else {}) for p, _ in plans]
+        known = self.spark.createDataFrame(known, "db string, table string, names array<string>, ended map<string, long>")
+        fields = F.json_object_keys(F.coalesce("after", "before"))
+        rows = rows.join(F.broadcast(known), ["db", "table"]).where(F.size(_unknown(fields, F.col("names"), F.col("ended"))) > 0)  # one row per table
         found: dict[tuple[str, str], list] = {}
-        bare = [(p.db, p.name) for p in plans if (p.db, p.name) not in declared]
-        if bare:
-            some = self.spark.createDataFrame(bare, "db string, table string")
-            for r in changelog.infer_table_schemas(good.join(F.broadcast(some), ["db", "table"]), keyed).collect():
-                found.setdefault((r["db"], r["table"]), []).append(r)
-        for plan in plans:
-            at = (plan.db, plan.name)
-            if at in declared:
-                listed = [f for _, f in sorted(declared[at], key=lambda x: x[0])]
-                typed = [(f["field"], *declared_column(f["type"], f["name"], f["parameters"])) for f in listed]
-            else:
-                typed = [(c["column"], c["type"], "text") for c in sorted(found.get(at, []), key=lambda r: r["ordinal"])]
-            names = [n for n, *_ in typed]
-            key = [k for k in keys.get(at) or [] if k in names] or self.keys.get(plan.name, [])
-            if not typed:
+        for r in changelog.infer_table_schemas(rows).collect():
+            found.setdefault((r["db"], r["table"]), []).append(r)
+        for plan, key in plans:
+            columns = sorted(found.get((plan.db, plan.name), []), key=lambda r: r["ordinal"])
+            plan.strict = True
+            if not columns:
                 continue
+            names = [c["column"] for c in columns]
             try:
-                plan.schema = Schema.of([(n, t) for n, t, _ in typed], key)
+                if plan.schema is None:
+                    plan.schema = Schema.of([(c["column"], c["type"]) for c in columns], [k for k in key or [] if k in names])
+                    continue
             except ValueError as error:
                 plan.problem = str(error)
                 continue
-            for name, _, encoding in typed:
-                if encoding != "text":
-                    plan.schema.find(name)["encoding"] = encoding
+            plan.schema = plan.schema.copy()
+            for c in columns:
+                if IDENTIFIER.fullmatch(c["column"]) and plan.schema.find(c["column"]) is None:
+                    plan.schema.add(c["column"], c["type"], plan.schema.ended().get(c["column"], 0))
 
     def _stage_net_changes(self, good: DataFrame, plans: list[_TableBatch], folder: str) -> DataFrame:
         """Writes the net effect per table and key, partitioned by table; returns the rows that have no table or key."""
@@ -254,7 +269,7 @@ class DatabaseSync:
             rows = self.spark.read.schema("seq long, kind string, image string").parquet(mine)
         else:
             rows = self.spark.createDataFrame([], "seq long, kind string, image string")
-        typed = parse_images(rows, plan.schema)
+        typed = parse_images(rows, plan.schema, plan.strict)
         unfit = typed.where(F.col("_unfit") != "").select(
             "seq",
             F.lit(plan.db).alias("db"),
@@ -262,7 +277,7 @@ class DatabaseSync:
             "kind",
             F.when(F.col("kind") == "delete", F.col("_image")).alias("before"),
             F.when(F.col("kind") != "delete", F.col("_image")).alias("after"),
-            F.concat(F.lit("does not fit: "), "_unfit").alias("reason"),
+            F.col("_unfit").alias("reason"),
         )
         unfit.write.mode("overwrite").parquet(f"{quarantine}/part=table-{plan.db}-{plan.name}")
         fitting = typed.where(F.col("_unfit") == "").drop("_unfit", "_image")
@@ -270,19 +285,26 @@ class DatabaseSync:
         if any(not isinstance(spark_type(plan.schema.find(k)["type"]), EXACT_TEXT) for k in plan.schema.key):
             fitting = changelog.compact_changes(fitting, plan.schema.key)
         table.merge(fitting, batch_id, self.source, schema=plan.schema, truncate=plan.floor_seq if plan.floor_seq >= 0 else None)
-        table.maintain()
+        table.maintain(min(plan.first_seq, self.holds.get(plan.path, plan.first_seq)))
 
 
 def _field(name: Column) -> Column:
     return F.element_at("fields", name)
 
 
-def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
+def _unknown(fields: Column, names: Column, ended: Column) -> Column:
+    """The fields that are none of ``names`` and had not been one when the row (``seq``) was written."""
+    before = lambda f: F.coalesce(F.col("seq") < F.element_at(ended, f), F.lit(False))
+    return F.filter(fields, lambda f: ~F.array_contains(names, f) & ~before(f))
+
+
+def parse_images(rows: DataFrame, schema: Schema, strict: bool = False) -> DataFrame:
     """Rows with ``seq``, ``kind`` and a JSON ``image`` in the columns of ``schema``.
 
-    ``_unfit`` names the columns whose value cannot be told in their type, ``_image`` is
-    the image. Fields are read by name. Rows older than a column's start give null, rows
-    older than a rename are read under the former name.
+    ``_unfit`` names the columns whose value cannot be told in their type (with ``strict``
+    also fields that are no columns), ``_image`` is the image. Fields are read by name. Rows
+    older than a column's start give null, rows older than a rename are read under the
+    former name, rows older than a change of encoding in the former encoding.
     """
     names = sorted({n for c in schema.columns for n in (c["name"], *[a["name"] for a in c["aliases"]])})
     text = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(names))])
@@ -301,9 +323,12 @@ def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
         texts.append(value.alias(f"_text{i}"))
         kind, encoding = spark_type(c["type"]), c.get("encoding", "text")
         text, got = F.col(f"_text{i}"), F.col(f"`{c['name']}`")
-        typed.append(_typed(decoded_text(text, encoding, kind), kind).alias(c["name"]))
+        decoded = decoded_text(text, encoding, spark_type(c.get("encoded_as", c["type"])))
+        for was in reversed(c.get("encodings", [])):
+            decoded = F.when(F.col("seq") < was["until_seq"], decoded_text(text, was["encoding"], spark_type(was["type"]))).otherwise(decoded)
+        typed.append(_typed(decoded, kind).alias(c["name"]))
         lost = got.isNull()
-        if isinstance(kind, T.DecimalType) and encoding == "text":
+        if isinstance(kind, T.DecimalType) and encoding == "text" and not c.get("encodings"):
             lost |= got.cast("double") != text.try_cast("double")  # it was rounded
         if not isinstance(kind, T.StringType):
             unfit.append(F.when(text.isNotNull() & lost, F.lit(c["name"])))
@@ -311,7 +336,14 @@ def parse_images(rows: DataFrame, schema: Schema) -> DataFrame:
     # Here too a generator keeps Spark from computing a column again for everything that names it.
     staged = fields.select("seq", "kind", F.col("image").alias("_image"), *texts)
     staged = staged.select("*", F.inline(F.array(F.struct(*typed)))) if typed else staged
-    return staged.select("seq", "kind", "_image", F.concat_ws(", ", *unfit).alias("_unfit"), *[f"`{n}`" for n in names])
+    misfit = F.concat(F.lit("does not fit: "), F.concat_ws(", ", *unfit))
+    reasons = [F.when(F.concat_ws(", ", *unfit) != "", misfit)]
+    if strict:
+        pairs = [F.lit(x) for item in schema.ended().items() for x in item]
+        ended = (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string, long>")
+        extra = _unknown(F.json_object_keys("_image"), F.array(*[F.lit(n) for n in names]).cast("array<string>"), ended)
+        reasons.append(F.when(F.size(extra) > 0, F.concat(F.lit("unknown field: "), F.array_join(extra, ", "))))
+    return staged.select("seq", "kind", "_image", F.concat_ws("; ", *reasons).alias("_unfit"), *[f"`{n}`" for n in names])
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
@@ -352,7 +384,7 @@ def _follow_schema_record(plan: _TableBatch, seq: int, record: dict) -> None:
     names = [n for n, _ in columns]
     for column in [c["name"] for c in schema.columns]:
         if column not in names:
-            schema.drop(column)
+            schema.drop(column, seq)
     previous = None
     for name, kind in columns:
         if schema.find(name) is None:
@@ -363,6 +395,40 @@ def _follow_schema_record(plan: _TableBatch, seq: int, record: dict) -> None:
     plan.schema = schema
 
 
+def _follow_shape(plan: _TableBatch, low: int, high: int, fields: list[dict], key: list[str]) -> None:
+    """Moves the planned schema to the fields that records from ``low`` to ``high`` declare.
+
+    New fields become columns, types are widened, never narrowed; a field that is missing leaves its column empty in
+    those rows. A field that cannot be a column sets aside the rows that have it.
+    """
+    typed = [(f["field"], *declared_column(f.get("type"), f.get("name"), f.get("parameters"))) for f in fields]
+    if plan.dropped or not typed:
+        return
+    if plan.schema is None:
+        names = [n for n, *_ in typed]
+        plan.schema = Schema.of([(n, t) for n, t, _ in typed], [k for k in key or [] if k in names])
+    schema = plan.schema.copy()
+    for name, kind, encoding in typed:
+        column, ended = schema.find(name), schema.ended().get(name)
+        if column is None:
+            if ended is not None and high < ended:
+                continue  # rows from before the column was dropped
+            if not IDENTIFIER.fullmatch(name):
+                plan.strict = True
+                continue
+            schema.add(name, kind, ended or 0)
+            column = schema.find(name)
+        was = column.get("encoding", "text"), column.get("encoded_as", column["type"])
+        if is_wider(spark_type(kind), spark_type(column["type"])):
+            schema.retype(name, kind)
+        now = (encoding, kind if encoding != "text" else column["type"])
+        if was[0] != "text" and was != now:
+            column.setdefault("encodings", []).append({"until_seq": low, "encoding": was[0], "type": was[1]})
+        if encoding != "text" or was[0] != "text":
+            column["encoding"], column["encoded_as"] = now
+    plan.schema = schema
+
+
 def _declared(column: dict) -> str | None:
     """The declared type of a listed column, with length and scale."""
     name = column.get("typeExpression") or column.get("typeName")

@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tideline.functions.documents import read_document_changes
+from tideline.plans.document_sync import Collection, DocumentSync
+from tideline.plans.keyed_table import KeyedTable
 from tideline.plans.registry import query, table
 from tideline.plans.sync import DatabaseSync
 from tideline.session import shared_dir
@@ -160,3 +163,96 @@ def cdc_sync_quarantine(spark, d):
     signed = came.select("n").unionByName(known.select((-F.col("n")).alias("n")))
     rest = signed.agg(F.sum("n").alias("n")).select(F.lit("superseded").alias("outcome"), "n")
     return known.unionByName(came).unionByName(rest)
+
+
+def _wrapped(rows, image, fields):
+    return rows.select(
+        F.col("o_orderkey").alias("seq"), _envelope(F.lit("drift"), F.lit("c"), image, fields).alias("value"), F.array(F.lit("id")).alias("key")
+    )
+
+
+@query(
+    "cdc_drift",
+    """
+    SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 1 THEN 10000000000 + o_custkey ELSE o_custkey END AS cust,
+           CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS price,
+           CASE WHEN o_orderkey % 3 = 2 THEN 'n' || o_orderkey END AS note, 'stored' AS outcome
+    FROM orders WHERE o_orderkey % 3 < 2 OR (o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0)
+    UNION ALL
+    SELECT o_orderkey, NULL, NULL, NULL, NULL, CASE WHEN o_orderkey % 7 = 0 THEN 'does not fit: cust' END
+           || CASE WHEN o_orderkey % 11 = 0 THEN '; unknown field: odd name' ELSE '' END
+    FROM orders WHERE o_orderkey % 3 = 2 AND o_orderkey % 7 = 0
+    UNION ALL
+    SELECT o_orderkey, NULL, NULL, NULL, NULL, 'unknown field: odd name'
+    FROM orders WHERE o_orderkey % 3 = 2 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0
+    """,
+)
+def cdc_drift(spark, d):
+    """A table whose records change without schema records: fields come and go, a type widens; nothing is lost."""
+    orders = table(spark, d, "orders")
+    parts = [orders.where(F.col("o_orderkey") % 3 == n) for n in range(3)]
+    key, cust = F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust")
+    number = ("id", "int64", None, None)
+    first = F.struct(key, cust, F.col("o_orderstatus").alias("status"))
+    first = _wrapped(parts[0], first, [number, ("cust", "int32", None, None), ("status", "string", None, None)])
+    second = F.struct(key, (F.col("o_custkey") + 10_000_000_000).alias("cust"), F.col("o_totalprice").alias("price"))
+    second = _wrapped(parts[1], second, [number, ("cust", "int64", None, None), ("price", "double", None, None)])
+    bare = F.struct(
+        key,
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("many")).otherwise(F.col("o_custkey").cast("string")).alias("cust"),
+        F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("note"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("?")).alias("odd name"),
+    )
+    sync = _sync(spark)
+    for n, log in enumerate((first, second, _wrapped(parts[2], bare, None))):
+        sync.apply_batch(log, n)
+    stored = sync.table("shop", "drift").read().withColumn("outcome", F.lit("stored"))
+    bad = spark.read.parquet(f"{sync.root}/_quarantine").select(F.col("seq").alias("id"), F.col("reason").alias("outcome"))
+    return stored.unionByName(bad, allowMissingColumns=True)
+
+
+@query(
+    "doc_sync",
+    """
+    WITH o AS (SELECT o_orderkey % 20 AS k FROM orders)
+    SELECT outcome, n FROM (
+        SELECT CASE k WHEN 0 THEN 'no JSON object' WHEN 1 THEN 'no key' WHEN 2 THEN 'does not fit: n' WHEN 3 THEN 'unknown op'
+                      WHEN 4 THEN 'no document' WHEN 5 THEN 'no op' ELSE 'applied' END AS outcome, count(*) AS n FROM o WHERE k <> 7 GROUP BY ALL
+        UNION ALL SELECT 'superseded', count(*) FILTER (k > 6) FROM o
+        UNION ALL SELECT 'deleted', count(*) FILTER (k = 7) FROM o
+        UNION ALL SELECT 'input', count(*) + count(*) FILTER (k > 6) FROM o)
+    """,
+)
+def doc_sync(spark, d):
+    """Every document record is applied, superseded, a delete, or set aside with its reason."""
+    k = F.col("o_orderkey") % 20
+    number = F.when(k == 2, F.lit("2.5")).otherwise(F.col("o_custkey").cast("string"))
+    identity = F.when(k == 1, F.lit("")).otherwise(F.concat(F.lit('"_id":"'), F.col("o_orderkey").cast("string"), F.lit('",')))
+    document = F.concat(F.lit("{"), identity, F.lit('"n":'), number, F.lit(',"at":{"s":"'), F.col("o_orderstatus"), F.lit('"}}'))
+    document = F.when(k == 0, F.substring(document, 1, 12)).when(k != 4, document)
+    op = F.when(k == 3, F.lit("x")).when(k != 5, F.lit("c")).alias("op")
+    orders = table(spark, d, "orders")
+    topic = F.lit("s.app.orders").alias("topic")
+
+    def record(op, before, after):
+        return F.to_json(F.struct(op, before.alias("before"), after.alias("after"))).alias("value")
+
+    none = F.lit(None).cast("string")
+    first = orders.select((F.col("o_orderkey") * 2).alias("seq"), topic, record(op, none, document))
+    again = orders.where(k > 6).select(
+        (F.col("o_orderkey") * 2 + 1).alias("seq"),
+        topic,
+        record(F.when(k == 7, "d").otherwise("u").alias("op"), F.when(k == 7, document), F.when(k != 7, document)),
+    )
+    log = first.unionByName(again)
+    fields = (("_id", "STRING"), ("n", "BIGINT"), ("at.s", "STRING"))
+    sync = DocumentSync(spark, f"{shared_dir(spark)}/docs-{uuid.uuid4().hex}", [Collection("orders", fields)], apply_deletes=True)
+    sync.apply_batch(read_document_changes(log), 0)
+    total = F.count("*").alias("n")
+    bad = spark.read.parquet(f"{sync.root}/_quarantine").groupBy(F.col("reason").alias("outcome")).agg(total)
+    applied = KeyedTable.load(spark, sync.path("orders")).read().agg(total).select(F.lit("applied").alias("outcome"), "n")
+    deleted = again.where(F.get_json_object("value", "$.op") == "d").agg(total).select(F.lit("deleted").alias("outcome"), "n")
+    came = log.agg(total).select(F.lit("input").alias("outcome"), "n")
+    known = bad.unionByName(applied).unionByName(deleted)
+    rest = came.select("n").unionByName(known.select((-F.col("n")).alias("n"))).agg(F.sum("n").alias("n"))
+    return known.unionByName(came).unionByName(rest.select(F.lit("superseded").alias("outcome"), "n"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.plans.keyed_table import check_identifier
+from tideline.sources.splits import quantile_query, range_predicates
 
 
 @dataclass(frozen=True)
@@ -69,42 +70,29 @@ def read_jdbc_table(
     spark: SparkSession,
     url: str,
     table: str,
-    partition_column: str | None = None,
+    key: list[str] | tuple[str, ...] = (),
     partitions: int = 64,
     fetch_size: int = 10_000,
     **options,
 ) -> DataFrame:
-    """A table read by many tasks, each over its own range of ``partition_column``.
+    """A table read by many tasks, each over its own range of the ordered key, whatever its types.
 
-    Spark pushes column selection and filters into the source.
+    The source itself cuts its key index (:func:`quantile_query`); without a key one task reads the table. Spark
+    pushes column selection and filters into the source.
     """
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=fetch_size, **options)
-    if partition_column:
-        check_identifier(partition_column)
-        bounds = (
-            spark.read.format("jdbc")
-            .options(
-                url=url,
-                query=f"SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {table}",
-                **options,
-            )
-            .load()
-            .first()
-        )
-        if bounds["low"] is not None:
-            reader = reader.options(
-                partitionColumn=partition_column,
-                lowerBound=str(bounds["low"]),
-                upperBound=str(bounds["high"]),
-                numPartitions=partitions,
-            )
-    return reader.load()
+    source = {"url": url, **options}
+    if not key:
+        return spark.read.format("jdbc").options(dbtable=table, fetchsize=fetch_size, **source).load()
+    cuts = spark.read.format("jdbc").options(query=quantile_query(table, list(key), partitions), **source).load()
+    predicates = range_predicates(list(key), [tuple(r) for r in cuts.collect()])
+    properties = {k: str(v) for k, v in {"fetchsize": fetch_size, **options}.items()}
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
 
 def snapshot_database(spark: SparkSession, sync, url: str, db: str, include: list[str] | None = None, **options):
     """Loads every table of a database into the tables of ``sync``; returns what was found."""
     tables = discover_tables(spark, url, db, include, **options)
     for info in tables:
-        rows = read_jdbc_table(spark, url, f"{db}.{info.name}", info.key[0] if info.key else None, **options)
+        rows = read_jdbc_table(spark, url, f"{db}.{info.name}", info.key, **options)
         sync.load_snapshot(db, info.name, rows, list(info.columns), list(info.key))
     return tables
