@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_stages_are_the_ones_asked_for():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "repeats", "decontamination", "byte_bpe"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 def test_pipeline_equals_brute_force(spark, tmp_path):

@@ -399,7 +399,7 @@ def test_fields_that_appear_later_are_kept(spark, sync):
     ), 1)
     assert rows_of(sync.table("shop", "t")) == [(1, 1, None), (2, 2, "kept")]
     assert quarantined(spark, sync) == [(3, "unknown field: odd name")]
-    fields = [{"field": n, "type": t} for n, t in (("id", "int64"), ("a", "int64"), ("more", "double"))]
+    fields = [{"field": n, "type": t} for n, t in (("id", "int64"), ("a", "int64"), ("more", "float64"))]
     value = {"schema": {"fields": [{"field": "after", "fields": fields}]},
              "payload": {"op": "u", "source": {"db": "shop", "table": "t"}, "after": {"id": 2, "a": 9, "more": 0.5}}}
     sync.apply_batch(batch(spark, (4, json.dumps(value), ["id"])), 2)

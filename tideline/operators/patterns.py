@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,40 @@ def repeated_events(
     return out.withColumn("match_end", F.timestamp_micros("_end")).drop("_us", "_hit", "_end", *specs)
 
 
+@dataclass(frozen=True)
+class Step:
+    """One event of a sequence; a strict step must be the key's very next event, a relaxed one the next that fits."""
+
+    predicate: Column
+    strict: bool = False
+
+
+def sequence_matches(
+    df: DataFrame, keys: list[str], ts: str, tiebreak: str, steps: list[Step], within: str
+) -> DataFrame:
+    """Events of a key that fit the steps one after the other, the last in less than ``within`` after the first.
+
+    One row per match, that of its first event, with the last event's time in ``match_end``. Every event that fits
+    the first step starts a match of its own; each relaxed step takes the next event that fits it. What an event
+    leads to is computed once for all matches that reach it: backwards over the steps, every event learns when a
+    match that has come to it ends.
+    """
+    if len(steps) < 2:
+        raise ValueError("a sequence has two steps at least")
+    rows = df.withColumns({"_us": F.unix_micros(ts), **{f"_hit{n}": s.predicate for n, s in enumerate(steps)}})
+    rows = rows.withColumn("_end", F.col("_us"))
+    for n in range(len(steps) - 1, 0, -1):
+        fits = F.coalesce(F.col(f"_hit{n}"), F.lit(False))
+        rows = rows.withColumn("_step", F.when(fits, F.struct(F.col("_end").alias("end"))))
+        if not steps[n].strict:
+            rows = OrderedScan(rows, keys, ["_us", tiebreak], descending=True).add(_latest=Last("_step")).result()
+            rows = rows.drop("_step").withColumnRenamed("_latest", "_step")
+        rows = OrderedScan(rows.drop("_end"), keys, ["_us", tiebreak], descending=True).add(_next=Lag("_step")).result()
+        rows = rows.withColumn("_end", F.col("_next.end")).drop("_next", "_step")
+    found = rows.where(F.col("_hit0") & (F.col("_end") - F.col("_us") < interval_micros(within)))
+    return found.withColumn("match_end", F.timestamp_micros("_end")).select(*df.columns, "match_end")
+
+
 def inactivity_gaps(
     df: DataFrame, keys: list[str], ts: str, tiebreak: str, timeout: str, at_end: bool = True
 ) -> DataFrame:

@@ -287,3 +287,16 @@ def reconcile_counts(spark, d):
 def reconcile_diff(spark, d):
     source, target = _replica(spark, d)
     return reconcile.reconcile_diff(source, target, ["o_orderkey"])
+
+
+@query(
+    "reconcile_tree",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'missing' ELSE 'different' END AS status
+    FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0
+    UNION ALL SELECT -o_orderkey - 1, 'extra' FROM orders WHERE o_orderkey % 101 = 0
+    """,
+)
+def reconcile_tree(spark, d):
+    source, target = _replica(spark, d)
+    return reconcile.reconcile_tree(source, target, ["o_orderkey"])

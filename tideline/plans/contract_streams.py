@@ -419,3 +419,25 @@ def async_enrich_slow(spark, d):
     keys = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("o_custkey")).distinct()
     found = async_enrich(keys, "o_custkey", _slow_call, timeout=1.0, threads=64)
     return found.select(F.col("o_custkey").cast("long").alias("o_custkey"), "result")
+
+
+@query(
+    "cep_sequence",
+    """
+    SELECT user_id, event_id, us_end // 1000 AS match_end FROM (
+      SELECT *, lead(us_bought) OVER w AS us_end, lead(event_type) OVER w AS follower FROM (
+        SELECT user_id, event_id, event_type, ts, epoch_us(ts) AS us,
+               min(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) END) OVER (
+                   PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS us_bought
+        FROM events)
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    WHERE event_type = 'view' AND follower = 'click' AND us_end - us < 172800000000
+    """,
+)
+def cep_sequence(spark, d):
+    """A view, a click as the very next event, and a purchase after it, in less than two days."""
+    rows = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
+    is_a = lambda kind: F.col("event_type") == kind
+    steps = [patterns.Step(is_a("view")), patterns.Step(is_a("click"), strict=True), patterns.Step(is_a("purchase"))]
+    out = patterns.sequence_matches(rows, ["user_id"], "ts", "event_id", steps, "48 hours")
+    return out.select("user_id", "event_id", ms("match_end"))

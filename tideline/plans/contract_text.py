@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.functions import documents, text, types
-from tideline.operators import joins, routing, running
+from tideline.operators import automaton, joins, routing, running
 from tideline.plans.registry import query, table
 
 
@@ -218,6 +218,18 @@ def rule_match_large(spark, d):
     return joins.match_rules(docs, rules, "text", max_inline=0).drop("text")
 
 
+@query(
+    "rule_scan",
+    """
+    SELECT doc_id, item_id AS rule_id, lower(b.text) AS pattern
+    FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))
+    """,
+)
+def rule_scan(spark, d):
+    rules = table(spark, d, "benchmark").select(F.col("item_id").alias("rule_id"), F.lower("text").alias("pattern"))
+    return automaton.scan_rules(_documents(spark, d), rules, "text").drop("text")
+
+
 @query(
     "rule_match_as_of",
     """

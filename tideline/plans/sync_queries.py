@@ -196,7 +196,7 @@ def cdc_drift(spark, d):
     first = F.struct(key, cust, F.col("o_orderstatus").alias("status"))
     first = _wrapped(parts[0], first, [number, ("cust", "int32", None, None), ("status", "string", None, None)])
     second = F.struct(key, (F.col("o_custkey") + 10_000_000_000).alias("cust"), F.col("o_totalprice").alias("price"))
-    second = _wrapped(parts[1], second, [number, ("cust", "int64", None, None), ("price", "double", None, None)])
+    second = _wrapped(parts[1], second, [number, ("cust", "int64", None, None), ("price", "float64", None, None)])
     bare = F.struct(
         key,
         F.when(F.col("o_orderkey") % 7 == 0, F.lit("many")).otherwise(F.col("o_custkey").cast("string")).alias("cust"),
