@@ -32,6 +32,8 @@ def scan_rules(messages: DataFrame, rules: DataFrame, text: str, most_chars: int
     for n in range(parts):
         mine = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == n)
         listed = [r["pattern"] for r in mine.collect()]  # about most_chars characters
+        if not listed:
+            continue
         hits = messages.withColumn("_pattern", F.explode(_found_in(messages, listed)(F.lower(text))))
         # A pattern is looked up by its text, so no order of the collected list matters.
         hits = hits.join(rules, F.col("_pattern") == F.col("pattern")).drop("_pattern")

@@ -12,10 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators import joins, windows
+from tideline.operators import joins, patterns, windows
 from tideline.operators.windows import interval_micros
 from tideline.streaming import processors as p
 
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
@@ -196,6 +198,128 @@ def mark_late(
     return rows.groupBy("key").transformWithStateInPandas(p.LateMarker(), out, "Append", "ProcessingTime")
 
 
+def asof_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    key: str,
+    fact_ts: str,
+    version_ts: str,
+    payload: list[str],
+    tiebreak: str,
+    delay: str,
+    strict: bool = False,
+) -> DataFrame:
+    """Each fact with the latest version of its key that is not newer, in event time; unmatched facts are dropped.
+
+    A fact waits until the watermark (``delay`` behind the later of both streams) has passed it, so the order in
+    which facts and versions arrive does not matter. Versions are dropped once a newer one is older than the
+    watermark. ``tiebreak`` is a whole number that orders versions of equal time.
+    """
+    carried = [c for c in facts.columns if c != key]
+
+    def side(df: DataFrame, ts: str, columns: list[str], is_fact: bool) -> DataFrame:
+        marked = df.withWatermark(ts, delay)
+        body = F.to_json(F.struct(*columns), {"ignoreNullFields": "false", "timestampFormat": MICROS})
+        return marked.select(
+            F.col(key).alias("key"),
+            F.col(ts).alias("ts"),
+            F.unix_micros(ts).alias("us"),
+            F.col(tiebreak).cast("long").alias("tie"),
+            body.alias("body"),
+            F.lit(is_fact).alias("is_fact"),
+        )
+
+    both = side(facts, fact_ts, carried, True).unionByName(side(versions, version_ts, payload, False))
+    out = f"key {_kind(facts, key)}, fact string, version string"
+    found = both.groupBy("key").transformWithStateInPandas(p.AsOfJoin(strict), out, "Append", "EventTime")
+
+    def opened(column: str, df: DataFrame, columns: list[str]) -> list[Column]:
+        schema = ", ".join(f"`{c}` {_kind(df, c)}" for c in columns)
+        read = F.from_json(column, schema, {"timestampFormat": MICROS})
+        return [read[c].alias(c) for c in columns]
+
+    return found.select(F.col("key").alias(key), *opened("fact", facts, carried), *opened("version", versions, payload))
+
+
+def group_count(changes: DataFrame, key: str, group: list[str], seq: str = "seq", kind: str = "kind") -> DataFrame:
+    """Rows per group of the table that a change stream describes: ``group`` and ``n`` whenever a count changes.
+
+    Two operators in a row: the first keeps each key's last image and gives what leaves its group and what comes,
+    net of a micro-batch; the second keeps signed counts. ``n`` 0 says that a group is empty now.
+    """
+    image = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})
+    rows = changes.select(
+        F.col(key).alias("key"),
+        F.col(seq).cast("long").alias("seq"),
+        F.when(F.col(kind) != "delete", image).alias("image"),
+    )
+    net = rows.groupBy("key").transformWithStateInPandas(p.LastImage(), "image string, sign int", "Append", "None")
+    counted = net.groupBy("image").transformWithStateInPandas(p.SignedCount(), "image string, n long", "Append", "None")
+    schema = ", ".join(f"`{c}` {_kind(changes, c)}" for c in group)
+    read = F.from_json("image", schema)
+    return counted.select(*[read[c].alias(c) for c in group], "n")
+
+
+def top_n_per_window(
+    stream: DataFrame, ts: str, size: str, key: str, value: str, n: int = 3, spread: int = 64
+) -> DataFrame:
+    """The ``n`` keys with the largest sums of each window: ``window_start, version, rank, key, total``.
+
+    Keys are spread over ``spread`` parts with a local list each; lists that change go to their window, whose list
+    is given anew (with the next ``version``) when it changes, also when a sum falls. Ties go to the smaller key, by its text.
+    """
+    rows = stream.select(
+        F.unix_micros(F.window(ts, size)["start"]).alias("window_us"),
+        F.pmod(F.xxhash64(key), F.lit(spread)).alias("salt"),
+        F.col(key).cast("string").alias("key"),
+        F.col(value).cast("double").alias("value"),
+    )
+    lists = rows.groupBy("window_us", "salt").transformWithStateInPandas(
+        p.SaltTop(n), "window_us long, salt long, top string", "Append", "None"
+    )
+    out = "window_us long, version long, rank int, key string, total double"
+    top = lists.groupBy("window_us").transformWithStateInPandas(p.WindowTop(n), out, "Append", "None")
+    return top.select(F.timestamp_micros("window_us").alias("window_start"), "version", "rank", F.col("key").alias(key), "total")
+
+
+def sequence_matches(
+    stream: DataFrame, key: str, ts: str, seq: str, steps: list[patterns.Step], within: str
+) -> DataFrame:
+    """Matches of :func:`tideline.operators.patterns.sequence_matches`: ``key, seq, start_us, end_us``.
+
+    The rows of a key must come in order of time from one micro-batch to the next.
+    """
+    hits = [F.when(s.predicate, F.lit(1 << n)).otherwise(F.lit(0)) for n, s in enumerate(steps)]
+    rows = stream.select(
+        F.col(key).alias("key"),
+        F.col(seq).cast("long").alias("seq"),
+        F.unix_micros(ts).alias("us"),
+        sum(hits[1:], hits[0]).alias("hits"),
+    )
+    machine = p.SequenceMatches([s.strict for s in steps], interval_micros(within))
+    out = f"key {_kind(stream, key)}, seq long, start_us long, end_us long"
+    return rows.groupBy("key").transformWithStateInPandas(machine, out, "Append", "None")
+
+
+def global_sessions(stream: DataFrame, ts: str, gap: str, value: str, delay: str) -> DataFrame:
+    """Count and sum per session over all keys: ``session_start, session_end, n, total``.
+
+    Rows of one cell of the gap's length belong to one session, so they are aggregated in their tasks first. Only a
+    row for each cell meets the others in one place.
+    """
+    cell = F.window(ts, gap)
+    us = F.unix_micros(ts)
+    cells = stream.withWatermark(ts, delay).groupBy(cell.alias("cell")).agg(
+        F.min(us).alias("first"), F.max(us).alias("last"), F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("double")).alias("total")
+    )
+    rows = cells.select(F.lit(0).alias("all"), F.window_time("cell").alias("at"), "first", "last", "n", "total")
+    out = "start_us long, end_us long, n long, total double"
+    machine = p.GlobalSessions(interval_micros(gap))
+    found = rows.groupBy("all").transformWithStateInPandas(machine, out, "Append", "EventTime")
+    times = {"session_start": "start_us", "session_end": "end_us"}
+    return found.select(*[F.timestamp_micros(c).alias(n) for n, c in times.items()], "n", "total")
+
+
 def exactly_once_files(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Writes a stream so that a restart repeats and loses nothing.
 
