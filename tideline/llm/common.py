@@ -25,10 +25,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, so that its lineage ends there and it is computed once."""
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -42,6 +42,8 @@ REMEMBERED = 32 << 20
 #: ``place`` packs a snippet's first window and how many words behind it the anchor and the last window lie.
 SNIPPET = "doc long, row long, key long, place long, content binary"
 LARGEST_WINDOW = 255
+#: Bytes of the digest that tells the snippets of one prefix apart.
+DIGEST = 12
 
 
 class _WordHashes:
@@ -115,7 +117,7 @@ def _snippet_rows(batches: Iterator[pd.DataFrame], window: int, prefix: int) ->
                 end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
                 start = np.r_[0, end[:-1] + 1]
                 for key, at, low, high in snippets(words, hashed(words), window, prefix):
-                    content = blake2b(whole[start[low] : end[high + window - 1]], digest_size=16, salt=str(at - low).encode())
+                    content = blake2b(whole[start[low] : end[high + window - 1]], digest_size=DIGEST, salt=str(at - low).encode())
                     out.append((doc, row, key, (first + low) << 16 | (at - low) << 8 | (high - low), content.digest()))
                 if len(out) > 50_000:
                     yield pd.DataFrame(out, columns=names)
@@ -257,16 +259,16 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     if not prefix < window <= LARGEST_WINDOW:
         raise ValueError(f"a window has more words than a prefix and {LARGEST_WINDOW} at most")
     found = docs.mapInPandas(partial(_snippet_rows, window=window, prefix=prefix), SNIPPET)
-    found = written(found, "snippets")
+    found = written(found, "snippets", "zstd")
     # Equal snippets are one node already: all but the least document's are repeats.
     place = F.min(F.struct("doc", "row", "place")).alias("at")
     kinds = found.groupBy("key", "content").agg(place, F.max("doc").alias("last"))
-    kinds = written(kinds, "different-snippets")
+    kinds = written(kinds, "different-snippets", "zstd")
     several = kinds.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     wanted = kinds.join(several, "key").groupBy("at.doc", "at.row")
     wanted = wanted.agg(F.collect_list(F.struct("key", "content", "at.place")).alias("wanted"))
     texts = docs.join(wanted, ["doc", "row"]).select("doc", "text", "wanted")
-    cut = written(texts.mapInPandas(partial(_cut, window=window, prefix=prefix), CUT), "cut-snippets")
+    cut = written(texts.mapInPandas(partial(_cut, window=window, prefix=prefix), CUT), "cut-snippets", "zstd")
     cut = cut.join(several, "key")
 
     split = (window - prefix) // 2  # windows this far before the anchor or less lie in the right groups
@@ -274,7 +276,7 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     large = cut.where(F.col("n") > group)
     near = large.where(F.col("low") <= split).withColumns({"g": F.col("right"), "high": F.least("high", F.lit(split))})
     far = large.where(F.col("high") > split).withColumns({"g": F.col("left"), "low": F.greatest("low", F.lit(split + 1))})
-    longer = written(near.unionByName(far), "longer-prefixes")
+    longer = written(near.unionByName(far), "longer-prefixes", "zstd")
     sizes = longer.groupBy("g").agg(F.count("*").alias("m"))
     longer = longer.join(sizes, "g")
     names = ["g", "key", "content", "first", "low", "high", "before", "after"]
