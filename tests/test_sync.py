@@ -315,7 +315,7 @@ def test_documents_become_a_flat_table(spark, tmp_path, apply_deletes):
 
 def quarantined(spark, sync):
     rows = spark.read.parquet(f"{sync.root}/_quarantine").collect()
-    return sorted((r["seq"], r["reason"]) for r in rows)
+    return sorted(((r["seq"], r["reason"]) for r in rows), key=str)
 
 
 def test_nothing_is_lost_silently(spark, sync):
@@ -389,6 +389,19 @@ def test_order_of_several_partitions(spark):
     assert streams.ordered_records(raw.where("partition = 0"), "offset").first()["seq"] == 90
 
 
+def test_records_without_a_place_are_set_aside(spark, sync):
+    def record(n, **place):
+        return json.dumps({"id": n}), json.dumps({"op": "c", "source": {"db": "shop", "table": "t", "ts_ms": 1, **place}, "after": {"id": n}})
+
+    places = [{"file": "bin.000002", "pos": 4}, {"file": "bin.040000", "pos": 4, "row": 2}, {}, {"file": "bin.1", "pos": 2**40}, {"file": "x", "pos": 1}]
+    raw = spark.createDataFrame([(*record(n, **p), 0, n) for n, p in enumerate(places)], "key string, value string, partition int, offset long")
+    log = streams.ordered_records(raw)
+    assert [r["seq"] for r in log.orderBy("value").collect() if r["seq"] is not None] == [2 << 43 | 4 << 11, 40_000 << 43 | 4 << 11 | 2]
+    sync.apply_batch(log, 0)
+    assert rows_of(sync.table("shop", "t")) == [(0,), (1,)]
+    assert quarantined(spark, sync) == [(None, "no position")] * 3
+
+
 def test_fields_that_appear_later_are_kept(spark, sync):
     """Bare and declared records bring new fields in a later batch; what can be no column is set aside by row."""
     sync.apply_batch(batch(spark, change(1, "c", "t", after={"id": 1, "a": 1})), 0)

@@ -79,7 +79,10 @@ def decode_changes(
         *(["declared"] if declared else []),
         "_raw",
     )
-    return rows.withColumn("reason", unusable_reason()).drop("_raw")
+    reason = unusable_reason()
+    if "seq" in carried:
+        reason = reason.when(F.col("seq").isNull(), F.lit("no position"))
+    return rows.withColumn("reason", reason).drop("_raw")
 
 
 def declared_fields(declared: str) -> list[dict]:

@@ -8,12 +8,12 @@ exchange. A deleted row stays as a tombstone until a fold is told that no older
 can come any more.
 
 :meth:`KeyedTable.fold` joins the change sets to one, or everything to a new generation
-when they have grown to a good part of the rest. ``registry`` is a table with a row for
-each step: the columns, what has been applied, and the change sets that count. What a
+when they have grown to a good part of the rest. ``registry`` has a small file for each
+step: the columns, what has been applied, and the change sets that count. What a
 failed step has written is overwritten by its next attempt.
 
 Files store columns by id, never by name. Renaming, dropping, adding and
-retyping columns is a projection by the registry's last row, and a column that was
+retyping columns is a projection by the registry's last file, and a column that was
 dropped and added again starts empty.
 """
 
@@ -153,7 +153,7 @@ class KeyedTable:
 
     @classmethod
     def load_all(cls, spark: SparkSession, paths: list[str]) -> dict[str, "KeyedTable"]:
-        """The current tables among ``paths``; one job reads what is known of all of them."""
+        """The current tables among ``paths``; what is known of each is a small file, so no job is needed."""
         states = cls._states(spark, paths)
         return {p: cls(spark, p, s) for p, s in states.items() if not s["dropped"]}
 
@@ -166,24 +166,18 @@ class KeyedTable:
         found = {}
         for path in paths:
             folder = f"{path.rstrip('/')}/registry"
-            for name in reversed(storage.list_names(spark, folder)):
-                if "_SUCCESS" in storage.list_names(spark, f"{folder}/{name}"):
-                    found[f"{storage.plain(folder)}/{name}"] = (path, f"{folder}/{name}")
-                    break
-        if not found:
-            return {}
-        rows = spark.read.schema("state string").parquet(*[f for _, f in found.values()])
-        rows = rows.select("state", "_metadata.file_path").collect()
-        return {found[storage.plain(r["file_path"]).rpartition("/")[0]][0]: json.loads(r["state"]) for r in rows}
+            rows = [n for n in storage.list_names(spark, folder) if n.endswith(".json")]
+            if rows:
+                found[path] = json.loads(storage.read_text(spark, f"{folder}/{rows[-1]}"))
+        return found
 
     def _register(self, schema: Schema | None = None, **changes) -> None:
-        """Adds the registry's next row, which makes what was written for it count."""
+        """Adds the registry's next entry, which makes what was written for it count."""
         state = {**self.state, **changes, "batch": self.state["batch"] + 1}
         if schema is not None:
             state["schema"] = schema.as_dict()
             state["types"] = {**state["types"], **{c["id"]: c["type"] for c in schema.columns}}
-        row = self.spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1)
-        row.write.mode("overwrite").parquet(f"{self.path}/registry/{_folder(state['batch'])}")
+        storage.write_text(self.spark, f"{self.path}/registry/{_folder(state['batch'])}.json", json.dumps(state))
         self.state = state
 
     @property

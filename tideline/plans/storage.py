@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +30,22 @@ def size(spark: SparkSession, folder: str) -> int:
     return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
 
-def plain(path: str) -> str:
-    """A path without scheme, host and escapes, for comparing what different parts of Spark say."""
-    return unquote(re.sub(r"^\w+:(//[^/]*)?", "", path)).rstrip("/")
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file as a whole: under its name it is there completely or not at all."""
+    target, fs = _path(spark, path)
+    aside, _ = _path(spark, f"{path}.part")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(aside, target):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, fs = _path(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -11,6 +11,7 @@ from tideline.plans.document_sync import Collection, DocumentSync
 from tideline.plans.keyed_table import KeyedTable
 from tideline.plans.registry import query, table
 from tideline.plans.sync import DatabaseSync
+from tideline.sinks.jdbc import map_column_types
 from tideline.session import shared_dir
 
 
@@ -256,3 +257,29 @@ def doc_sync(spark, d):
     known = bad.unionByName(applied).unionByName(deleted)
     rest = came.select("n").unionByName(known.select((-F.col("n")).alias("n"))).agg(F.sum("n").alias("n"))
     return known.unionByName(came).unionByName(rest.select(F.lit("superseded").alias("outcome"), "n"))
+
+
+@query(
+    "create_target",
+    """
+    SELECT * FROM (VALUES ('accounts'), ('carts'), ('visits')) t("table"), (VALUES
+        ('user_id', 1, 'BIGINT', true), ('event_type', 2, 'VARCHAR(1024)', false), ('value', 3, 'DOUBLE', false), ('k', 4, 'INT', false)
+    ) c("column", ordinal, target_type, is_key)
+    WHERE "table" IN (SELECT CASE user_id % 3 WHEN 0 THEN 'accounts' WHEN 1 THEN 'carts' ELSE 'visits' END FROM events)
+    """,
+)
+def create_target(spark, d):
+    """The tables that the first records of the event log create, as the catalog of a relational target would list them."""
+    events = table(spark, d, "events")
+    name = F.expr("CASE user_id % 3 WHEN 0 THEN 'accounts' WHEN 1 THEN 'carts' ELSE 'visits' END")
+    image = F.struct("user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    fields = [("user_id", "int64", None, None), ("event_type", "string", None, None), ("value", "float64", None, None), ("k", "int32", None, None)]
+    log = events.select(F.col("event_id").alias("seq"), _envelope(name, F.lit("c"), image, fields).alias("value"), F.array(F.lit("user_id")).alias("key"))
+    sync = _sync(spark)
+    sync.apply_batch(log, 0)
+    rows = []
+    for t in ("accounts", "carts", "visits"):
+        made = sync.table("shop", t)
+        for n, (column, kind) in enumerate(map_column_types(spark, made.column_types) if made else []):
+            rows.append((t, column, n + 1, kind, column in made.key))
+    return spark.createDataFrame(rows, "table string, column string, ordinal int, target_type string, is_key boolean")

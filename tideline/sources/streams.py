@@ -75,20 +75,18 @@ def ordered_records(raw: DataFrame, seq: str | None = None) -> DataFrame:
 
 
 def source_position(value: Column) -> Column:
-    """The place of a change in its source's log: file number, position and row, or a log sequence number.
+    """The place of a change in its source's log as one number: log file, position and row, or a log sequence number.
 
-    Falls back on the source's time stamp only where the envelope has neither.
+    File numbers have 20 bits, positions 32 and rows of one event 11. A record without a place, or with one beyond
+    that, has none here either: it cannot be put in order, and the synchronisation sets it aside.
     """
-
-    def part(name: str) -> Column:
-        return F.coalesce(
-            F.get_json_object(value, f"$.source.{name}"), F.get_json_object(value, f"$.payload.source.{name}")
-        )
-
-    number = F.regexp_extract(part("file"), r"(\d+)$", 1).try_cast("long")
-    place = F.shiftleft(number, 48) + F.shiftleft(part("pos").try_cast("long"), 16)
-    place = place + F.least(F.coalesce(part("row").try_cast("long"), F.lit(0)), F.lit(65535))
-    return F.coalesce(place, part("lsn").try_cast("long"), part("ts_ms").try_cast("long"))
+    place = "struct<file: string, pos: long, row: long, lsn: long>"
+    read = F.from_json(value, f"source {place}, payload struct<source: {place}>")
+    at = F.coalesce(read["source"], read["payload"]["source"])
+    number = F.regexp_extract(at["file"], r"(\d+)$", 1).try_cast("long")
+    row = F.coalesce(at["row"], F.lit(0))
+    fits = (number < 1 << 20) & at["pos"].between(0, (1 << 32) - 1) & row.between(0, (1 << 11) - 1)
+    return F.coalesce(F.when(fits, F.shiftleft(number, 43) + F.shiftleft(at["pos"], 11) + row), at["lsn"])
 
 
 def rate_orders(spark: SparkSession, rows_per_second: int = 10, seed: int = 1) -> DataFrame:

@@ -23,6 +23,11 @@ def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def _groups(stream: DataFrame) -> int:
+    """Groups for work that any task can do."""
+    return 4 * int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def window_agg(
     stream: DataFrame,
     ts: str,
@@ -177,17 +182,17 @@ def mark_late(
     size: str,
     out_of_orderness: str,
     lateness: str,
-    spread: int = 64,
+    spread: int | None = None,
 ) -> DataFrame:
     """All rows with ``is_late``, judged by the watermark of their micro-batch.
 
     The check needs no state, so rows are spread over ``spread`` groups by a hash
-    of their sequence instead of a key. Built-in aggregates drop late rows; this
+    of their sequence instead of a key (four for each shuffle partition, if not given). Built-in aggregates drop late rows; this
     form keeps them for a side output.
     """
     delay = interval_micros(out_of_orderness) + interval_micros(lateness)
     rows = stream.withWatermark(ts, f"{delay} microseconds").select(
-        F.pmod(F.xxhash64(seq), F.lit(spread)).alias("key"),
+        F.pmod(F.xxhash64(seq), F.lit(spread or _groups(stream))).alias("key"),
         F.col(ts).alias("ts"),
         F.col(seq).alias("seq"),
         F.unix_micros(ts).alias("us"),
@@ -261,7 +266,7 @@ def group_count(changes: DataFrame, key: str, group: list[str], seq: str = "seq"
 
 
 def top_n_per_window(
-    stream: DataFrame, ts: str, size: str, key: str, value: str, n: int = 3, spread: int = 64
+    stream: DataFrame, ts: str, size: str, key: str, value: str, n: int = 3, spread: int | None = None
 ) -> DataFrame:
     """The ``n`` keys with the largest sums of each window: ``window_start, version, rank, key, total``.
 
@@ -270,7 +275,7 @@ def top_n_per_window(
     """
     rows = stream.select(
         F.unix_micros(F.window(ts, size)["start"]).alias("window_us"),
-        F.pmod(F.xxhash64(key), F.lit(spread)).alias("salt"),
+        F.pmod(F.xxhash64(key), F.lit(spread or _groups(stream))).alias("salt"),
         F.col(key).cast("string").alias("key"),
         F.col(value).cast("double").alias("value"),
     )
