@@ -291,7 +291,8 @@ def removed_windows(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
 
     # All snippets of later documents go, those of the least document where its kind was marked.
     judged = kinds.join(marks, ["key", "content"], "left").where("last > at.doc OR offsets IS NOT NULL")
-    judged = judged.select("key", "content", F.col("at.doc").alias("least"), "offsets")
+    # Written, so that the join below has nothing but its own exchanges and a very common snippet's rows can be split.
+    judged = written(judged.select("key", "content", F.col("at.doc").alias("least"), "offsets"), "judged-snippets", "zstd")
     low, at = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)
     whole = F.array(F.struct(low.alias("low"), (low + F.col("place").bitwiseAND(255)).alias("high")))
     single = F.transform("offsets", lambda o: F.struct((low + at - o).alias("low"), (low + at - o).alias("high")))
