@@ -49,7 +49,8 @@ def flatten_documents(
     missing field is null. ``lists`` prints lists as ``json`` or as ``text``. A text
     that is no JSON gives nulls; :func:`malformed_documents` returns such rows.
     """
-    parsed = df.withColumn("_doc", F.try_parse_json(document))
+    # As generators parse and lookups happen once; plain expressions would be repeated for everything that names them.
+    parsed = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(document).alias("_doc")))))
     values = []
     for i, column in enumerate(columns):
         names = [column] if depth <= 0 else column.split(".")[: depth + 1]
@@ -60,7 +61,7 @@ def flatten_documents(
         for before in reversed(steps[:-1] if depth > 0 else []):
             value = F.when(F.schema_of_variant(before).startswith("OBJECT"), value).otherwise(before)
         values.append(value.alias(f"_value{i}"))
-    found = parsed.select(*df.columns, *values)
+    found = parsed.select(*df.columns, F.inline(F.array(F.struct(*values))))
     shown = [_variant_text(F.col(f"_value{i}"), lists).alias(c.replace(".", "_")) for i, c in enumerate(columns)]
     return found.select(*df.columns, *shown)
 
@@ -76,12 +77,12 @@ def read_document_changes(records: DataFrame, value: str = "value") -> DataFrame
     Images may be JSON objects or texts that hold one. Records may be wrapped in ``schema`` and ``payload``. What is
     no JSON gives nulls, a record's text stays as its image then, so that it can be set aside as it came.
     """
-    wrapped = F.from_json(value, "payload string")["payload"]
-    opened = records.withColumn("_envelope", F.coalesce(wrapped, F.col(value)))
-    fields = F.from_json("_envelope", "op string, before string, after string")
-    read = opened.withColumn("_fields", fields).withColumn("op", F.col("_fields.op")).withColumn("before", F.col("_fields.before"))
-    after = F.coalesce("_fields.after", F.when(F.col("op").isNull(), F.col(value)))
-    return read.withColumn("after", after).drop("_envelope", "_fields", value)
+    others = [c for c in records.columns if c != value]
+    opened = records.select(*records.columns, F.inline(F.array(F.from_json(value, "payload string"))))
+    envelope = F.from_json(F.coalesce("payload", value), "op string, before string, after string")
+    read = opened.select(*records.columns, F.inline(F.array(envelope)))
+    after = F.coalesce("after", F.when(F.col("op").isNull(), F.col(value))).alias("after")
+    return read.select(*others, "op", "before", after)
 
 
 def decode_document_changes(changes: DataFrame, apply_deletes: bool = False, keep: bool = False) -> DataFrame:

@@ -79,6 +79,8 @@ class DocumentSync:
         table = KeyedTable.create(self.spark, self.path(c.name), c.columns, [c.key])
         rows = rows.withColumn("kind", F.when(F.col("_op") == "d", "delete").otherwise("update"))
         flat = flatten_documents(rows, "document", [f for f, _ in c.fields], c.depth, c.lists)
+        shown = F.inline(F.array(F.struct(*[n for n, _ in c.columns])))
+        flat = flat.select(*rows.columns, shown)
         typed = {n: F.col(n).try_cast(spark_type(kind)) for n, kind in c.columns}
         lost = [F.when(_lost(F.col(n), typed[n], spark_type(kind)) & ((F.col("kind") != "delete") | F.lit(n == c.key)), F.lit(n)) for n, kind in c.columns]
         misfit = F.concat_ws(", ", *lost)
