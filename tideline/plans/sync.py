@@ -269,7 +269,12 @@ class DatabaseSync:
             rows = self.spark.read.schema("seq long, kind string, image string").parquet(mine)
         else:
             rows = self.spark.createDataFrame([], "seq long, kind string, image string")
+        # Written, since what fits and what does not are both taken from it.
         typed = parse_images(rows, plan.schema, plan.strict)
+        typed = typed.withColumn("_image", F.when(F.col("_unfit") != "", F.col("_image")))
+        aside = f"{folder}-typed/{plan.db}/{plan.name}"
+        typed.write.mode("overwrite").parquet(aside)
+        typed = self.spark.read.schema(typed.schema).parquet(aside)
         unfit = typed.where(F.col("_unfit") != "").select(
             "seq",
             F.lit(plan.db).alias("db"),
