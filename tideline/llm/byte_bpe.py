@@ -19,6 +19,8 @@ from tideline.llm.common import PART_CHARS, Memo, runs_by_size
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 NEVER = 1 << 62
+#: Pieces of more bytes have a tree of their own, in which a round takes all pairs of the lowest rank.
+LONG = 2048
 #: A single blank between two other characters: no match of the pattern goes across its left side.
 CUT = regex.compile(r"(?<=\S)(?= \S)")
 #: A blank beside other white space, which can be matched together with it.
@@ -122,6 +124,65 @@ class ByteBpe:
         ends = (4 * np.cumsum(alive.sum(axis=1))).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
+    def merge_long(self, piece: bytes) -> bytes:
+        """As ``merge``, for one long piece, whose rounds are about as many as the ranks that occur in it.
+
+        The tree is searched from the root for all leaves of the lowest rank. From the left they are merged at once, up
+        to and with the first whose merge gives a pair of a still lower rank, since that pair would be next.
+        """
+        n = len(piece)
+        size = 1 << (n - 1).bit_length()
+        shift = size.bit_length()
+        symbol = np.append(self.bytes[np.frombuffer(piece, np.uint8)], 0)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        tree = np.full(2 * size, NEVER, np.int64)
+        tree[size : size + n - 1] = self.pair(symbol[: n - 1], symbol[1:n], np.arange(n - 1), shift)
+        half = size
+        while half > 1:
+            half >>= 1
+            tree[half : 2 * half] = np.minimum(tree[2 * half : 4 * half : 2], tree[2 * half + 1 : 4 * half : 2])
+        alive = np.ones(n, bool)
+        while tree[1] != NEVER:
+            made = int(tree[1] >> shift)
+            node = np.ones(1, np.int64)
+            while node[0] < size:
+                node = (node[:, None] * 2 + np.arange(2)).ravel()
+                node = node[tree[node] >> shift == made]
+            i = node - size
+            j = after[i]
+            if len(i) > 1 and (linked := i[1:] == j[:-1]).any():
+                # A merge swallows the pair that begins at its right symbol: of linked pairs every second one merges.
+                place = np.arange(len(i))
+                first = np.maximum.accumulate(np.where(np.r_[False, linked], 0, place))
+                i, j = i[(place - first) % 2 == 0], j[(place - first) % 2 == 0]
+            end = after[j]
+            # New pairs as they are when all merges to the left are done and none to the right.
+            joined = np.r_[False, end[:-1] == i[1:]]
+            left = np.where(joined, np.r_[-1, i[:-1]], before[i])
+            near = np.where(joined, made, symbol[left])
+            new = np.minimum(
+                np.where(left >= 0, self.pair(near, np.int64(made), i, shift), NEVER),
+                np.where(end < n, self.pair(np.int64(made), symbol[end], i, shift), NEVER),
+            )
+            lower = np.flatnonzero(new >> shift < made)
+            if len(lower):
+                i, j, end, left = (x[: lower[0] + 1] for x in (i, j, end, left))
+            symbol[i] = made
+            after[i] = end
+            before[end] = i
+            alive[j] = False
+            left = left[left >= 0]
+            tree[size + i] = np.where(end < n, self.pair(symbol[i], symbol[end], i, shift), NEVER)
+            tree[size + j] = NEVER
+            tree[size + left] = self.pair(symbol[left], symbol[after[left]], left, shift)
+            node = np.sort(np.concatenate([i, j, left])) + size
+            while node[0] > 1:
+                node = node >> 1
+                if len(node) > 8:
+                    node = node[np.flatnonzero(np.diff(node, prepend=0))]
+                tree[node] = np.minimum(tree[2 * node], tree[2 * node + 1])
+        return symbol[:n][alive].astype("<u4").tobytes()
+
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Each piece's ids as little-endian unsigned 32-bit integers; a piece that is a token is that token."""
         out: list[bytes] = [b""] * len(pieces)
@@ -131,6 +192,8 @@ class ByteBpe:
             rank = self.ranks.get(raw)
             if rank is not None:
                 out[k] = struct.pack("<I", rank)
+            elif len(raw) > LONG:
+                out[k] = self.merge_long(raw)
             else:
                 by_size.setdefault(max(8, 1 << (len(raw) - 1).bit_length()), []).append((k, raw))
         for size, group in by_size.items():

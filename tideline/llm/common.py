@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +11,8 @@ from tideline.session import shared_dir
 
 #: Characters of text that a task works on at once.
 PART_CHARS = 1 << 20
+#: Characters of words whose results a worker keeps.
+MEMO_CHARS = 1 << 23
 WHITE = " \t\n\r\x0b\x0c"
 
 
@@ -61,26 +62,34 @@ def runs_by_size(items: list, size: Callable, limit: int) -> Iterator[list]:
         yield run
 
 
+def word_lists(words: list[str]) -> Iterator[list[str]]:
+    """Words in lists that are worked on at once: about 20,000 of usual length, fewer of longer ones."""
+    return runs_by_size(words, lambda w: 32 + len(w), PART_CHARS)
+
+
 class Memo(dict):
     """Results by word. What is missing is computed for a whole list of words at once.
 
-    It is emptied when it holds ``most`` words, which bounds a worker's memory; frequent words are soon back.
+    It is emptied when it would hold more than ``most`` words or ``chars`` characters of words, which bounds a worker's
+    memory also where a word is a whole line; frequent words are soon back.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], most: int = 400_000):
+    def __init__(self, compute: Callable[[list[str]], list], most: int = 400_000, chars: int = MEMO_CHARS):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.chars, self.held = compute, most, chars, 0
 
     def need(self, words: set[str]) -> None:
         """Afterwards every one of ``words`` has its result."""
         missing = [w for w in words if w not in self]
         if not missing:
             return
-        if len(self) + len(missing) > self.most:
+        size = sum(map(len, missing))
+        if len(self) + len(missing) > self.most or self.held + size > self.chars:
             self.clear()
             missing = list(words)
-        todo = iter(missing)
-        while some := list(islice(todo, 20_000)):
+            self.held, size = 0, sum(map(len, missing))
+        self.held += size
+        for some in word_lists(missing):
             self.update(zip(some, self.compute(some)))
 
 

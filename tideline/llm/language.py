@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.llm.common import written
 from tideline.llm.word_sums import WordSums
 
 UNKNOWN = "und"
@@ -18,6 +19,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 #: The bounds of what is learned from: so many different whole texts, and so many different words, for each language.
 SAMPLE_DOCS = 1500
 SAMPLE_WORDS = 6000
+#: Sampled hashes that are broadcast at most.
+SENT = 1 << 20
 #: A word's bytes are read in sequences of at most this length, with a blank at either end.
 SEQUENCE = 24
 HIDDEN = 16
@@ -209,7 +212,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
     # Only hashes are ranked; the rank limit is applied before the shuffle too. A sampled hash is looked up in the texts.
     hashes = docs.select("lang", F.xxhash64("text").alias("h")).distinct()
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = hashes.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).select("lang", "h")
+    chosen = written(hashes.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).select("lang", "h"), "sampled-texts")
+    # Up to a million hashes (hundreds of languages) are sent to the texts, so that no text moves but the sampled ones.
+    if chosen.count() <= SENT:
+        chosen = F.broadcast(chosen)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:

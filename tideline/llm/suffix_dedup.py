@@ -370,8 +370,8 @@ def merged_windows(length: int, buckets: int):
     return work
 
 
-def removed(schema: pa.Schema, names: list[str]):
-    """A bucket's documents with what is left of their bytes."""
+def removed(schema: pa.Schema, names: list[str], characters: bool):
+    """A bucket's documents with what is left of their bytes, or of their characters."""
 
     def work(docs: pa.Table, rows: pa.Table) -> pa.Table:
         got = unpack(rows["blob"].to_pylist(), INTERVAL)
@@ -384,7 +384,7 @@ def removed(schema: pa.Schema, names: list[str]):
         sizes, gone, spans, kept = [], [], [], []
         for i in range(docs.num_rows):
             text = docs["_text"][i].as_buffer().to_pybytes()
-            out, at, count, j = [], 0, 0, int(edge[same[i]])
+            out, at, count, cut, j = [], 0, 0, 0, int(edge[same[i]])
             stop = int(edge[same[i] + 1])
             while j < stop:
                 begin, last = lo[j], end[j]
@@ -392,14 +392,18 @@ def removed(schema: pa.Schema, names: list[str]):
                 while j < stop and lo[j] <= last:
                     last = max(last, end[j])
                     j += 1
+                count, cut = count + 1, cut + last - begin
+                while characters and begin < len(text) and text[begin] & 0xC0 == 0x80:
+                    begin -= 1
+                while characters and last < len(text) and text[last] & 0xC0 == 0x80:
+                    last += 1
                 out.append(text[at:begin])
-                at, count = last, count + 1
+                at = last
             out.append(text[at:])
-            left = b"".join(out)
             sizes.append(len(text))
-            gone.append(len(text) - len(left))
+            gone.append(cut)
             spans.append(count)
-            kept.append(left)
+            kept.append(b"".join(out))
         return pa.table([*(docs[c] for c in names), sizes, gone, spans, kept], schema=schema)
 
     return work
@@ -422,13 +426,20 @@ def hot_anchors(docs: DataFrame, share: float, length: int, parts: int) -> np.nd
     return counts.where(F.col("n") >= least).toPandas()["anchor"].to_numpy(np.int64).view(np.uint64)
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, keep: bool = False) -> DataFrame:
+def remove_repeats(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    keep: bool = False,
+    characters: bool = False,
+) -> DataFrame:
     """Removes each byte covered by a ``length``-byte string that also starts earlier.
 
     Earlier means under a smaller key, or at a smaller start under the same key; strings are judged on the input,
     overlaps count, and matches never cross texts. Gives all columns but the text (with ``keep`` the text too) with
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (the bytes left); such columns of the
-    input are replaced. Null texts count as empty; texts under ``length`` bytes lose nothing. A null key comes before
+    input are replaced. With ``characters``, a character of which a byte is removed is missing from ``kept`` as a whole. Null texts count as empty; texts under ``length`` bytes lose nothing. A null key comes before
     all others. Of rows that share a key, equal starts are equally early, and rows that share key and text are one
     document, repeated in the result. An empty table gives an empty result. ``length`` is 64 to 200.
     """
@@ -462,5 +473,5 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     covered = rows.unionByName(found).where(F.col("kind") == COVERED).unionByName(merged)
     result = StructType(df.select(*plain).schema.fields + [StructField(c, t) for c, t in new.items()])
     right = covered.select(F.col("part").alias("_bucket"), "blob")
-    finish = removed(to_arrow_schema(result), names)
+    finish = removed(to_arrow_schema(result), names, characters)
     return left.groupBy("_bucket").cogroup(right.groupBy("_bucket")).applyInArrow(finish, result)

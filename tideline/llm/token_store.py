@@ -19,12 +19,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Rows, new_folder, runs_by_size, written
+from tideline.llm.common import MEMO_CHARS, Rows, new_folder, runs_by_size, written
 from tideline.llm.token_counts import SEPARATORS, lower_each, split_words
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
 RUN_CHARS = 1 << 21
+#: Bytes of text for a shard.
+SHARD = 64 << 20
 MAGIC = b"TKIDS002"
 #: Slots of a level of the hash for each key that is left.
 ROOM = 2
@@ -54,7 +56,7 @@ class Ragged:
 class WordEncoder:
     """The tokenizers library on pieces of words, each encoded once, since they never depend on their neighbours.
 
-    All is forgotten when there are more than ``most`` words.
+    All is forgotten when there are more than ``most`` words or ``MEMO_CHARS`` characters of words.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -71,7 +73,7 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.known = Rows(), Rows()
+        self.words, self.known, self.chars = Rows(), Rows(), 0
         self.word_ids, self.piece_ids = Ragged(), Ragged()
 
     def learn(self) -> None:
@@ -87,6 +89,7 @@ class WordEncoder:
         if found:
             flat = np.concatenate(found)
             self.piece_ids.add(flat, np.diff(np.flatnonzero(self.closes[flat]), prepend=-1))
+        self.chars += sum(map(len, self.words.new))
         self.words.new.clear()
         self.known.new.clear()
         flat, count = self.piece_ids.get(row)
@@ -96,7 +99,7 @@ class WordEncoder:
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each whole text."""
         for run in runs_by_size(texts, len, RUN_CHARS):
-            if len(self.words) > self.most:
+            if len(self.words) > self.most or self.chars > MEMO_CHARS:
                 self.clear()
             # A special token or an odd separator may join words: such texts go to the library whole.
             odd = ["<|" in t or any(c in t for c in SEPARATORS) for t in run]
@@ -238,9 +241,10 @@ def write(
     """Writes shards ``shard-NNNNNN.ids`` and ``.index`` into ``folder``; gives ``key``, ``shard``, ``nth`` of every row.
 
     Documents lie in ascending order of the key (a long; null first), each followed by the id ``end``. A null text
-    counts as empty and leaves that id alone. Equal keys lie side by side, ``nth`` counts them from 0, in order of
-    their texts. Null keys are stored under the least long. Every task writes a shard, under a name of its own first,
-    and moves it into place when it is whole, so a repeated task leaves the same shard.
+    counts as empty and leaves that id alone. Equal keys lie side by side, in order of a hash of their texts, and may
+    go on in the next shard; ``nth`` counts them in each shard from 0. Null keys are stored under the least long. There is a
+    shard for each ``SHARD`` bytes of text, and at least one for each core. Every task writes a shard, under a name of
+    its own first, and moves it into place when it is whole, so a repeated task leaves the same shard.
     """
     place = path or public_tokenizers.path(VOCABULARY)
     least = -(2**63)
@@ -279,7 +283,11 @@ def write(
         for kind in ("ids", "index"):
             files.move(f"{mine}.{kind}", f"{name}.{kind}")
 
-    placed = rows.repartitionByRange("k").sortWithinPartitions("k", "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD))
+    # Equal keys, the null ones above all, are spread by a hash of their texts.
+    order = ["k", F.xxhash64("text")]
+    placed = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     placed = written(placed.mapInPandas(shard, "k long, shard int, nth int"), "token-places")
     return placed.select(F.when(F.col("k") != least, F.col("k")).alias(key), "shard", "nth")
 
@@ -327,7 +335,8 @@ def read(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id")
         F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     bases = totals.select("shard", before.alias("base"))
-    found = rows.repartition("shard").sortWithinPartitions("shard", "k").mapInPandas(
+    # With a given number of ranges the small rows are not drawn together: each task reads about one shard.
+    found = rows.repartitionByRange(max(1, totals.count()), "shard").sortWithinPartitions("shard", "k").mapInPandas(
         look_up, "k long, shard int, inside long, n_tokens long, ids_crc32 long"
     )
     return found.join(F.broadcast(bases), "shard").select(

@@ -7,7 +7,7 @@ from itertools import chain
 
 import numpy as np
 
-from tideline.llm.common import Rows, parts, runs_by_size
+from tideline.llm.common import MEMO_CHARS, Rows, parts, runs_by_size, word_lists
 
 RUN_CHARS = 1 << 21
 
@@ -15,12 +15,13 @@ RUN_CHARS = 1 << 21
 class WordSums:
     """Holds each word's numbers in a row of a table; most words of a text have been seen before.
 
-    Words are what stands between white space. The table is emptied once it holds more than ``most`` words.
+    Words are what stands between white space. The table is emptied once it holds more than ``most`` words
+    or ``MEMO_CHARS`` characters of words.
     """
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], width: int, most: int = 300_000):
         self.compute, self.most = compute, most
-        self.row = Rows()
+        self.row, self.chars = Rows(), 0
         self.table = np.zeros((1024, width))
 
     def learn(self) -> None:
@@ -28,10 +29,11 @@ class WordSums:
         new, total = self.row.new, len(self.row)
         if total > len(self.table):
             self.table = np.concatenate([self.table, np.zeros((total, self.table.shape[1]))])
-        for begin in range(0, len(new), 20_000):
-            some = new[begin : begin + 20_000]
-            first = total - len(new) + begin
+        first = total - len(new)
+        for some in word_lists(new):
             self.table[first : first + len(some)] = self.compute(some)
+            first += len(some)
+        self.chars += sum(map(len, new))
         new.clear()
 
     def sums(self, texts: list[str]) -> np.ndarray:
@@ -49,8 +51,8 @@ class WordSums:
 
     def of(self, lists: list[list[str]]) -> np.ndarray:
         """A row for each list of words."""
-        if len(self.row) > self.most:
-            self.row = Rows()
+        if len(self.row) > self.most or self.chars > MEMO_CHARS:
+            self.row, self.chars = Rows(), 0
         out = np.zeros((len(lists), self.table.shape[1]))
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         rows = np.fromiter(map(self.row.__getitem__, chain.from_iterable(lists)), np.int64, int(size.sum()))
