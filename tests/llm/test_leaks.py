@@ -1,6 +1,7 @@
 """Leaks that windows of plain words, one-to-one slots and coverage alone would miss."""
 
 import pytest
+import xxhash
 from test_search_and_archives import ITEM
 from tideline.llm import decontaminate
 
@@ -46,3 +47,21 @@ def test_leaks_go_by_row(spark):
     docs = spark.createDataFrame([(None, ITEM, 1), (1, ITEM, 2), (1, "clean text", 3), (None, "clean", 4)], "doc_id long, text string, h int")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert sorted(r["h"] for r in decontaminate.without_leaks(docs, bench).collect()) == [3, 4]
+
+
+def test_stretches_are_learned_all_at_once_like_one_by_one():
+    texts = ["Ends here. Ünder ²x x² ΑΣ ΑΣ.Β 3.5kg 1,000.25, $5 a_b '…' – (so!) \"Why?\" ½ İi", "", "ends HERE. ǅ 12 kg. ΑΣ ٣٤ _ x:"]
+    once = decontaminate.Templates(most=3)
+    for text in [*texts, *texts]:  # the second time after clearing
+        chunks = text.split()
+        rows = once.rows([chunks])
+        (first, count), (kind, unit, value, end) = once.of_chunks, once.of_tokens
+        for chunk, row in zip(chunks, rows):
+            some = decontaminate.TOKEN.findall(chunk)
+            at = range(first[row], first[row] + count[row])
+            assert [once.token[i] for i in at] == some
+            assert [int(kind[i]) for i in at] == [2 if t[0].isdigit() else 1 if t[0].isupper() else 0 for t in some]
+            assert [int(value[i]) for i in at] == [xxhash.xxh64_intdigest(t.lower()) | 7 for t in some]
+            assert [bool(unit[i]) for i in at] == [t.lower() in decontaminate.UNITS for t in some]
+            closed = chunk.rstrip("\"')]}»”’")[-1:] in tuple(".!?…:")
+            assert [bool(end[i]) for i in at] == [False] * (len(some) - 1) + [closed] * bool(some)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import runs_by_size, written
+from tideline.llm.common import Rows, runs_by_size, written
 
 #: Tokens of a template window, how many of them must be plain words, and the share of an item's windows that counts.
 WINDOW = 5
@@ -34,6 +36,28 @@ HOLES = {"num": 1, "name": 2, "unit": 3}
 #: What a window's placeholders are: numbers, units and names; numbers and units; nothing (all tokens literal).
 TEMPLATE, NAMED, EXACT = 0, 1, 2
 SEPARATOR = "\x1f"
+TOKEN_OR_END = re.compile(TOKEN.pattern + r"|\n")
+
+
+class Kinds(dict):
+    """What a token is by its first character."""
+
+    def __missing__(self, c: str) -> int:
+        self[c] = kind = NUMBER if c.isdigit() else CAPITAL if c.isupper() else WORD
+        return kind
+
+
+KINDS = Kinds()
+
+
+def appended(arrays: tuple, at: int, more: tuple) -> tuple:
+    """The arrays with ``more`` written from ``at`` on, twice as long if there is no room."""
+    size = at + len(more[0])
+    if size > len(arrays[0]):
+        arrays = tuple(np.concatenate([a, np.zeros(size, a.dtype)]) for a in arrays)
+    for a, m in zip(arrays, more):
+        a[at:size] = m
+    return arrays
 
 
 class Templates:
@@ -48,40 +72,39 @@ class Templates:
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.first, self.count = [], []
-        self.token, self.kind, self.unit, self.hash = [], [], [], []
-        self.ends: list[bool] = []
-        self.arrays: tuple = ()
-
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.row]
-        if len(self.row) + len(new) > self.most:
+        self.row, self.token = Rows(), []
+        self.of_chunks = tuple(np.zeros(1024, t) for t in (np.int64, np.int64))  # first token, number of tokens
+        self.of_tokens = tuple(np.zeros(1024, t) for t in (np.int8, bool, np.uint64, bool))  # kind, unit, hash, end
+
+    def rows(self, lists: list[list[str]]) -> np.ndarray:
+        """The numbers of all stretches one after another. New ones are learned, all at once."""
+        if len(self.row) > self.most:
             self.clear()
-            new = list(chunks)
-        for chunk in new:
-            self.row[chunk] = len(self.first)
-            found = TOKEN.findall(chunk)
-            self.first.append(len(self.token))
-            self.count.append(len(found))
-            for t in found:
-                low = t.lower()
-                self.token.append(t)
-                self.kind.append(NUMBER if t[0].isdigit() else CAPITAL if t[0].isupper() else WORD)
-                self.unit.append(low in UNITS)
-                self.hash.append(xxhash.xxh64_intdigest(low) | 7)  # the least values stand for placeholders
-                self.ends.append(False)
-            if found:
-                self.ends[-1] = chunk.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", "…", ":")
-        if new or not self.arrays:
-            self.arrays = (
-                np.array(self.first, np.int64),
-                np.array(self.count, np.int64),
-                np.array(self.kind, np.int8),
-                np.array(self.unit, bool),
-                np.array(self.hash, np.uint64),
-                np.array(self.ends, bool),
-            )
+        chunk = np.fromiter(map(self.row.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+        if self.row.new:
+            self.learn(self.row.new)
+            self.row.new.clear()
+        return chunk
+
+    def learn(self, new: list[str]) -> None:
+        # No stretch holds a line feed, so all of them are matched as one string.
+        found = TOKEN_OR_END.findall("\n".join(new) + "\n")
+        ends = np.flatnonzero(np.fromiter(map("\n".__eq__, found), bool, len(found)))
+        count = np.diff(ends, prepend=-1) - 1
+        known, first = len(self.token), len(self.row) - len(new)
+        tokens = [t for t in found if t != "\n"]
+        n = len(tokens)
+        self.token += tokens
+        self.of_chunks = appended(self.of_chunks, first, (known + np.cumsum(count) - count, count))
+        low = list(map(str.lower, tokens))
+        kind = np.fromiter(map(KINDS.__getitem__, map(itemgetter(0), tokens)), np.int8, n)
+        unit = np.fromiter(map(UNITS.__contains__, low), bool, n)
+        value = np.fromiter(map(xxhash.xxh64_intdigest, low), np.uint64, n) | np.uint64(7)  # the least values stand for placeholders
+        end = np.zeros(n, bool)
+        some = np.flatnonzero(count)
+        closed = np.fromiter((c.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", "…", ":") for c in new), bool, len(new))
+        end[(np.cumsum(count) - 1)[some]] = closed[some]
+        self.of_tokens = appended(self.of_tokens, known, (kind, unit, value, end))
 
     def windows(self, texts: list[str], size: int, short: tuple = (), every: bool = False) -> tuple:
         """Each window's text, place, hash, first token, length and form; then what ``slots`` needs of all tokens.
@@ -91,10 +114,9 @@ class Templates:
         it is given in the other forms that do so too.
         """
         lists = [t.split() for t in texts]
-        self.learn(set().union(*lists))
-        first, count, kinds, units, hashes, ends = self.arrays
+        chunk = self.rows(lists)
+        (first, count), (kinds, units, hashes, ends) = self.of_chunks, self.of_tokens
         size_of = np.fromiter(map(len, lists), np.int64, len(lists))
-        chunk = np.fromiter((self.row[c] for words in lists for c in words), np.int64, int(size_of.sum()))
         n = count[chunk]
         text_of = np.repeat(np.repeat(np.arange(len(lists)), size_of), n)
         token = np.repeat(first[chunk] - (np.cumsum(n) - n), n) + np.arange(n.sum())
