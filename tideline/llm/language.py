@@ -165,6 +165,10 @@ class LanguageModel:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"chunks": None, "words": None}
 
+    def forget(self) -> None:
+        """Frees the word tables. A worker that waits for its next task would hold them beside those that work."""
+        self.chunks = self.words = None
+
     def word_numbers(self, words: list[str]) -> np.ndarray:
         """For each word of letters: the languages' probabilities, summed over its byte positions, and their number."""
         lists = [sequences(w) for w in words]
@@ -247,6 +251,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
     return LanguageModel(languages, network)
 
 
+def predictions(model: LanguageModel, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Language and probability of each text of a task, whose word tables go with it."""
+    try:
+        for texts in batches:
+            found, p = model.predict(texts.tolist())
+            yield pd.DataFrame({"lang": found, "score": p})
+    finally:
+        model.forget()
+
+
 def with_language(
     df: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang_pred", score: str = "score"
 ) -> DataFrame:
@@ -259,9 +273,7 @@ def with_language(
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            found, p = shared.value.predict(texts.tolist())
-            yield pd.DataFrame({"lang": found, "score": p})
+        yield from predictions(shared.value, batches)
 
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (lang, score)]
     found = predict(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_language")
