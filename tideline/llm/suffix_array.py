@@ -14,6 +14,11 @@ def words_at(text: np.ndarray, big: bool = False) -> np.ndarray:
     return view.astype(np.uint64)
 
 
+def place_type(n: int) -> type:
+    """The narrowest type for places in a text of ``n`` bytes, since arrays of them make up most of the memory."""
+    return np.int32 if n < 2**31 - 1 else np.int64
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """The suffixes of a byte text in order, by Larsson and Sadakane.
 
@@ -21,25 +26,30 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     suffixes those go first whose continuation has the lesser rank. Groups of one are not touched again.
     """
     n = len(text)
+    place = place_type(n)
     key = words_at(text, big=True)
-    order = np.argsort(key, kind="stable")
-    head = np.r_[True, np.diff(key[order]) != 0] if n else np.zeros(0, bool)
-    rank = np.zeros(n + 1, np.int64)
+    order = np.argsort(key, kind="stable").astype(place)
+    key = key[order]
+    head = np.r_[True, key[1:] != key[:-1]] if n else np.zeros(0, bool)
+    del key
+    rank = np.zeros(n + 1, place)
     rank[n] = -1
     done = 8
     while True:
-        first = np.flatnonzero(head)
-        size = np.diff(np.r_[first, n])
-        rank[order] = np.repeat(first, size)
-        at = np.flatnonzero(np.repeat(size > 1, size))
+        # A group's rank is the place of its first.
+        rank[order] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=place), place(0)))
+        at = np.flatnonzero(~(head & np.r_[head[1:], True])).astype(place) if n else order
         if not len(at):
             return order
         some = order[at]
-        pair = rank[some] * (n + 1) + rank[np.minimum(some + done, n)] + 1
-        sub = np.argsort(pair, kind="stable")
+        pair = rank[some].astype(np.int64)
+        pair *= n + 1
+        pair += rank[np.minimum(some.astype(np.int64) + done, n)]
+        pair += 1
+        sub = np.argsort(pair, kind="stable").astype(place)
         order[at] = some[sub]
         pair = pair[sub]
-        head[at[1:]] = np.diff(pair) != 0
+        head[at[1:]] = pair[1:] != pair[:-1]
         head[at[0]] = True
         done *= 2
 
@@ -53,10 +63,10 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     n = len(text)
     if not n:
         return np.zeros(0, np.int64)
-    before = np.full(n, n, np.int64)
+    before = np.full(n, n, place_type(n))
     before[order[1:]] = order[:-1]
     word = np.concatenate([words_at(text), np.zeros(1, np.uint64)])
-    prefix = np.zeros(n, np.int64)
+    prefix = np.zeros(n, place_type(most))
     lanes = min(n, LANES)
     width = -(-n // lanes)
     begin = np.arange(lanes) * width

@@ -25,11 +25,12 @@ from tideline.llm.suffix_array import common_prefixes, suffix_array, words_at
 
 LENGTH = 100
 GRAM = 32
-#: Bytes of text that are anchored at once, that a bucket or partition stands for, and that a shard sorts.
-BLOCK = 1 << 20
+#: Bytes of text that are anchored at once, that a bucket or partition stands for, that a shard has, and that it sorts at once.
+BLOCK = 1 << 18
 BATCH = 1 << 23
 BUCKET = 1 << 23
 SHARD = 1 << 21
+PIECE = 1 << 18
 #: Documents whose anchors are counted to find the frequent ones; that decides on the way only, not on the result.
 SAMPLE = 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -179,14 +180,13 @@ def anchored(length: int, parts: int, buckets: int, hot: np.ndarray):
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
-            texts = [t.encode() for t in some["text"]]
             keys, tags = some["key"].to_numpy(), some["tag"].to_numpy()
-            size = np.cumsum([len(t) for t in texts])
+            size = np.cumsum([len(t) for t in some["text"]])
             cut = np.searchsorted(size, np.arange(0, size[-1] + BATCH, BATCH)) if len(size) else []
-            for a, b in zip(cut[:-1], [*cut[1:-1], len(texts)]):
+            for a, b in zip(cut[:-1], [*cut[1:-1], len(some)]):
                 if a == b:
                     continue
-                rows = occurrences(keys[a:b], tags[a:b], texts[a:b], length)
+                rows = occurrences(keys[a:b], tags[a:b], [t.encode() for t in some["text"].iloc[a:b]], length)
                 covered, stay = settle(rows, length)
                 rows = {c: v[stay] for c, v in rows.items()}
                 rows["hot"] = np.isin(rows["anchor"], hot).astype(np.uint8)
@@ -197,8 +197,11 @@ def anchored(length: int, parts: int, buckets: int, hot: np.ndarray):
     return work
 
 
-def compared(length: int, buckets: int):
-    """Settles the snippets of a partition's anchors; anchors with different snippets, and hot ones, are contested."""
+def compared(length: int, buckets: int, most: int):
+    """Settles the snippets of a partition's anchors; anchors with different snippets, and hot ones, are contested.
+
+    An anchor with more than ``most`` contested bytes becomes hot, however rare the sample found it.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blobs, covered_blobs = [], []
@@ -220,6 +223,10 @@ def compared(length: int, buckets: int):
         covered = {c: np.concatenate([early[c], covered[c].astype(k)]) for c, k in INTERVAL.items()}
         yield dealt(covered, covered["tag"].astype(np.int64) % buckets, COVERED)
         size = kept["n"].astype(np.int64) + length - 1
+        first = np.flatnonzero(new[many] if len(order) else new)
+        if len(first):
+            large = np.add.reduceat(size, first) > most
+            kept["hot"] |= np.repeat(large, np.diff(np.r_[first, len(size)])).astype(np.uint8)
         yield dealt(kept, kept["tag"].astype(np.int64) % buckets, CONTESTED, size)
 
     return work
@@ -273,16 +280,15 @@ def fetched(length: int, shards: int):
 def sorted_shards(length: int, buckets: int, ranges: int):
     """Covered intervals of each shard by its suffix array; hot anchors' windows go on to be merged."""
 
-    def shard(blobs: list[bytes], texts: list[bytes]) -> Iterator[pd.DataFrame]:
-        rows = unpack(blobs, OCCURRENCE)
-        text = np.frombuffer(b"".join(texts), np.uint8)
+    def piece(rows: dict, text: np.ndarray) -> tuple[dict, dict]:
         n = rows["n"].astype(np.int64)
         size = n + length - 1
         begin = np.cumsum(size) - size
         order = suffix_array(text)
         apart = common_prefixes(text, order, length) < length
-        group = np.empty(len(text), np.int64)
-        group[order] = np.cumsum(apart)
+        group = np.empty(len(text), order.dtype)
+        group[order] = np.cumsum(apart, dtype=order.dtype)
+        del order, apart
         # The windows, one at each place where all of its bytes are in the snippet.
         owner = np.repeat(np.arange(len(n)), n)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -298,19 +304,38 @@ def sorted_shards(length: int, buckets: int, ranges: int):
         run = np.flatnonzero(later & ~np.r_[False, later[:-1] & (owner[1:] == owner[:-1])])
         stop = np.flatnonzero(later & ~np.r_[later[1:] & (owner[1:] == owner[:-1]), False])
         covered = {"key": key[run], "tag": tag[run], "lo": lo[run].astype("<u4"), "end": (lo[stop] + length).astype("<u4")}
-        yield dealt(covered, covered["tag"].astype(np.int64) % buckets, COVERED)
         open_ = np.flatnonzero((rows["hot"][owner] == 1) & ~later)
+        digests = [np.zeros(len(open_), np.uint64) for _ in range(2)]
         if len(open_):
             word = np.concatenate([words_at(text), np.zeros(length, np.uint64)])
-            digests = []
             with np.errstate(over="ignore"):
-                for salt in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25):
-                    d = np.zeros(len(open_), np.uint64)
+                for d, salt in zip(digests, (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)):
                     for k in [*range(0, length - 8, 8), length - 8]:
-                        d = mixed(d + word[at[open_] + k] * np.uint64(salt))
-                    digests.append(d)
-            windows = {"d1": digests[0], "d2": digests[1], "key": key[open_], "tag": tag[open_], "lo": lo[open_].astype("<u4")}
-            windows = {c: v[np.lexsort((digests[1], digests[0]))] for c, v in windows.items()}
+                        d[:] = mixed(d + word[at[open_] + k] * np.uint64(salt))
+        return covered, {"d1": digests[0], "d2": digests[1], "key": key[open_], "tag": tag[open_], "lo": lo[open_].astype("<u4")}
+
+    def shard(blobs: list[bytes], texts: list[bytes]) -> Iterator[pd.DataFrame]:
+        rows = unpack(blobs, OCCURRENCE)
+        text = b"".join(texts)
+        size = rows["n"].astype(np.int64) + length - 1
+        begin = np.cumsum(size) - size
+        # Equal windows have equal anchors, so a piece of whole anchors is sorted at a time.
+        by = np.argsort(rows["anchor"], kind="stable")
+        anchor = rows["anchor"][by]
+        first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+        nth = (np.cumsum(size[by]) - size[by])[first] // PIECE
+        cut = first[np.r_[True, nth[1:] != nth[:-1]]]
+        covered, windows = [], []
+        for a, b in zip(cut, [*cut[1:], len(by)]):
+            some = by[a:b]
+            part = b"".join(text[x:y] for x, y in zip(begin[some].tolist(), (begin[some] + size[some]).tolist()))
+            got = piece({c: v[some] for c, v in rows.items()}, np.frombuffer(part, np.uint8))
+            covered.append(got[0])
+            windows.append(got[1])
+        covered, windows = ({c: np.concatenate([x[c] for x in found]) for c in found[0]} for found in (covered, windows))
+        yield dealt(covered, covered["tag"].astype(np.int64) % buckets, COVERED)
+        if len(windows["d1"]):
+            windows = {c: v[np.lexsort((windows["d2"], windows["d1"]))] for c, v in windows.items()}
             yield dealt(windows, (windows["d1"] % np.uint64(ranges)).astype(np.int64), WINDOWS)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -456,7 +481,7 @@ def remove_repeats(
     docs = df.select(key_of.alias("key"), tag.alias("tag"), whole.alias("text"))
     hot = hot_anchors(docs, min(1.0, SAMPLE / max(1, total[1])), length, parts)
     rows = docs.mapInPandas(anchored(length, parts, buckets, hot), ROWS)
-    rows = written(rows.repartition(parts, "part").mapInPandas(compared(length, buckets), ROWS), "snippets")
+    rows = written(rows.repartition(parts, "part").mapInPandas(compared(length, buckets, SHARD), ROWS), "snippets")
     contested = rows.where(F.col("kind") == CONTESTED)
     shards = max(1, -(-(contested.agg(F.sum("size")).first()[0] or 0) // SHARD))
 
